@@ -232,13 +232,9 @@ def page_furniture(lines: DataFrame) -> DataFrame:
     title = edges.where(heading | (first & (F.length(F.trim("line")) <= 70) & ~F.trim("line").rlike(r"[.,;:]$")))
     titles = title.groupBy("document_id").agg(F.collect_set(_skeleton_key(F.regexp_replace("line", r"^\s*#+ ", ""))).alias("titles"), F.max(F.when(first & ~heading, F.col("line_no"))).alias("title_line"))
 
-    # a short line without an end that stands before the text, or after the end of a sentence
-    nearby = W.partitionBy("document_id", "page_index").orderBy("line_no")
-    short = (F.length(F.trim("line")) <= 0.75 * F.max(F.length(F.trim("line"))).over(page)) & (F.size(F.split(F.trim("line"), r"\s+")) >= 2)
-    ended = F.lag(F.trim("line")).over(nearby).rlike(r"[.!?]$") & ((F.col("bottom") == 1) | ~F.lead(F.trim("line")).over(nearby).rlike(r"^\S{9,}|\p{L}{3}.*\p{L}{3}"))
-    opens = (F.col("page_index") > 0) & ((F.col("top") == 1) | ~F.lag(F.trim("line")).over(nearby).rlike(r"\p{L}{3}.*\s\S*\p{L}{3}")) & F.lead(F.trim("line")).over(nearby).rlike(r"^\S+ \S+ ")
+    # the title of a part in capitals, even if it comes once only
     capitals = (F.col("page_index") > 0) & (F.upper("line") == F.col("line")) & F.col("line").rlike(r"\p{Lu}{2}.*\p{Lu}{3}")
-    edges = edges.withColumn("apart", F.coalesce(capitals | (short & (((F.col("bottom") <= 2) & ended) | ((F.col("top") <= 2) & opens))), F.lit(False)))
+    edges = edges.withColumn("apart", capitals)
     edge = edges.where("scanned and (top <= 2 or bottom <= 2)").select("document_id", "page_index", "line_no", F.trim("line").alias("line"), "top", "bottom", "apart")
     alone = F.regexp_extract("line", _ALONE, 1)
     before, after = F.regexp_extract("line", _BEFORE, 1), F.regexp_extract("line", _AFTER, 2)
