@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagewright.llm.textkit import PAGE_BREAK, fold, one_per_key
+from pagewright.session import reliable_checkpoint
 
 #: Share of all words from which on a word counts as frequent: at most 1 / FREQUENT words are broadcast.
 FREQUENT = 2e-5
@@ -183,23 +184,33 @@ def _skeleton_key(column: Column) -> Column:
 
 
 def scanned_lines(documents: DataFrame, id_col: str = "id", text_col: str = "content") -> DataFrame:
-    """document_id, page_index, line_no, line, scanned of every line.
+    """document_id, page_index, line_no, line, scanned, of the lines of scanned pages and, with
+    scanned false, of other pages' headings and the first line of the document.
 
     A page is scanned when it has no Markdown, no line is wider than 90 characters, and it
-    holds wrapped prose, or another page of its document does and the page isn't wider.
+    holds wrapped prose, or another page of its document does and the page isn't wider.  A
+    document is one row here, so that all of this is decided before its lines are exploded,
+    without a shuffle.
     """
-    pages = documents.select(F.col(id_col).alias("document_id"), F.posexplode(F.split(text_col, re.escape(PAGE_BREAK), -1)).alias("page_index", "page"))
-    lines = pages.select("document_id", "page_index", F.split("page", r"\r\n|\n|\r", -1).alias("lines"))
-    own = lines.select(
-        "*",
-        F.exists("lines", lambda x: x.rlike(_MARKDOWN)).alias("marked"),
-        F.array_max(F.transform("lines", lambda x: F.length(F.rtrim(x)))).alias("width"),
-        F.expr(r"exists(sequence(1, greatest(size(lines) - 1, 1)), k -> length(trim(lines[k - 1])) >= 25 and not trim(lines[k - 1]) rlike '[.:!?]$' and coalesce(trim(lines[k]), '') <> '')").alias("wrapped"),
-    )
-    prose = ~F.col("marked") & (F.col("width") <= 90)
-    width = F.max(F.when(prose & F.col("wrapped"), F.col("width"))).over(W.partitionBy("document_id"))
-    flagged = own.withColumn("scanned", prose & F.coalesce(F.col("width") <= width + 4, F.lit(False)))
-    return flagged.select("document_id", "page_index", "scanned", F.posexplode("lines").alias("line_no", "line"))
+    pages = F.transform(F.split(text_col, re.escape(PAGE_BREAK), -1), lambda p: F.split(p, r"\r\n|\n|\r", -1))
+
+    def facts(lines: Column) -> Column:
+        width = F.array_max(F.transform(lines, lambda x: F.length(F.rtrim(x))))
+        prose = ~F.exists(lines, lambda x: x.rlike(_MARKDOWN)) & (width <= 90)
+        ahead = F.slice(lines, 2, F.size(lines))
+        wrapped = F.exists(F.arrays_zip(lines.alias("a"), ahead.alias("b")), lambda z: (F.length(F.trim(z["a"])) >= 25) & ~F.trim(z["a"]).rlike("[.:!?]$") & (F.coalesce(F.trim(z["b"]), F.lit("")) != ""))
+        return F.struct(lines.alias("lines"), prose.alias("prose"), width.alias("width"), wrapped.alias("wrapped"))
+
+    own = documents.select(F.col(id_col).alias("document_id"), F.transform(pages, facts).alias("pages"))
+    widest = F.array_max(F.transform(F.filter("pages", lambda p: p["prose"] & p["wrapped"]), lambda p: p["width"]))
+    own = own.withColumn("widest", widest).select("document_id", "widest", F.posexplode("pages").alias("page_index", "p"))
+    scanned = F.col("p.prose") & F.coalesce(F.col("p.width") <= F.col("widest") + 4, F.lit(False))
+    own = own.select("document_id", "page_index", scanned.alias("scanned"), F.transform("p.lines", lambda x, n: F.struct(n.alias("line_no"), x.alias("line"))).alias("lines"))
+    filled = F.filter("lines", lambda x: F.trim(x["line"]) != "")
+    first = F.when(F.col("page_index") == 0, F.get(filled, F.lit(0))["line_no"])
+    own = own.withColumn("first", first)
+    kept = F.filter("lines", lambda x: F.col("scanned") | x["line"].rlike(r"^\s*#{1,6} ") | F.coalesce(x["line_no"] == F.col("first"), F.lit(False)))
+    return own.select("document_id", "page_index", "scanned", F.explode(kept).alias("l")).select("document_id", "page_index", "l.line_no", "l.line", "scanned")
 
 
 _NUMBER = r"[0-9lIoOSB!]{1,4}|[ivxlcIVXLC]{1,8}"
@@ -313,8 +324,8 @@ def repaired_pages(documents: DataFrame, id_col: str = "id", text_col: str = "co
     """
     own = one_per_key(documents, id_col, text_col, name_col).where(F.col(text_col).rlike(r"(?U)\S"))
     lexicon = build_lexicon(own, text_col)
-    lines = scanned_lines(own, id_col, text_col)
-    furniture = page_furniture(lines)
+    lines = reliable_checkpoint(scanned_lines(own, id_col, text_col))  # read seven times below
+    furniture = reliable_checkpoint(page_furniture(lines))
     keys = ["document_id", "page_index"]
     headers = furniture.groupBy(*keys).agg(
         F.sum(F.col("kind").isin("header", "both").cast("int")).alias("running_header"), F.sum(F.col("kind").isin("number", "both").cast("int")).alias("page_number"))
