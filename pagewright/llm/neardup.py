@@ -7,9 +7,10 @@ coordinate, the one of lowest rank; two texts keep the same dart in a coordinate
 probability equal to their similarity.  Bands of coordinates are the join keys.
 
 Texts that share a template agree in most bands although they are below the threshold, so the
-key of a short text also holds one of its prefix words: of two texts at or above the threshold
-each has, among its rarest words, one that the other has among its own, whatever total order
-of words is used.  The order comes from a table of hashed counters of fixed size.
+key of a short text also holds one of its prefix words: of two texts of sizes m <= n at or
+above the threshold t, one of the m - ceil(2t / (1 + t) * m) + 1 rarest words of the first is
+among the n - ceil(t * n) + 1 rarest of the second, whatever total order of words is used.
+The order comes from a table of hashed counters of fixed size.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pagewright.llm.textkit import extended, one_per_key, slices, words
 BITS = 18
 #: Up to SHORT_MAX words a text's keys hold a prefix word; from SHORT_MAX * threshold on it has long keys, too.
 SHORT_MAX = 80
-SHORT_BANDS, SHORT_ROWS = 12, 2
+SHORT_BANDS, SHORT_ROWS = 8, 1
 LONG_BANDS, LONG_ROWS = 24, 4
 
 
@@ -149,7 +150,7 @@ def _counters(classes: DataFrame) -> np.ndarray:
 
 def _band_keys(classes: DataFrame, table: np.ndarray, threshold: float) -> DataFrame:
     shared = classes.sparkSession.sparkContext.broadcast(table)
-    schema = "key bigint, class_id " + classes.schema["class_id"].dataType.simpleString() + ", size int"
+    schema = "key bigint, class_id " + classes.schema["class_id"].dataType.simpleString() + ", size int, side int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
@@ -162,19 +163,24 @@ def _band_keys(classes: DataFrame, table: np.ndarray, threshold: float) -> DataF
             while begin < len(sizes):  # texts of about 100,000 words in all at a time
                 stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + 100_000, "right")))
                 own = values[ends[begin] - sizes[begin] : ends[stop - 1]]
-                keys, owner = _keys_of(own, sizes[begin:stop], counts, threshold)
+                keys, owner, side = _keys_of(own, sizes[begin:stop], counts, threshold)
                 rows = pa.array(owner + begin)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), ids.take(rows), pa.array(sizes[owner + begin].astype(np.int32))], names=["key", "class_id", "size"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), ids.take(rows), pa.array(sizes[owner + begin].astype(np.int32)), pa.array(side)], names=["key", "class_id", "size", "side"])
                 begin = stop
 
     return classes.select("class_id", "tokens").mapInArrow(run, schema)
 
 
-def _keys_of(values: np.ndarray, sizes: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+#: What a key is for: a text as the larger one of a pair only, or as either.
+LARGER, EITHER = 2, 3
+
+
+def _keys_of(values: np.ndarray, sizes: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, the text of each, and its side."""
     texts = len(sizes)
     owner = np.repeat(np.arange(texts), sizes)
     hashes = values.view(np.uint64)
-    all_keys, all_owners = [], []
+    all_keys, all_owners, all_sides = [], [], []
     short = sizes <= SHORT_MAX
     if short.any():
         names = np.cumsum(short) - 1
@@ -186,11 +192,13 @@ def _keys_of(values: np.ndarray, sizes: np.ndarray, counts: np.ndarray, threshol
         order = np.lexsort((what, rarity, who))
         own = sizes[short]
         place = np.arange(len(who)) - np.repeat(np.cumsum(own) - own, own)
-        prefix = own - np.ceil(threshold * own - 1e-9).astype(np.int64) + 1
-        chosen = order[place < prefix[who[order]]]
+        smaller = own - np.ceil(2 * threshold / (1 + threshold) * own - 1e-9).astype(np.int64) + 1
+        larger = own - np.ceil(threshold * own - 1e-9).astype(np.int64) + 1
+        chosen = order[place < larger[who[order]]]
         token, holder = what[chosen], who[chosen]
         all_keys.append(mix(bands[holder] + mix(token ^ np.uint64(0x1234567))[:, None]).reshape(-1))
         all_owners.append(np.repeat(np.flatnonzero(short)[holder], SHORT_BANDS))
+        all_sides.append(np.repeat(np.where((place < smaller[who[order]])[place < larger[who[order]]], EITHER, LARGER), SHORT_BANDS))
     long = sizes >= SHORT_MAX * threshold
     if long.any():
         names = np.cumsum(long) - 1
@@ -198,7 +206,8 @@ def _keys_of(values: np.ndarray, sizes: np.ndarray, counts: np.ndarray, threshol
         sign = dart_signatures(mix(hashes[pick]), np.ones(int(pick.sum())), names[owner[pick]], int(long.sum()), LONG_BANDS * LONG_ROWS)
         all_keys.append(mix(_fold_bands(sign, LONG_BANDS, LONG_ROWS)).reshape(-1))
         all_owners.append(np.repeat(np.flatnonzero(long), LONG_BANDS))
-    return np.concatenate(all_keys), np.concatenate(all_owners)
+        all_sides.append(np.full(len(all_owners[-1]), EITHER))
+    return np.concatenate(all_keys), np.concatenate(all_owners), np.concatenate(all_sides).astype(np.int32)
 
 
 def _fold_bands(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -218,17 +227,17 @@ def near_duplicate_links(df: DataFrame, id_col: str, text_col: str, threshold: f
     expanded; a very long text has as many keys as a text of SHORT_MAX words at most; an
     empty table gives empty results; other columns aren't read.
 
-    A pair at the threshold itself is missed with probability (1 - 0.8 ** 2) ** 12 = 5e-6
-    for short and (1 - 0.8 ** 4) ** 24 = 3e-6 for long texts, and a more similar one more
+    A pair at the threshold itself is missed with probability 0.2 ** 8 = 3e-6 for short and (1 - 0.8 ** 4) ** 24 = 3e-6 for long texts, and a more similar one more
     rarely.  Candidates are checked exactly.
     """
     found = reliable_checkpoint(word_classes(df, id_col, text_col))
     classes = found.groupBy("class_key").agg(F.min(id_col).alias("class_id"), F.any_value("tokens").alias("tokens"))
     keys = _band_keys(classes, _counters(classes), threshold)
-    left = keys.select("key", F.col("class_id").alias("a"), F.col("size").alias("m")).hint("merge")
+    # both sides read one exchange; the side in the condition makes the smaller text's shorter prefix count
+    left = keys.select("key", F.col("class_id").alias("a"), F.col("size").alias("m"), F.col("side").alias("s")).hint("merge")
     right = keys.select("key", F.col("class_id").alias("b"), F.col("size").alias("n"))
-    near = (F.col("a") < F.col("b")) & (F.least("m", "n") >= F.lit(threshold) * F.greatest("m", "n") - 1e-9)
-    pairs = left.join(right, "key").where(near).select("a", "b").distinct()
+    near = (F.col("s") == EITHER) & (F.col("m") >= F.lit(threshold) * F.col("n") - 1e-9) & ((F.col("m") < F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("a") != F.col("b"))))
+    pairs = left.join(right, "key").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tokens = classes.select("class_id", "tokens")
     pairs = pairs.join(tokens.select(F.col("class_id").alias("a"), F.col("tokens").alias("x")), "a")
     pairs = pairs.join(tokens.select(F.col("class_id").alias("b"), F.col("tokens").alias("y")), "b")
