@@ -39,3 +39,15 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
             shared = os.path.join(tempfile.gettempdir(), "pagewright-checkpoints")
         context.setCheckpointDir(shared)
     return df.checkpoint(eager=True)
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster whose machines don't share that folder, install the package or ship it with
+    ``--py-files`` instead.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
