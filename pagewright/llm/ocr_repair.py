@@ -240,13 +240,16 @@ def page_furniture(lines: DataFrame) -> DataFrame:
     edges = text.select("*", F.row_number().over(page.orderBy("line_no")).alias("top"), F.row_number().over(page.orderBy(F.desc("line_no"))).alias("bottom"))
     first = (F.col("page_index") == 0) & (F.col("top") == 1)
     heading = F.col("line").rlike(r"^\s*#{1,6} ")
-    title = edges.where(heading | (first & (F.length(F.trim("line")) <= 70) & ~F.trim("line").rlike(r"[.,;:]$")))
+    # not as wide as the text, or in capitals
+    narrow = (F.length(F.trim("line")) <= 0.75 * F.max(F.length(F.trim("line"))).over(page)) | (F.upper("line") == F.col("line"))
+    edges = edges.withColumn("narrow", narrow).withColumn("titled", heading | (first & F.col("narrow") & (F.length(F.trim("line")) <= 70) & ~F.trim("line").rlike(rf"[.,;:{re.escape(HYPHENS)}]$")))
+    title = edges.where("titled")
     titles = title.groupBy("document_id").agg(F.collect_set(_skeleton_key(F.regexp_replace("line", r"^\s*#+ ", ""))).alias("titles"), F.max(F.when(first & ~heading, F.col("line_no"))).alias("title_line"))
 
     # the title of a part in capitals, even if it comes once only
     capitals = (F.col("page_index") > 0) & (F.upper("line") == F.col("line")) & F.col("line").rlike(r"\p{Lu}{2}.*\p{Lu}{3}")
     edges = edges.withColumn("apart", capitals)
-    edge = edges.where("scanned and (top <= 2 or bottom <= 2)").select("document_id", "page_index", "line_no", F.trim("line").alias("line"), "top", "bottom", "apart")
+    edge = edges.where("scanned and (top <= 2 or bottom <= 2)").select("document_id", "page_index", "line_no", F.trim("line").alias("line"), "top", "bottom", "apart", "narrow")
     alone = F.regexp_extract("line", _ALONE, 1)
     before, after = F.regexp_extract("line", _BEFORE, 1), F.regexp_extract("line", _AFTER, 2)
     edge = edge.select(
@@ -260,7 +263,7 @@ def page_furniture(lines: DataFrame) -> DataFrame:
     is_title = F.expr("exists(titles, t -> levenshtein(t, key) <= greatest(1, length(t) div 8))")
     repeated = F.size(F.collect_set("page_index").over(W.partitionBy("document_id", "key"))) >= 2
     itself = F.coalesce((F.col("page_index") == 0) & (F.col("line_no") == F.col("title_line")), F.lit(False))
-    edge = edge.withColumn("header", ~itself & looks & (F.coalesce(is_title, F.lit(False)) | repeated | F.col("apart")))
+    edge = edge.withColumn("header", ~itself & looks & (F.coalesce(is_title, F.lit(False)) | (repeated & F.col("narrow")) | F.col("apart")))
 
     romans = spark.createDataFrame(_romans(), "roman string, value int")
     figures = edge.where("figure is not null and (alone or header)").select("document_id", "page_index", "line_no", "alone", "line", "figure")

@@ -28,8 +28,8 @@ BITS = 19
 #: Share of all words below which a word counts as a name.
 RARE = 5e-5
 
-#: Strings that stand for no answer.
-PLACEHOLDERS = frozenset("n/a na n.a. none null nil nan undefined tbd tba k.a. nichts ninguno ninguna nada nessuno nenhum nenhuma aucun aucune keine rien niente nothing empty".split())
+#: Strings that stand for no answer, without what isn't a letter.
+PLACEHOLDERS = frozenset("na none null nil nan undefined tbd tba ka nichts ninguno ninguna nada nessuno nenhum nenhuma aucun aucune keine rien niente nothing empty".split())
 
 _PUNCTUATION_ONLY = re.compile(r"[\W_]*")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n+")
@@ -45,8 +45,7 @@ def is_empty(answer: str | None) -> bool:
     """Null, or no more than white space, punctuation or a placeholder for nothing."""
     if answer is None or _PUNCTUATION_ONLY.fullmatch(answer):
         return True
-    bare = fold(answer.strip().strip("\"'()[]{}<>*_` .-")).strip()
-    return bare in PLACEHOLDERS or bare.replace(" ", "") in PLACEHOLDERS
+    return re.sub(r"[\W_]+", "", fold(answer)) in PLACEHOLDERS
 
 
 # --- copies ---------------------------------------------------------------------------------
@@ -271,8 +270,8 @@ def open_constructs(text: str) -> list[str]:
     apostrophe within or after a word is none.  Enumerations such as "1)" close nothing.
     """
     stack: list[str] = []
-    fences = re.split(r"^\s*(```|~~~).*$", text, flags=re.M)
-    if len(fences) // 2 % 2:
+    fences = re.split(r"^\s*(?:```|~~~).*$", text, flags=re.M)
+    if len(fences) % 2 == 0:
         return ["```"]
     body = "".join(fences[::2])
     body = re.sub(r"(?m)^\s*(?:\d{1,3}|[a-z])\)\s", "  ", body)
