@@ -70,7 +70,8 @@ def priority_fill(judged: DataFrame, wanted: int, least: int = 4, grades: tuple[
     """The wanted best summaries with ``bucket``, ``passing`` and ``selected_reason``.
 
     Passing ones come by bucket (several documents, one document combined, single) and order;
-    then the rejected ones by falling mean grade and order.  The limit becomes a partial
+    then the rejected ones by falling mean grade and order,
+    those without a mean at the end.  The limit becomes a partial
     top-k in every task.
     """
     ranked = judged.withColumn("passing", passes(least, *grades)).withColumn("bucket", bucket(is_combined()))
@@ -78,7 +79,7 @@ def priority_fill(judged: DataFrame, wanted: int, least: int = 4, grades: tuple[
     reason = F.lit(FALLBACK_REASON)
     for name, text in PRIORITY_REASONS.items():
         reason = F.when(F.col("passing") & (F.col("bucket") == name), text).otherwise(reason)
-    ranked = ranked.withColumn("_rank", rank).withColumn("_grade", F.when(F.col("passing"), 0.0).otherwise(-mean_grade(*grades))).withColumn("selected_reason", reason)
+    ranked = ranked.withColumn("_rank", rank).withColumn("_grade", F.when(F.col("passing"), 0.0).otherwise(F.coalesce(-mean_grade(*grades), F.lit(0.0)))).withColumn("selected_reason", reason)
     return ranked.orderBy("_rank", "_grade", order).limit(max(0, wanted)).drop("_rank", "_grade")
 
 
