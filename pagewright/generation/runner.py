@@ -94,3 +94,10 @@ def usage_of(replies: DataFrame, model: str, description: str, parallel: int) ->
         F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
         F.lit(model).alias("model_name"), F.lit(description).alias("batch_description"), "call_count", "input_tokens", "output_tokens", "total_tokens", F.lit(parallel).alias("max_concurrency"),
     )
+
+
+def asked(rows: DataFrame, ddl: str, required: list[str], client: Client, model: str) -> DataFrame:
+    """rows (with prompt and schema) with ok, error and ``value``, asked in one pass."""
+    own = rows.withColumn("images", F.array().cast("array<string>")).withColumn("max_tokens", F.lit(10_000)).withColumn("prompt_key", prompt_key(model))
+    replies = parsed(run_prompts(own.select("prompt", "images", "schema", "max_tokens"), client, model), ddl, required)
+    return own.join(replies.select("prompt_key", "ok", "error", "value"), "prompt_key", "left").drop("prompt", "images", "schema", "max_tokens", "prompt_key")

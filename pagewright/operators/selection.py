@@ -119,15 +119,19 @@ def quota_plan(sizes: list[int], wanted: int, strict: bool = False) -> list[tupl
 def quota_round_robin(candidates: DataFrame, wanted: int, order: str = "ord", strict: bool = False) -> DataFrame:
     """candidates (with ``bucket_no`` from 0 to 5) selected by quota_plan(), with ``round``.
 
-    Only the six counts reach the driver.  Ranks within a bucket come from counts per range
-    of the order, so a bucket that holds most rows isn't sorted in one task.
+    Only the six counts reach the driver.  Of each bucket no more is taken than its last
+    quota's end, so each is a top-k with partial lists in every task; ranks are given to these
+    rows alone.
     """
     counts = {r["bucket_no"]: r["count"] for r in candidates.groupBy("bucket_no").count().collect()}
     plan = quota_plan([counts.get(b, 0) for b in range(6)], wanted, strict)
-    spark = candidates.sparkSession
-    steps = spark.createDataFrame(plan, "round int, bucket_no int, low int, high int")
-    most = max((p[3] for p in plan), default=0)
-    # of a bucket no more than its last quota's high end is ever taken
-    rank = F.row_number().over(W.partitionBy("bucket_no").orderBy(order)) - 1
-    ranked = candidates.withColumn("_rank", rank).where(F.col("_rank") < most)
-    return ranked.join(F.broadcast(steps), (ranked["bucket_no"] == steps["bucket_no"]) & (F.col("_rank") >= F.col("low")) & (F.col("_rank") < F.col("high"))).drop(steps["bucket_no"]).drop("low", "high", "_rank")
+    steps = candidates.sparkSession.createDataFrame(plan, "round int, _b int, low int, high int")
+    most: dict[int, int] = {}
+    for _, b, _, high in plan:
+        most[b] = max(most.get(b, 0), high)
+    first = candidates.where("false")
+    for b, high in sorted(most.items()):
+        first = first.unionByName(candidates.where(F.col("bucket_no") == b).orderBy(order).limit(high))
+    ranked = first.withColumn("_rank", F.row_number().over(W.partitionBy("bucket_no").orderBy(order)) - 1)
+    inside = (F.col("bucket_no") == F.col("_b")) & (F.col("_rank") >= F.col("low")) & (F.col("_rank") < F.col("high"))
+    return ranked.join(F.broadcast(steps), inside).drop("_b", "low", "high", "_rank")

@@ -40,8 +40,9 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame | None = None, k:
             best_s = np.full((len(asked_names), 0), 0.0)
             best_n = np.zeros((len(asked_names), 0), asked_names.dtype)
             for frame in frames:
-                for at in range(0, len(frame), 2_000):
-                    own = frame.iloc[at : at + 2_000]
+                step = max(1, 2_000_000 // len(asked_names))  # scores of two million pairs at a time
+                for at in range(0, len(frame), step):
+                    own = frame.iloc[at : at + step]
                     own_names = own[key].to_numpy()
                     scores = asked_matrix @ np.stack(own[vector].to_numpy()).astype(np.float64).T
                     scores[asked_names[:, None] == own_names[None, :]] = -np.inf
@@ -124,26 +125,27 @@ def cluster_tuples(members: DataFrame, size: int, iterations: int = 15, per_mill
     """
     if size not in (2, 3):
         raise ValueError("size must be 2 or 3")
-    spark = members.sparkSession
-    steps = F.broadcast(spark.range(iterations).select(F.col("id").cast("int").alias("iteration")))
     own = members.where(F.col(cluster).isNotNull()).select(F.col(key).alias("m"), F.col(document).cast("string").alias("d"), F.col(cluster).alias("c"))
-    own = own.select("*", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("i")) if iterations else own.join(steps)
+    own = own.select("*", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("i")) if iterations else own.select("*", F.lit(0).alias("i")).where("false")
+    # no document gives more than size members, so ranks are cut in the tasks before the shuffle
     inner = W.partitionBy("i", "c", "d")
-    own = own.withColumn("rm", F.row_number().over(inner.orderBy(_point("m", F.col("i"), F.col("m")), "m"))).withColumn("nd", F.count(F.lit(1)).over(inner))
-    own = own.where(F.col("rm") <= size)  # no document gives more
-    heads = own.where("rm = 1").select("i", "c", "d", "nd")
-    heads = heads.withColumn("rd", F.row_number().over(W.partitionBy("i", "c").orderBy(_point("d", F.col("i"), F.col("c"), F.col("d")), "d")))
-    facts = heads.groupBy("i", "c").agg(F.count(F.lit(1)).alias("docs"), F.max("nd").alias("most"), F.min(F.when(F.col("nd") >= size, F.col("rd"))).alias("lone"), F.min(F.when((F.col("rd") <= 2) & (F.col("nd") >= 2), F.col("rd"))).alias("twice"))
+    own = own.withColumn("rm", F.row_number().over(inner.orderBy(_point("m", F.col("i"), F.col("m")), "m"))).where(F.col("rm") <= size)
+    heads = own.groupBy("i", "c", "d").agg(F.max("rm").alias("nd"))
+    point = F.struct(_point("d", F.col("i"), F.col("c"), F.col("d")).alias("p"), F.col("d").alias("d"))
+    lone = heads.groupBy("i", "c").agg(F.count(F.lit(1)).alias("docs"), F.min(F.when(F.col("nd") >= size, point)).alias("lone"))
+    first = heads.withColumn("rd", F.row_number().over(W.partitionBy("i", "c").orderBy(point["p"], "d"))).where(F.col("rd") <= 3)
+    twice = first.where("rd <= 2 and nd >= 2").groupBy("i", "c").agg(F.min("rd").alias("twice"))
+    facts = lone.join(twice, ["i", "c"], "left")
     coin = (_point("multi", F.col("i"), F.col("c")) % 1000) < per_mille
     several = (F.col("docs") >= size) if size == 2 else (F.col("docs") >= 3) | F.col("twice").isNotNull()
     facts = facts.withColumn("multi", F.when(several & F.col("lone").isNotNull(), coin).otherwise(several)).where(several | F.col("lone").isNotNull())
-    ranked = own.join(heads.select("i", "c", "d", "rd"), ["i", "c", "d"]).join(facts, ["i", "c"])
+    ranked = own.join(facts, ["i", "c"]).join(first.select("i", "c", "d", "rd"), ["i", "c", "d"], "left")
     if size == 2:
         multi = (F.col("rd") <= 2) & (F.col("rm") == 1)
     else:
         three = (F.col("docs") >= 3) & ((_point("three", F.col("i"), F.col("c")) % 10 < 7) | F.col("twice").isNull())
         multi = F.when(three, (F.col("rd") <= 3) & (F.col("rm") == 1)).otherwise((F.col("rd") <= 2) & ((F.col("rm") == 1) | ((F.col("rm") == 2) & (F.col("rd") == F.col("twice")))))
-    chosen = ranked.where(F.when(F.col("multi"), multi).otherwise((F.col("rd") == F.col("lone")) & (F.col("rm") <= size)))
+    chosen = ranked.where(F.when(F.col("multi"), multi).otherwise(F.col("d") == F.col("lone.d")))
     return chosen.groupBy(F.col("i").alias("iteration"), F.col("c").alias("cluster"), "multi").agg(F.sort_array(F.collect_list("m")).alias("members"), F.countDistinct("d").alias("documents"))
 
 

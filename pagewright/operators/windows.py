@@ -31,9 +31,8 @@ def capped_windows(windows: DataFrame, per_document: int | None = None, in_all:
     """The first per_document windows of each document, and of these the first in_all in order
     of documents; None means no bound.
 
-    The total bound needs a running number over all documents.  It comes from counts per
-    document, summed up in the order of names within ranges of documents and then over the
-    ranges, so that no window spans the whole table.
+    The total bound needs a running number over documents.  At most the first in_all
+    documents can have a part in it, so the window over their counts has in_all rows at most.
     """
     own = windows
     if per_document is not None:
@@ -41,7 +40,6 @@ def capped_windows(windows: DataFrame, per_document: int | None = None, in_all:
     if in_all is None:
         return own
     sizes = own.groupBy("filename").agg(F.count(F.lit(1)).alias("_n"))
-    # only the first in_all documents can have a part in the first in_all windows
     first = sizes.orderBy("filename").limit(in_all)
     before = first.select("filename", (F.sum("_n").over(W.orderBy("filename").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
     return own.join(F.broadcast(before) if in_all <= 100_000 else before, "filename").where(F.col("_before") + F.col("window") < in_all).drop("_before")

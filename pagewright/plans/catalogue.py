@@ -11,11 +11,12 @@ from pagewright.functions import text as T
 from pagewright.functions.fuzzy import partial_ratio_column
 from pagewright.generation.client import OfflineClient
 from pagewright.generation.prompts import TASKS, numbered_requests, rendered
-from pagewright.generation.runner import parsed, run_prompts
+from pagewright.generation.runner import asked, parsed, run_prompts, split_failures
 from pagewright.operators import headings, quality, querygen, reconcile, sections, selection, toc, usage, vectors, windows
 from pagewright.plans import corpus
 from pagewright.plans.corpus import flat, read
 from pagewright.plans.sql import oracle_sql
+from pagewright.streaming import pages as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 NAMESPACE = "6ba7b811-9dad-11d1-80b4-00c04fd430c8"
@@ -293,6 +294,38 @@ def generated_queries(spark: SparkSession, folder: str) -> DataFrame:
     return flat(querygen.explode_queries(parsed(replies, task.ddl, ["queries"]).select("prompt_key", F.transform("value.queries", lambda q: F.struct(q.alias("query"))).alias("queries"))))
 
 
+def _asked(rows: DataFrame, task: str) -> DataFrame:
+    own = TASKS[task]
+    return asked(rendered(rows, own), own.ddl, [n for n, _ in own.fields], OfflineClient(fail_every=29), "offline")
+
+
+@registered
+def document_descriptions(spark: SparkSession, folder: str) -> DataFrame:
+    """A description of each document by the offline client; failures keep their error."""
+    return flat(_asked(corpus.md_documents(spark, folder), "describe_document").select("id", "ok", "error", "value.description"))
+
+
+@registered
+def section_summaries(spark: SparkSession, folder: str) -> DataFrame:
+    own = corpus.sections(spark, folder).where("section is not null").withColumn("document_description", F.lit("No description is available."))
+    return flat(split_failures(_asked(own, "summarise_section"))[0].select("id", "filename", "page_numbers", "value.summary"))
+
+
+@registered
+def summary_judgments(spark: SparkSession, folder: str) -> DataFrame:
+    """Grades of each summary by the offline client and what they select."""
+    own = corpus.to_judge(spark, folder).where("summary is not null").withColumn("persona", F.lit("an engineer"))
+    graded = _asked(own, "judge_summary").select("*", *[F.when(F.col("ok"), F.col(f"value.{c}")).otherwise(1).alias(c) for c in selection.CRITERIA])
+    return flat(graded.select("qtj_id", *selection.CRITERIA, selection.passes(4, *selection.CRITERIA).alias("passing")))
+
+
+@registered
+def rephrased_queries(spark: SparkSession, folder: str) -> DataFrame:
+    own = corpus.to_judge(spark, folder).where("query is not null").withColumn("query_type", F.col("supposed_query_type")).withColumn("query_format", F.col("supposed_query_format"))
+    said = _asked(own, "rephrase_query").withColumn("rephrased_query", F.col("value.rephrased_query"))
+    return flat(quality.final_queries(said).select("qtj_id", "query", "original_query", "generation_process"))
+
+
 # --- vectors --------------------------------------------------------------------------------
 
 
@@ -339,6 +372,14 @@ def usage_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return flat(usage.usage_rollup(calls, "model"))
 
 
+@registered
+def usage_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """The streaming aggregation, over a table that is all there."""
+    events = read(spark, folder, "events").select("ts", F.col("event_type").alias("model"), (F.col("event_id") % 1500).alias("tokens"))
+    own = streams.usage_windows(events)
+    return flat(own.select(F.unix_timestamp("window_start").alias("window_start"), "model", "call_count", "tokens"))
+
+
 @registered
 def doc_uuid5(spark: SparkSession, folder: str) -> DataFrame:
     return read(spark, folder, "documents").select("source").distinct().select("source", T.uuid5(NAMESPACE, F.col("source")).alias("uuid"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pagewright.functions.order import running_totals
 from pagewright.functions.text import uuid5
 from pagewright.generation.client import Client
 from pagewright.generation.config import ProviderConfig
@@ -111,9 +112,9 @@ class Flow:
     @staticmethod
     def _numbered(parts: DataFrame) -> DataFrame:
         """Single summaries with a dense order by document and part: ranks within documents,
-        and running totals over the far fewer documents."""
+        and running totals over documents."""
         sizes = parts.groupBy("filename").agg(F.count(F.lit(1)).alias("_n"))
-        before = sizes.select("filename", (F.sum("_n").over(W.orderBy("filename").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
+        before = running_totals(sizes, "filename", "_n", "_before").drop("_n")
         own = parts.withColumn("_k", F.row_number().over(W.partitionBy("filename").orderBy("part"))).join(before, "filename")
         order = (F.col("_before") + F.col("_k") - 1).cast("bigint")
         return own.select(

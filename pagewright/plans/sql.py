@@ -406,6 +406,9 @@ def oracle_sql() -> dict[str, str]:
                    sum(case when event_id % 7 <> 0 then event_id % 500 else 0 end)::bigint as output_tokens, sum(event_id % 1500)::bigint as total_tokens,
                    case when event_type = 'click' then null else sum(event_id % 100)::bigint end as cost
             from events group by event_type""",
+        "usage_windows": """
+            select epoch(time_bucket(interval '10 minutes', ts))::bigint as window_start, event_type as model, count(*) as call_count, sum(event_id % 1500)::bigint as tokens
+            from events group by all""",
         "doc_uuid5": """
             with h as (select distinct source, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(source)) as s from documents)
             select source, substr(s, 1, 8) || '-' || substr(s, 9, 4) || '-5' || substr(s, 14, 3) || '-' || lower(printf('%02x', (('0x' || substr(s, 17, 2))::int & 63) | 128)) || substr(s, 19, 2) || '-' || substr(s, 21, 12) as uuid
