@@ -135,10 +135,13 @@ def split_oversized(df: DataFrame, limits: DataFrame, kind: str, id_col: str, te
     fixed length; an empty table gives an empty one; other columns aren't read, so that
     clashing names do no harm.
     """
+    limit = limits.where(F.col("item_kind") == kind).agg(F.min("max_chars").alias("m"), F.min("overlap_chars").alias("o")).first()
     own = one_per_key(df, id_col, text_col).select(F.lit(kind).alias("item_kind"), F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    limit = limits.where(F.col("item_kind") == kind).groupBy("item_kind").agg(F.min("max_chars").alias("max_chars"), F.min("overlap_chars").alias("overlap_chars"))
-    sized = own.join(limit, "item_kind").withColumn("length", F.length("text"))
-    over = F.col("length") > F.col("max_chars")
+    if limit["m"] is None:
+        own = own.where("false")
+    most, overlap = limit["m"] or 1, limit["o"] or 0
+    sized = own.withColumn("length", F.length("text"))
+    over = F.col("length") > most
     whole = sized.where(~over).select("item_kind", "item_id", F.lit(0).alias("piece"), F.lit(1).alias("pieces"), F.lit(0).alias("begin"), F.lit(0).alias("core_begin"), F.col("length").alias("end"), F.lit("page").alias("boundary"), "text")
     schema = extended(own, "item_id", "piece int, pieces int, begin int, core_begin int, end int, boundary string, text string")
 
@@ -146,12 +149,12 @@ def split_oversized(df: DataFrame, limits: DataFrame, kind: str, id_col: str, te
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = []
-                for i, (text, most, overlap) in enumerate(zip(*(part.column(k).to_pylist() for k in (1, 2, 3)))):
+                for i, text in enumerate(part.column(1).to_pylist()):
                     pieces = split_text(text, most, overlap)
                     rows += [(i, n, len(pieces), b, c, e, BOUNDARIES[s], text[b:e]) for n, (b, c, e, s) in enumerate(pieces)]
                 columns = list(zip(*rows)) if rows else [()] * 8
                 kinds = [pa.int32()] * 5 + [pa.string()] * 2
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(columns[0], pa.int64())), *(pa.array(c, k) for c, k in zip(columns[1:], kinds))], names=schema.names)
 
-    cut = sized.where(over).select("item_id", "text", "max_chars", "overlap_chars").mapInArrow(run, schema)
+    cut = sized.where(over).select("item_id", "text").mapInArrow(run, schema)
     return whole.unionByName(cut.withColumn("item_kind", F.lit(kind)))
