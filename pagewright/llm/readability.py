@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.textkit import PAGE_BREAK, extended, one_per_key, slices, words
+from pagewright.llm.textkit import PAGE_BREAK, extended, slices, words
 
 #: Bits of the table of word counts: its 2 ** BITS counters bound what is broadcast (2 MB).
 BITS = 18
@@ -160,7 +160,11 @@ def reading_levels(
 
 def document_levels(documents: DataFrame, samples: DataFrame, language: str = "en", least_pieces: int = 50) -> DataFrame:
     """doc_id, reading_level of the documents in language with at least least_pieces pieces
-    separated by white space; word frequencies are those of all documents in the language."""
-    own = one_per_key(documents.where(F.col("lang") == language), "doc_id", "text")
+    separated by white space; word frequencies are those of all documents in the language.
+
+    Texts aren't shuffled: rows repeated under one id are measured each and then count once
+    (of different levels the lowest).
+    """
+    own = documents.where((F.col("lang") == language) & F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
     enough = own.where(F.size(F.expr(r"filter(split(text, '(?U)\\s+'), x -> x <> '')")) >= least_pieces)
-    return reading_levels(enough, samples, corpus=own).select("doc_id", "reading_level")
+    return reading_levels(enough, samples, corpus=own).groupBy("doc_id").agg(F.min("reading_level").alias("reading_level"))
