@@ -11,6 +11,7 @@ slip do.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -225,8 +226,9 @@ def agreeing(samples: list[tuple[str, str, str]], least_sources: int = 3) -> lis
     return result
 
 
-def fit(samples: list[tuple[str, str, str]], clusters: int = 48, most: int = 2_500, least_sources: int = 3) -> LanguageModel:
-    """A model from (language, source, text): at most ``most`` clauses of each language count.
+def fit(samples: list[tuple[str, str, str]], clusters: int = 48, most: int = 1_500, least_sources: int = 3) -> LanguageModel:
+    """A model from (language, source, text): the ``most`` most frequent clauses of each
+    language count, once each.
 
     Words must stand in the texts of at least least_sources sources of one language.  Of a
     feature's weight, the inverse document frequency over clauses, the part remains by which
@@ -249,9 +251,8 @@ def fit(samples: list[tuple[str, str, str]], clusters: int = 48, most: int = 2_5
     chosen, seen, sizes = {}, np.zeros((len(units), DIMENSIONS)), np.zeros(len(units))
     for place, language in enumerate(model.languages):
         kept = [[w for w in u if w in known] for u in units[language]]
-        kept = list(dict.fromkeys(tuple(u) for u in kept if len(u) > 1))  # what differs in names only counts once
-        kept.sort(key=lambda u: xxhash.xxh64_intdigest(" ".join(u)))
-        kept = [list(u) for u in kept[:most]]
+        often = Counter(tuple(u) for u in kept if len(u) > 1)  # what differs in names only counts once
+        kept = [list(u) for u in sorted(often, key=lambda u: (-often[u], xxhash.xxh64_intdigest(" ".join(u))))[:most]]
         chosen[language] = kept
         for own in kept:
             seen[place, np.unique(np.concatenate([features(w) for w in units_of(own)]))] += 1
