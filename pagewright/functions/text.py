@@ -118,3 +118,13 @@ def utc_stamp(moment: Column) -> Column:
 def padded(values: Column, size: Column, filler: Column) -> Column:
     """An array lengthened with filler to size."""
     return F.concat(values, F.array_repeat(filler, F.greatest(F.lit(0), size - F.size(values))))
+
+
+def lookup(table: Column, key: Column, default: Column) -> Column:
+    """A map's value for key, or default."""
+    return F.coalesce(F.try_element_at(table, key), default)
+
+
+def content_hash(content: Column) -> Column:
+    """SHA-256 of bytes or text."""
+    return F.sha2(content, 256)

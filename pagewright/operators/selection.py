@@ -66,6 +66,13 @@ def dedupe_combined(passing: DataFrame, order: str = "ord") -> DataFrame:
     return passing.withColumn("_key", key).withColumn("_rank", first).where("_rank = 1").drop("_key", "_rank")
 
 
+def fused(parts: DataFrame, *keys: str, text: str = "summary", order: str = "ord") -> DataFrame:
+    """keys and the texts of each group in order, joined by spaces; groups are the few parts
+    of one summary."""
+    ordered = F.array_sort(F.collect_list(F.struct(order, text)))
+    return parts.groupBy(*keys).agg(ordered.alias("_p")).select(*keys, F.array_join(F.col(f"_p.{text}"), " ").alias(text))
+
+
 def priority_fill(judged: DataFrame, wanted: int, least: int = 4, grades: tuple[str, ...] = CRITERIA, order: str = "ord") -> DataFrame:
     """The wanted best summaries with ``bucket``, ``passing`` and ``selected_reason``.
 

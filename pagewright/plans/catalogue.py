@@ -12,7 +12,7 @@ from pagewright.functions.fuzzy import partial_ratio_column
 from pagewright.generation.client import OfflineClient
 from pagewright.generation.prompts import TASKS, numbered_requests, rendered
 from pagewright.generation.runner import asked, parsed, run_prompts, split_failures
-from pagewright.operators import headings, quality, querygen, reconcile, sections, selection, toc, usage, vectors, windows
+from pagewright.operators import embedding, headings, quality, querygen, reconcile, sections, selection, toc, usage, vectors, windows
 from pagewright.plans import corpus
 from pagewright.plans.corpus import flat, read
 from pagewright.plans.sql import oracle_sql
@@ -339,6 +339,31 @@ def cluster_density(spark: SparkSession, folder: str) -> DataFrame:
     return flat(vectors.density_clusters(corpus.vectors(spark, folder)))
 
 
+@registered
+def text_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    own = corpus.to_judge(spark, folder).where("summary is not null")
+    return embedding.embed_texts(own, embedding.offline_embedder(), "qtj_id").select("qtj_id", F.size("embedding").cast("bigint").alias("dimensions"), F.transform("embedding", lambda x: F.round(x.cast("double"), 6)).alias("embedding"))
+
+
+@registered
+def vectors_centred(spark: SparkSession, folder: str) -> DataFrame:
+    own = embedding.centred(corpus.vectors(spark, folder))
+    return own.select("vec_id", F.posexplode("embedding").alias("k", "x")).select("vec_id", F.col("k").cast("bigint").alias("k"), F.round(F.col("x") * 1e6).cast("bigint").alias("micro"))
+
+
+@registered
+def vectors_projected(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding.random_projection(corpus.vectors(spark, folder), 8)
+
+
+@registered
+def summaries_fused(spark: SparkSession, folder: str) -> DataFrame:
+    """The summaries of the queries that share one list of files, in one text."""
+    own = corpus.to_judge(spark, folder).where("summary is not null and filenames is not null").select("ord", F.array_join("filenames", ",").alias("files"), "summary")
+    own = own.groupBy("files", "summary").agg(F.min("ord").alias("ord"))
+    return selection.fused(own, "files")
+
+
 def _members(spark: SparkSession, folder: str) -> DataFrame:
     return corpus.vectors(spark, folder).select(F.col("vec_id").alias("ord"), (F.col("vec_id") % 20).alias("document"), F.col("label").alias("cluster"))
 

@@ -401,6 +401,13 @@ def oracle_sql() -> dict[str, str]:
             with {_MEMBERS}, {_tuples(2)}, {_tuples(3)},
             found as (select distinct members, documents from (select members, documents from tuples2 union all select members, documents from tuples3))
             select count(*) as tuples, count(*) filter (documents > 1) as several, (count(*) filter (documents > 1))::double / count(*) as share from found""",
+        "vectors_centred": """
+            with parts as (select vec_id, unnest(embedding)::double as x, unnest(range(0, len(embedding))) as k from embeddings)
+            select vec_id, k::bigint as k, round((x - avg(x) over (partition by k)) * 1e6)::bigint as micro from parts""",
+        "summaries_fused": f"""
+            with {_JUDGE},
+            own as (select array_to_string(filenames, ',') as files, summary, min(qtj_id) as k from tj where summary is not null and filenames is not null group by all)
+            select files, string_agg(summary, ' ' order by k) as summary from own group by files""",
         "usage_rollup": """
             select event_type as model, count(*) as call_count, sum(greatest(event_id % 1000 - 3, 0))::bigint as input_tokens,
                    sum(case when event_id % 7 <> 0 then event_id % 500 else 0 end)::bigint as output_tokens, sum(event_id % 1500)::bigint as total_tokens,

@@ -90,6 +90,26 @@ def read_pdf_markdown(spark: SparkSession, folder: str, converter: Callable[[byt
     return own.mapInPandas(run, "filename string, first_page int, content string, error string")
 
 
+def render_pdf_pages(spark: SparkSession, folder: str, renderer: Callable[[bytes, int], bytes], page_count: Callable[[bytes], int], excluded: DataFrame | None = None) -> DataFrame:
+    """filename, page, content: PNG bytes of the pages of PDFs by an injected renderer.
+
+    excluded (filename, pages) names pages that aren't rendered; they are left out before the
+    renderer sees them.
+    """
+    own = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder).select(F.regexp_extract("path", _NAME, 1).alias("filename"), "content")
+    gone = excluded.select("filename", F.col("pages").cast("array<int>").alias("pages")) if excluded is not None else spark.createDataFrame([], "filename string, pages array<int>")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for name, content, skipped in frame.itertuples(index=False, name=None):
+                data, skip = bytes(content), set() if skipped is None else set(skipped)
+                for page in range(page_count(data)):  # a page at a time: images may be large
+                    if page not in skip:
+                        yield pd.DataFrame({"filename": [name], "page": [page], "content": [renderer(data, page)]})
+
+    return own.join(gone, "filename", "left").select("filename", "content", "pages").mapInPandas(run, "filename string, page int, content binary")
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Rows of a JSON-lines file; blank lines are skipped, and a line that is no object of the
     schema is an error that names its file."""

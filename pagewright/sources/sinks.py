@@ -7,6 +7,7 @@ import os
 import tempfile
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +64,26 @@ def write_record(df: DataFrame, path: str) -> None:
     df.limit(1).coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def write_texts(df: DataFrame, folder: str, suffix: str = "md", name: str = "filename", text: str = "content") -> int:
+    """A file per row in a folder that all executors share; returns their number.
+
+    Each file is written beside its place and then moved there, so that a task that runs twice
+    leaves the same files.
+    """
+
+    def run(frames):
+        for frame in frames:
+            Path(folder).mkdir(parents=True, exist_ok=True)
+            for own, body in zip(frame[name], frame[text]):
+                handle, temporary = tempfile.mkstemp(dir=folder, prefix=".")
+                with os.fdopen(handle, "w", encoding="utf-8") as file:
+                    file.write(body or "")
+                os.replace(temporary, Path(folder) / f"{own}.{suffix}")
+            yield pd.DataFrame({"n": [len(frame)]})
+
+    return df.select(name, text).mapInPandas(run, "n bigint").agg(F.sum("n")).first()[0] or 0
+
+
 def append_usage(usage: DataFrame, path: str) -> None:
     """Append rows to the usage log."""
     usage.coalesce(1).write.mode("append").json(path)

@@ -42,6 +42,17 @@ def test_pdf_errors_are_rows(spark, tmp_path):
     assert [r["content"] for r in parts] == ["0-30", "30-60", "60-90", "90-100"]
 
 
+def test_rendering_and_texts(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"xyz")
+    gone = spark.createDataFrame([("a", [1])], "filename string, pages array<int>")
+    rows = scans.render_pdf_pages(spark, str(tmp_path), lambda d, k: d[k : k + 1], len, gone).collect()
+    assert sorted((r["page"], bytes(r["content"])) for r in rows) == [(0, b"x"), (2, b"z")]
+    frame = spark.createDataFrame([("one", "text"), ("two", None)], "filename string, content string")
+    assert sinks.write_texts(frame, str(tmp_path / "out")) == 2
+    assert (tmp_path / "out" / "one.md").read_text() == "text" and (tmp_path / "out" / "two.md").read_text() == ""
+    assert len(list((tmp_path / "out").iterdir())) == 2
+
+
 def test_json_round_trips(spark, tmp_path):
     frame = spark.createDataFrame([("a", [1, 2], None), ("b", None, "x")], "filename string, pages array<int>, note string")
     path = str(tmp_path / "rows")

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from pagewright.operators import vectors
+from pagewright.operators import embedding, vectors
 
 
 def test_neighbours_against_brute_force(spark):
@@ -40,3 +40,15 @@ def test_tuples(spark):
             assert (r["documents"] > 1) == r["multi"]
     share = vectors.multi_document_share(vectors.cluster_tuples(frame.where("ord = 99"), 2)).first()
     assert share["tuples"] == 0 and share["share"] is None
+
+
+def test_embedding_and_reductions(spark):
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(["a b c", "a b c", None, "x"])], "ord bigint, summary string")
+    rows = {r["ord"]: np.array(r["embedding"]) for r in embedding.embed_texts(frame, embedding.offline_embedder(16)).collect()}
+    assert np.allclose(rows[0], rows[1]) and abs(np.linalg.norm(rows[0]) - 1) < 1e-6 and not rows[2].any()
+    own = spark.createDataFrame([(k, [float(k), 2.0]) for k in range(5)], "vec_id bigint, embedding array<float>")
+    centred = {r["vec_id"]: r["embedding"] for r in embedding.centred(own).collect()}
+    assert centred[0] == [-2.0, 0.0] and centred[4] == [2.0, 0.0]
+    one = {r["vec_id"]: r["embedding"] for r in embedding.random_projection(own, 3, 1).collect()}
+    two = {r["vec_id"]: r["embedding"] for r in embedding.random_projection(own.repartition(3), 3, 1).collect()}
+    assert one == two and len(one[0]) == 3
