@@ -2,9 +2,10 @@
 
 A document's coverage rank is the size of the smallest vocabulary, taken from the corpus's
 words by falling frequency, that covers a fixed share of the document's tokens.  It is read
-at two shares, beside the median length of sentences and of words.  Labelled samples calibrate
-these measures: for each level SQL computes their means and spreads, and a document gets the
-level under which its measures are most likely.
+at two shares, beside the mean length of sentences and of words.  Labelled samples calibrate
+these measures: for each level SQL computes their means and spreads, the spreads drawn halfway
+to those of all levels together, and a document gets the level under which its measures are
+most likely.
 """
 
 from __future__ import annotations
@@ -23,7 +24,10 @@ from pagewright.llm.textkit import PAGE_BREAK, extended, slices, words
 
 #: Bits of the table of word counts: its 2 ** BITS counters bound what is broadcast (2 MB).
 BITS = 18
-FEATURES = ("sentence_words", "word_letters", "cover_half", "cover_most")
+#: Shares of a document's tokens that a vocabulary must cover.
+SHARES = (0.65, 0.8)
+#: Logarithm of words per sentence, letters per word, logarithms of the coverage ranks.
+FEATURES = ("sentence_words", "word_letters", "cover_two_thirds", "cover_most")
 
 _SKIP_LINES = re.compile(r"<!--(?:(?!-->)[\s\S])*-->|^[ \t]*(?:\||#|[-*+] |\d+[.)] ).*$", re.M)
 _QUOTE = re.compile(r"^[ \t]*>[ \t]?", re.M)
@@ -100,13 +104,11 @@ def measure(text: str | None, ranks: dict[str, int]) -> tuple[float, float, floa
         spans = [w for w in [words(text)] if w]
         if not spans:
             return None
-    sizes = np.array([len(s) for s in spans])
     tokens = [w for s in spans for w in s]
-    order = np.sort(sizes)
-    half = order[np.searchsorted(np.cumsum(order), sizes.sum() / 2)]  # half of the words stand in sentences up to this size
     places = np.sort(np.fromiter(map(ranks.__getitem__, tokens), np.float64, len(tokens)))
     letters = np.fromiter(map(len, tokens), np.float64, len(tokens)).mean()
-    return float(half), float(letters), float(np.log1p(places[(len(places) - 1) // 2])), float(np.log1p(places[int((len(places) - 1) * 0.8)]))
+    covered = [float(np.log1p(places[int((len(places) - 1) * share)])) for share in SHARES]
+    return float(np.log(len(tokens) / len(spans))), float(letters), *covered
 
 
 def text_measures(df: DataFrame, id_col: str, text_col: str, ranks: np.ndarray) -> DataFrame:
@@ -146,6 +148,8 @@ def reading_levels(
     measured = text_measures(documents, id_col, text_col, ranks)
     moments = [f"avg({f}) as mean_{f}" for f in FEATURES] + [f"greatest(coalesce(stddev_samp({f}), 0), 0.05) as sd_{f}" for f in FEATURES]
     levels = fitted.groupBy("sample_level").agg(*[F.expr(x) for x in moments])
+    drawn = [f"sqrt((pow(sd_{f}, 2) + avg(pow(sd_{f}, 2)) over (partition by 0)) / 2) as sd_{f}" for f in FEATURES]  # a row per level
+    levels = levels.selectExpr("sample_level", *[f"mean_{f}" for f in FEATURES], *drawn)
     table = F.sort_array(F.collect_list(F.struct("sample_level", *[c for c in levels.columns if c != "sample_level"])))
     calibration = levels.agg(table.alias("levels")).first()["levels"]  # a row per level
     if not calibration:
