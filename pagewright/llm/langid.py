@@ -46,10 +46,11 @@ def clauses(text: str) -> list[tuple[int, int]]:
 
 @dataclass
 class LanguageModel:
-    """Centroids (a column each) with their languages and the words seen in more than one source."""
+    """Centroids (a column each, in the order of languages) and the words seen in several sources."""
 
     languages: list[str] = field(default_factory=list)
     owner: np.ndarray | None = None
+    begins: np.ndarray | None = None
     centroids: np.ndarray | None = None
     idf: np.ndarray | None = None
     known: frozenset[str] = frozenset()
@@ -58,15 +59,25 @@ class LanguageModel:
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
-    def _word(self, word: str) -> tuple[np.ndarray, np.ndarray]:
-        cache = self.__dict__.setdefault("_cache", {})
-        found = cache.get(word)
-        if found is None:
-            ids = features(word)
-            if len(cache) > 200_000:
-                cache.clear()
-            found = cache[word] = (ids, (self.idf[ids][:, None] * self.centroids[ids]).sum(0))
-        return found
+    def _products(self, units: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The sum of the units' products with all centroids, and the features of each.
+
+        Products of units seen before are kept in rows of one table of bounded size.
+        """
+        known = self.__dict__.setdefault("_known", {})
+        if "_rows" not in self.__dict__ or len(known) + len(units) > len(self._rows):
+            known.clear()
+            self._rows = np.zeros((max(20_000, len(units)), self.centroids.shape[1]), np.float32)
+        places, ids = [], []
+        for unit in units:
+            found = known.get(unit)
+            if found is None:
+                own = features(unit)
+                found = known[unit] = (len(known), own)
+                self._rows[found[0]] = self.idf[own] @ self.centroids[own]
+            places.append(found[0])
+            ids.append(found[1])
+        return self._rows[places].sum(0, dtype=np.float64), ids
 
     def usable(self, text: str) -> list[str]:
         """The folded words of a text that count."""
@@ -82,16 +93,17 @@ class LanguageModel:
     def scores(self, text: str) -> tuple[np.ndarray, int]:
         """The largest cosine of each language, and the number of words that count."""
         own = self.usable(text)
-        if not own or self.centroids is None:
+        if not own or not self.languages:
             return np.zeros(len(self.languages)), 0
-        parts = [self._word(w) for w in units_of(own)]
-        ids = np.concatenate([p[0] for p in parts])
-        names, counts = np.unique(ids, return_counts=True)
+        total, ids = np.zeros(len(self.owner)), []
+        units = units_of(own)
+        for begin in range(0, len(units), 5_000):
+            sums, found = self._products(units[begin : begin + 5_000])
+            total += sums
+            ids += found
+        names, counts = np.unique(np.concatenate(ids), return_counts=True)
         norm = np.sqrt(((counts * self.idf[names]) ** 2).sum())
-        cosines = sum(p[1] for p in parts) / max(norm, 1e-12)
-        best = np.full(len(self.languages), -1.0)
-        np.maximum.at(best, self.owner, cosines)
-        return best, len(own)
+        return np.maximum.reduceat(total, self.begins) / max(norm, 1e-12), len(own)
 
     def decide(self, text: str) -> tuple[str | None, float, int]:
         """Language (None where rejected), confidence and words that count."""
@@ -191,10 +203,11 @@ def _clusters(rows: np.ndarray, count: int, steps: int = 8) -> np.ndarray:
 def agreeing(samples: list[tuple[str, str, str]], least_sources: int = 3) -> list[bool]:
     """Whether the label of each (language, source, text) agrees with the text.
 
-    Texts with the same voting words decide by their own majority where they come from three
-    sources or more; else words and pairs of neighbours vote by the labels of all texts that
-    hold them, so that a label that contradicts the majority is told from the rest.  Words and
-    pairs of fewer than least_sources sources have no vote.
+    Texts with the same voting words decide by their own majority (three fifths) where they
+    come from six sources or more.  Else words and pairs of neighbours vote by the labels of
+    all texts that hold them, so that a label that contradicts the majority is told from the
+    rest, and where texts with the same words come from three sources they must agree, too.
+    Words and pairs of fewer than least_sources sources have no vote.
     """
     languages = sorted({s[0] for s in samples})
     place = {x: k for k, x in enumerate(languages)}
@@ -220,9 +233,13 @@ def agreeing(samples: list[tuple[str, str, str]], least_sources: int = 3) -> lis
         group_sources.setdefault(key, set()).add(source)
     result = []
     for (language, *_), own, key in zip(samples, bags, keys):
+        group, sources_of = groups[key], len(group_sources[key])
+        alike = int(group.argmax()) == place[language]
+        if not key or sources_of >= 6:
+            result.append(bool(key) and alike and group[place[language]] >= 0.6 * group.sum())
+            continue
         known = [votes[u] for u in own if u in votes]
-        score = groups[key] if len(group_sources[key]) >= 3 else np.sum(known, axis=0) if known else None
-        result.append(bool(key) and score is not None and int(score.argmax()) == place[language])
+        result.append(int(np.sum(known, axis=0).argmax()) == place[language] and (alike or sources_of < 3))
     return result
 
 
@@ -262,14 +279,15 @@ def fit(samples: list[tuple[str, str, str]], clusters: int = 48, most: int = 1_5
     spread = -(shares * np.log(shares)).sum(0) / max(np.log(len(units)), 1e-9)
     model.idf = np.log((1 + sizes.sum()) / (1 + seen.sum(0))) * np.maximum(0.02, 1 - spread)
     columns, owner = [], []
+    model.languages = [x for x in model.languages if chosen[x]]
     for k, language in enumerate(model.languages):
-        if chosen[language]:
-            centers = np.sqrt(np.maximum(_clusters(_vectors(chosen[language], model.idf), clusters), 0))
-            centers /= np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-9)
-            columns.append(centers)
-            owner += [k] * len(centers)
+        centers = np.sqrt(np.maximum(_clusters(_vectors(chosen[language], model.idf), clusters), 0))
+        centers /= np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-9)
+        columns.append(centers)
+        owner += [k] * len(centers)
     model.centroids = np.concatenate(columns).T.astype(np.float32) if columns else np.zeros((DIMENSIONS, 0))
     model.owner = np.array(owner, np.int64)
+    model.begins = np.searchsorted(model.owner, np.arange(len(model.languages)))
     return model
 
 
@@ -282,6 +300,19 @@ def _labelled(df: DataFrame, label: str, key: str, source: str, text: str, most:
     return sorted((r[0], r[1] or "", r[2]) for r in rows.select(label, F.col(source).cast("string"), text).collect())
 
 
+def hashed_sample(df: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows by the hashes of their keys.
+
+    Rows are counted first, so that a threshold on the hash leaves little more than ``most``
+    of them before the exact choice; tasks don't send ``most`` rows each.
+    """
+    count = df.count()
+    bits = 1 << 30
+    if count > 2 * most:
+        df = df.where(F.pmod(F.xxhash64(key), F.lit(bits)) < int(1.5 * most / count * bits))
+    return df.orderBy(F.pmod(F.xxhash64(key), F.lit(bits)), key).limit(most)
+
+
 def table_samples(documents: DataFrame, names: DataFrame, queries: DataFrame | None = None, most_documents: int = 200, most_queries: int = 15_000) -> list[tuple[str, str, str]]:
     """A bounded sample of labelled texts, (language, source, text).
 
@@ -297,7 +328,7 @@ def table_samples(documents: DataFrame, names: DataFrame, queries: DataFrame | N
     if queries is None:
         return samples
     own = queries.select("query_id", "query", F.col("language").alias("_label")).join(alias, F.col("_label") == F.col("alias"))
-    rows = own.where(F.col("query").isNotNull()).select("_language", "query_id", "query").orderBy(F.xxhash64("query_id"), "query_id").limit(most_queries)
+    rows = hashed_sample(own.where(F.col("query").isNotNull()).select("_language", "query_id", "query"), "query_id", most_queries)
     return with_agreeing(samples, [(r[0], f"q{r[1]}", r[2]) for r in rows.collect()])
 
 
