@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.langid import LanguageModel, fit, table_samples, with_agreeing
+from pagewright.llm.langid import LanguageModel, fit, hashed_sample, table_samples, with_agreeing
 from pagewright.llm.textkit import extended, fold, one_per_key, slices, words
 
 #: Bits of the table of context counts: 2 ** BITS pairs of counters are broadcast (8 MB).
@@ -83,8 +83,8 @@ def copies_question(query: str | None, answer: str | None, share: float = 0.8, e
     ask, said = words(query), words(answer)
     if not ask or len(said) < share * len(ask):
         return False
-    if len(said) > 40 * len(ask) or not set(ask) & set(said):
-        return False
+    if len(said) > 40 * len(ask) or (Counter(ask) & Counter(said)).total() < share * len(ask):
+        return False  # tiles can't cover more words than both have
     rest, covered = said, 0.0
     while True:
         tiles = greedy_tiles(rest, ask)
@@ -366,7 +366,7 @@ def fit_for_pairs(answers: DataFrame, qrels: DataFrame, documents: DataFrame, na
     """
     samples = table_samples(documents, names, queries)
     first = fit(samples)
-    own = answers.where(F.col("answer").isNotNull()).select("answer_id", "qrel_id", "answer").orderBy(F.xxhash64("answer_id"), "answer_id").limit(most_pairs)
+    own = hashed_sample(answers.where(F.col("answer").isNotNull()).select("answer_id", "qrel_id", "answer"), "answer_id", most_pairs)
     rows = own.join(one_per_key(qrels, "qrel_id", "query"), "qrel_id").select("answer_id", "query", "answer").collect()
     rows.sort(key=lambda r: (r[0], r[2]))
     labelled = [(first.decide(query or "")[0], f"a{key}", answer) for key, query, answer in rows]
