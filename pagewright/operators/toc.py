@@ -33,6 +33,15 @@ def toc_like(line: Column) -> Column:
     return eligible(line) & (line.rlike(DOTTED) | trailing_number(line))
 
 
+def _marks(line: Column) -> Column:
+    """What a line shows: a title, and as an eligible line leaders, a page number at its end, a
+    section number with one, or any of the first two."""
+    ended = line.rlike(r"\d$")  # all that is sought in entries ends with a number
+    return F.struct(
+        line.alias("line"), line.rlike(TITLE).alias("title"), eligible(line).alias("fit"), (ended & eligible(line) & line.rlike(DOTTED)).alias("dotted"),
+        (ended & eligible(line) & trailing_number(line)).alias("tail"), (ended & eligible(line) & line.rlike(NUMBERED) & trailing_number(line)).alias("numbered"))
+
+
 def clean_lines(lines: Column) -> Column:
     """Normalised lines without blank ones."""
     return F.filter(F.transform(lines, normalize_line), lambda x: x != "")
@@ -54,19 +63,20 @@ def score_pages(pages: DataFrame, lines: str = "lines", page_index: str = "page_
     computed from a page's own array, without exploding it and without a shuffle.
     """
     own = pages.withColumn(lines, clean_lines(F.coalesce(F.col(lines), F.array().cast("array<string>"))))
-    fit = F.filter(lines, eligible)
-    count = lambda test: F.size(F.filter("_eligible", test))
-    own = own.withColumn("_eligible", fit)
+    marks = F.transform(F.transform(lines, _marks), lambda m: m.withField("like", m["dotted"] | m["tail"]))  # each line meets each pattern once
+    own = own.withColumn("_marks", marks)
+    count = lambda test: F.size(F.filter("_marks", test))
+    samples = F.slice(F.filter("_marks", lambda m: m["title"] | m["like"]), 1, 5)
     own = own.select(
         "*",
-        F.exists(F.slice(lines, 1, 15), lambda x: x.rlike(TITLE)).alias("toc_has_title"),
+        F.exists(F.slice("_marks", 1, 15), lambda m: m["title"]).alias("toc_has_title"),
         (F.col(page_index) < F.least(F.lit(25), F.greatest(F.lit(8), F.floor(F.col(total_pages) * 0.25)))).alias("toc_is_early_page"),
-        F.size("_eligible").alias("toc_eligible_line_count"),
-        count(toc_like).alias("toc_like_line_count"),
-        count(lambda x: x.rlike(DOTTED)).alias("toc_dotted_count"),
-        count(trailing_number).alias("toc_trailing_page_number_count"),
-        count(lambda x: x.rlike(NUMBERED) & trailing_number(x)).alias("toc_section_number_count"),
-        F.slice(F.filter(lines, lambda x: x.rlike(TITLE) | toc_like(x)), 1, 5).alias("toc_sample_lines"),
+        count(lambda m: m["fit"]).alias("toc_eligible_line_count"),
+        count(lambda m: m["like"]).alias("toc_like_line_count"),
+        count(lambda m: m["dotted"]).alias("toc_dotted_count"),
+        count(lambda m: m["tail"]).alias("toc_trailing_page_number_count"),
+        count(lambda m: m["numbered"]).alias("toc_section_number_count"),
+        F.transform(samples, lambda m: m["line"]).alias("toc_sample_lines"),
     )
     likes, fits = F.col("toc_like_line_count"), F.col("toc_eligible_line_count")
     ratio = F.when(fits > 0, likes / fits).otherwise(F.lit(0.0))
@@ -84,7 +94,7 @@ def score_pages(pages: DataFrame, lines: str = "lines", page_index: str = "page_
     is_toc = (F.col("toc_score") >= 6) | (titled & (likes >= 2)) | (early & (likes >= 8) & (ratio >= 0.45))
     own = own.withColumn("is_toc_page", is_toc)
     review = F.col("is_toc_page") & ((F.col("toc_score") <= 6) | ~titled | ~early | (likes < 5))
-    return own.withColumn("toc_needs_manual_review", review).drop("_eligible")
+    return own.withColumn("toc_needs_manual_review", review).drop("_marks")
 
 
 def page_manifest(pages: DataFrame) -> DataFrame:
