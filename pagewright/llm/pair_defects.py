@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import bisect
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -337,6 +339,24 @@ def is_truncated(query: str | None, answer: str, table: EndTable, least_share: f
     return (share is not None and share < least_share) or (alone is not None and alone < least_share / 5)
 
 
+# --- scripts --------------------------------------------------------------------------------
+
+
+@lru_cache(maxsize=50_000)
+def _script_of(letter: str) -> str:
+    return unicodedata.name(letter, "unknown").split(" ")[0]
+
+
+def main_script(text: str) -> str | None:
+    """The script of most letters, by their Unicode names; None for fewer than three letters."""
+    letters = [c for c in text if c.isalpha()]
+    if len(letters) < 3:
+        return None
+    if text.isascii():
+        return "LATIN"
+    return Counter(map(_script_of, letters)).most_common(1)[0][0]
+
+
 # --- the operator ---------------------------------------------------------------------------
 
 
@@ -346,6 +366,9 @@ def classify(query: str | None, answer: str | None, is_answerable: str | None, t
         return "empty"
     if copies_question(query, answer):
         return "copies_question"
+    scripts = main_script(query or ""), main_script(answer)
+    if None not in scripts and scripts[0] != scripts[1]:
+        return "other_language"
     asked, _, n = model.decide(query or "")
     said, _, m = model.decide(answer)
     if asked and said and asked != said and n > 1 and m > 1:

@@ -78,6 +78,11 @@ def test_truncation(table):
         assert is_truncated("q", answer, table), answer
 
 
+def test_scripts():
+    assert pair_defects.main_script("Où est-il ?") == "LATIN" and pair_defects.main_script("где он") == "CYRILLIC"
+    assert pair_defects.main_script("12 %") is None and pair_defects.main_script("東京の水") in ("CJK", "HIRAGANA")
+
+
 def test_operator(spark, table):
     english = "which measures did the office take to protect the water in the harbour near the mill"
     french = "quelles mesures le bureau a pris pour protéger l'eau dans le port près du moulin"
@@ -85,10 +90,10 @@ def test_operator(spark, table):
     qrels = spark.createDataFrame([(1, "Which measures did the office take?", "p"), (1, "Which measures did the office take?", "p"), (2, None, "p")], "qrel_id bigint, query string, answer string")
     rows = [
         (1, 1, "fully answerable", "The office protected the water."), (2, 1, "fully answerable", None), (3, 1, "fully answerable", "Quelles mesures le bureau a pris pour protéger l'eau."), (4, 1, "Unanswerable", "The page does not say anything about this."),
-        (5, 1, "partially_answerable", "The page does not say anything about this."), (6, 1, None, "Which measures did the office take"), (7, 9, None, ""), (8, 2, None, "The office ("), (2, 1, "fully answerable", None), (9, 1, None, "The office protected the water. " * 3_000), (10, None, None, "x"),
+        (5, 1, "partially_answerable", "The page does not say anything about this."), (6, 1, None, "Which measures did the office take"), (7, 9, None, ""), (8, 2, None, "The office ("), (2, 1, "fully answerable", None), (9, 1, None, "The office protected the water. " * 3_000), (10, None, None, "x"), (11, 1, "fully answerable", "Контора защитила воду."),
     ]
     answers = spark.createDataFrame(rows, "answer_id bigint, qrel_id bigint, is_answerable string, answer string")
     got = {r["answer_id"]: r["defect"] for r in pair_defects.pair_defects(answers, qrels, model).collect()}
-    assert got == {1: None, 2: "empty", 3: "other_language", 4: None, 5: "refusal", 6: "copies_question", 8: "truncated", 9: None}
+    assert got == {1: None, 2: "empty", 3: "other_language", 4: None, 5: "refusal", 6: "copies_question", 8: "truncated", 9: None, 11: "other_language"}
     assert pair_defects.pair_defects(answers.where("false"), qrels, model).count() == 0
     assert pair_defects.pair_defects(answers, qrels.where("false"), model).count() == 0
