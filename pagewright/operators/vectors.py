@@ -62,6 +62,83 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame | None = None, k:
     return result.withColumn("rank", rank).where(F.col("rank") <= k).select(key, "neighbour", "rank", "similarity")
 
 
+def cell_centroids(vectors: DataFrame, cells: int, sample: int = 20_000, steps: int = 10, key: str = "vec_id", vector: str = "embedding") -> np.ndarray:
+    """Directions of cells, by spherical k-means on at most sample vectors (by hashes of keys)."""
+    bits = 1 << 30
+    count = vectors.count()
+    own = vectors.select(key, vector).where(F.col(vector).isNotNull())
+    if count > 2 * sample:
+        own = own.where(F.pmod(F.xxhash64(key), F.lit(bits)) < int(1.5 * sample / count * bits))
+    rows = own.orderBy(F.pmod(F.xxhash64(key), F.lit(bits)), key).limit(sample).toPandas()
+    if rows.empty:
+        return np.zeros((0, 1))
+    matrix = np.stack(rows[vector].to_numpy()).astype(np.float64)
+    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
+    centers = matrix[np.linspace(0, len(matrix) - 1, min(cells, len(matrix))).astype(int)].copy()
+    for _ in range(steps):
+        nearest = (matrix @ centers.T).argmax(1)
+        for c in range(len(centers)):
+            if (nearest == c).any():
+                center = matrix[nearest == c].mean(0)
+                centers[c] = center / max(np.linalg.norm(center), 1e-12)
+    return centers
+
+
+def indexed_neighbours(vectors: DataFrame, queries: DataFrame | None = None, k: int = 5, cells: int = 64, probes: int = 40, block_rows: int = 5_000, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """key, neighbour, rank, similarity like nearest_neighbours(), through an index of cells.
+
+    Every vector is in the cell of its nearest centroid, and a query looks into the probes
+    cells nearest to it, so neighbours in other cells are missed: recall is measured against
+    nearest_neighbours() in the tests (0.95 on vectors with hardly any clusters).  A cell of more than block_rows vectors is cut into
+    blocks, each of which meets the cell's queries in a task of its own; partial lists of k
+    are merged at the end.  With probes equal to cells the result is exact.
+    """
+    centers = cell_centroids(vectors, cells, key=key, vector=vector)
+    kind = vectors.schema[key].dataType.simpleString()
+    if not len(centers):
+        return vectors.sparkSession.createDataFrame([], f"{key} {kind}, neighbour {kind}, rank int, similarity double")
+    shared = vectors.sparkSession.sparkContext.broadcast(centers)
+
+    def nearest(count: int):
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                for at in range(0, len(frame), 5_000):
+                    own = frame.iloc[at : at + 5_000]
+                    scores = np.stack(own[vector].to_numpy()).astype(np.float64) @ shared.value.T
+                    cells_of = np.argsort(-scores, axis=1, kind="stable")[:, :count]
+                    n = cells_of.shape[1]
+                    yield pd.DataFrame({key: np.repeat(own[key].to_numpy(), n), vector: [v for v in own[vector] for _ in range(n)], "cell": cells_of.ravel().astype(np.int32)})
+
+        return run
+
+    schema = f"{key} {kind}, {vector} array<float>, cell int"
+    base = vectors.select(key, vector).where(F.col(vector).isNotNull()).mapInPandas(nearest(1), schema)
+    asked = (vectors if queries is None else queries).select(key, vector).where(F.col(vector).isNotNull()).mapInPandas(nearest(probes), schema)
+    # blocks of a cell's vectors meet parts of its queries: each is repeated for every piece of the other
+    pieces = lambda df, name: df.groupBy("cell").count().select("cell", F.ceil(F.col("count") / block_rows).cast("int").alias(name))
+    sizes = F.broadcast(pieces(base, "blocks").join(pieces(asked, "parts"), "cell"))
+    own = lambda name: F.pmod(F.xxhash64(key), F.col(name)).cast("int")
+    all_of = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    held = base.join(sizes, "cell").withColumn("block", own("blocks")).withColumn("part", all_of("parts"))
+    posed = asked.join(sizes, "cell").withColumn("part", own("parts")).withColumn("block", all_of("blocks"))
+
+    def meet(group: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({key: [], "neighbour": [], "similarity": []})
+        names, others = left[key].to_numpy(), right[key].to_numpy()
+        scores = np.stack(left[vector].to_numpy()).astype(np.float64) @ np.stack(right[vector].to_numpy()).astype(np.float64).T
+        scores[names[:, None] == others[None, :]] = -np.inf
+        order = np.lexsort((np.broadcast_to(others, scores.shape), -np.round(scores, 9)), axis=1)[:, :k]
+        found = pd.DataFrame({key: np.repeat(names, order.shape[1]), "neighbour": others[order].ravel(), "similarity": np.take_along_axis(scores, order, 1).ravel()})
+        return found[np.isfinite(found["similarity"])]
+
+    columns = [key, vector, "cell", "block", "part"]
+    left, right = (df.select(*[F.col(c).alias(f"{side}_{c}") for c in columns]).toDF(*columns).groupBy("cell", "block", "part") for side, df in (("q", posed), ("v", held)))
+    found = left.cogroup(right).applyInPandas(meet, f"{key} {kind}, neighbour {kind}, similarity double")
+    rank = F.row_number().over(W.partitionBy(key).orderBy(F.desc(F.round("similarity", 9)), "neighbour"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select(key, "neighbour", "rank", "similarity")
+
+
 def mutual_neighbours(neighbours: DataFrame, key: str = "vec_id") -> DataFrame:
     """a, b (a < b): vectors that are among each other's neighbours."""
     one = neighbours.select(F.least(key, "neighbour").alias("a"), F.greatest(key, "neighbour").alias("b"), (F.col(key) < F.col("neighbour")).alias("way"))
@@ -97,10 +174,15 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return nodes.join(current.select(F.col("b").alias("node"), F.col("a").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
-def density_clusters(vectors: DataFrame, k: int = 5, least: int = 2, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def density_clusters(vectors: DataFrame, k: int = 5, least: int = 2, key: str = "vec_id", vector: str = "embedding", index: dict[str, int] | None = None) -> DataFrame:
     """key, cluster: components of the mutual k-nearest-neighbour graph of at least least
-    vectors; the others are noise with cluster null."""
-    edges = mutual_neighbours(nearest_neighbours(vectors, None, k, key, vector), key)
+    vectors; the others are noise with cluster null.
+
+    The graph is exact, which takes time with the square of the vectors; index (parameters of
+    indexed_neighbours) finds it through cells instead.
+    """
+    near = nearest_neighbours(vectors, None, k, key, vector) if index is None else indexed_neighbours(vectors, None, k, key=key, vector=vector, **index)
+    edges = mutual_neighbours(near, key)
     found = connected_components(edges)
     big = found.groupBy("component").count().where(F.col("count") >= least).select("component")
     kept = found.join(big, "component").select(F.col("node").alias(key), F.col("component").alias("cluster"))

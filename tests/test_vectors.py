@@ -22,6 +22,16 @@ def test_neighbours_against_brute_force(spark):
             assert [got[k][r] for r in (1, 2, 3)] == order
 
 
+def test_index_recall(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    truth = {(r["vec_id"], r["neighbour"]) for r in vectors.nearest_neighbours(frame).collect()}
+    for cells, probes, block, least in ((8, 8, 40, 1.0), (64, 40, 5_000, 0.9)):
+        rows = vectors.indexed_neighbours(frame, None, 5, cells, probes, block).collect()
+        found = {(r["vec_id"], r["neighbour"]) for r in rows}
+        assert len(found) == len(rows) and len(found & truth) >= least * len(truth)
+    assert vectors.indexed_neighbours(frame.where("false")).count() == 0
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(0, 30)] + [(100, 101), (102, 101), (7, 7)]
     frame = spark.createDataFrame(chain, "a bigint, b bigint")
