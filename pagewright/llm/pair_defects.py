@@ -349,12 +349,11 @@ def _script_of(letter: str) -> str:
 
 def main_script(text: str) -> str | None:
     """The script of most letters, by their Unicode names; None for fewer than three letters."""
-    letters = [c for c in text if c.isalpha()]
-    if len(letters) < 3:
+    if sum(map(str.isalpha, text)) < 3:
         return None
-    if text.isascii():
+    if max(text) < "\u0250":  # all letters before it are Latin
         return "LATIN"
-    return Counter(map(_script_of, letters)).most_common(1)[0][0]
+    return Counter(_script_of(c) for c in text if c.isalpha()).most_common(1)[0][0]
 
 
 # --- the operator ---------------------------------------------------------------------------
