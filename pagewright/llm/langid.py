@@ -85,7 +85,7 @@ class LanguageModel:
         mixed = any(w[:1].isupper() for w in raw) and any(w.islower() for w in raw)
         result = []
         for word in raw:
-            for part in _TOKEN.findall(fold(word)):
+            for part in (word.lower(),) if word.isascii() else _TOKEN.findall(fold(word)):
                 if part in self.known or (mixed and word.islower() and len(part) > 3):
                     result.append(part)
         return result

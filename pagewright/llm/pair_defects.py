@@ -37,6 +37,7 @@ _PUNCTUATION_ONLY = re.compile(r"[\W_]*")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n+")
 _TOKEN = re.compile(r"[^\W_]+|[.!?…]+(?=[\s\"'»”)\]]|$)|\n")
 _MARKER = re.compile(r"^\s*(?:[-*+•]|\d{1,3}[.)])\s*$")
+_CONSTRUCT = re.compile(r"[()\[\]{}«»“”„\"`~]|\*\*|__")
 _OPENERS = {"(": ")", "[": "]", "{": "}", "«": "»", "“": "”", "„": "“"}
 
 
@@ -271,6 +272,8 @@ def open_constructs(text: str) -> list[str]:
     Straight quotation marks and emphasis marks open before a word and close after one; an
     apostrophe within or after a word is none.  Enumerations such as "1)" close nothing.
     """
+    if not _CONSTRUCT.search(text):
+        return []
     stack: list[str] = []
     fences = re.split(r"^\s*(?:```|~~~).*$", text, flags=re.M)
     if len(fences) % 2 == 0:
