@@ -381,7 +381,13 @@ def identify(df: DataFrame, model: LanguageModel, id_col: str, text_col: str) ->
 
 def label_defects(queries: DataFrame, names: DataFrame, model: LanguageModel) -> DataFrame:
     """query_id, language of the queries whose label is missing, wrong or not the whole truth:
-    a row for each language the query is written in."""
+    a row for each language the query is written in.
+
+    A label counts as it is spelled in names; null, blank and unknown labels are missing.
+    Queries without words, and those far from all languages, have no row; copies of a
+    query_id count once; very long queries are read whole; an empty table gives an empty
+    result; other columns aren't read.
+    """
     own = one_per_key(queries, "query_id", "query", "language").withColumnRenamed("language", "_label")
     labelled = own.join(F.broadcast(names.select("alias", F.col("language").alias("_named")).distinct()), F.col("_label") == F.col("alias"), "left")
     found = identify(labelled.select("query_id", "query"), model, "query_id", "query").select("query_id", F.array_distinct(F.col("segments.language")).alias("written"))
