@@ -16,18 +16,15 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.langid import LanguageModel, fit, hashed_sample, table_samples, with_agreeing
 from pagewright.llm.textkit import extended, fold, one_per_key, slices, words
+from pagewright.session import reliable_checkpoint
 
-#: Bits of the table of context counts: 2 ** BITS pairs of counters are broadcast (8 MB).
-BITS = 19
-#: Share of all words below which a word counts as a name.
+#: Share of all words below which a word counts as a name: at most 1 / RARE others are broadcast.
 RARE = 5e-5
 
 #: Strings that stand for no answer, without what isn't a letter.
@@ -145,10 +142,6 @@ def promises_answer(is_answerable: str | None) -> bool:
 # --- truncation -----------------------------------------------------------------------------
 
 
-def _slot(key: str) -> int:
-    return xxhash.xxh64_intdigest(key) & ((1 << BITS) - 1)
-
-
 def _contexts(tail: list[str]) -> list[str]:
     return [" ".join(tail[-n:]) for n in (3, 2, 1) if len(tail) >= n]
 
@@ -167,15 +160,17 @@ def _events(answer: str) -> Iterator[tuple[list[str], bool]]:
 
 
 class EndTable:
-    """How often words, pairs and triples occur and how often a sentence ends after them.
+    """Which words are frequent, and how often contexts occur and end a sentence.
 
-    The counters are hashed into tables of fixed size, so that their size doesn't depend on
-    the corpus.  Words below RARE of all occurrences count as names, which all share one
-    mark; the frequent ones are 1 / RARE at most.
+    Words below RARE of all occurrences count as names, which all share one mark; the frequent
+    ones are 1 / RARE at most.  counts has (occurrences, sentence ends) of whole short answers
+    ("a ...") and of contexts of one to three words ("c ...").  It is exact, grows with the
+    texts and is left empty where the counts are joined instead.
     """
 
-    def __init__(self, seen: np.ndarray, ends: np.ndarray, rare: float, frequent: list[str]):
-        self.seen, self.ends, self.rare, self.frequent = seen, ends, rare, frequent
+    def __init__(self, rare: float, frequent: list[str], counts: dict[str, tuple[int, int]] | None = None):
+        self.rare, self.frequent, self.counts = rare, sorted(frequent), counts or {}
+        self.known = frozenset(frequent)
 
     def begins_word(self, part: str) -> bool:
         """Whether a frequent word goes on after part."""
@@ -183,77 +178,66 @@ class EndTable:
         return at < len(self.frequent) and self.frequent[at].startswith(part)
 
     def is_rare(self, word: str) -> bool:
-        return word != "9" and word != "^" and self.seen[_slot("w " + word)] < self.rare
+        return word != "9" and word != "^" and word not in self.known
 
     def mask(self, tail: list[str]) -> list[str]:
         return ["N" if self.is_rare(w) else w for w in tail]
 
-    def end_share(self, tail: list[str], least: int = 12) -> float | None:
-        """Share of sentence ends after the longest known context; None where none is known."""
-        for context in _contexts(self.mask(tail)):
-            slot = _slot("c " + context)
-            if self.seen[slot] >= least:
-                return float(self.ends[slot] / self.seen[slot])
-        return None
 
+def frequent_words(answers: DataFrame, text_col: str = "answer") -> EndTable:
+    """The table of the frequent words of all answers, without counts of contexts."""
+    counted = word_table(answers, text_col)
+    rare = max(4.0, RARE * float(counted.agg(F.sum("n")).first()[0] or 0))
+    return EndTable(rare, [r["word"] for r in counted.where((F.col("n") >= rare) & (F.col("word") != "9")).select("word").collect()])
 
-def end_table(answers: DataFrame, text_col: str = "answer") -> EndTable:
-    """Counts over all answers: first of words, then of contexts with names masked."""
-
-    def counted(contexts: bool, table: EndTable | None) -> tuple[np.ndarray, np.ndarray]:
-        shared = answers.sparkSession.sparkContext.broadcast(table)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = shared.value
-            seen: Counter[str] = Counter()
-            ends: Counter[str] = Counter()
-            total, total_ends = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
-
-            def flush() -> None:
-                for counter, sums in ((seen, total), (ends, total_ends)):
-                    for key, n in counter.items():
-                        sums[_slot(key)] += n
-                    counter.clear()
-
-            for batch in batches:
-                for answer in batch.column(0).to_pylist():
-                    if not contexts:
-                        seen.update("w " + ("9" if t.isdigit() else fold(t)) for t in _TOKEN.findall(answer) if t[0] not in ".!?…\n")
-                        continue
-                    for tail, end in _events(answer):
-                        for context in _contexts(own.mask(tail)):
-                            seen["c " + context] += 1
-                            if end:
-                                ends["c " + context] += 1
-                    whole = short_key(answer, own)
-                    if whole:
-                        seen["a " + whole] += 1
+
+def context_counts(answers: DataFrame, table: EndTable, text_col: str = "answer") -> DataFrame:
+    """key, n, e: exact counts of all contexts and whole short answers, names masked, and of
+    the sentence ends after them; added up in the tasks before they are shuffled."""
+    shared = answers.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        seen: Counter[str] = Counter()
+        ends: Counter[str] = Counter()
+
+        def out() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64()), pa.array([ends[k] for k in seen], pa.int64())], names=["key", "n", "e"])
+            seen.clear()
+            ends.clear()
+            return batch
+
+        for batch in batches:
+            for answer in batch.column(0).to_pylist():
+                for tail, end in _events(answer):
+                    found = ["c " + context for context in _contexts(own.mask(tail))]
+                    seen.update(found)
+                    if end:
+                        ends.update(found)
+                whole = short_key(answer, own)
+                if whole:
+                    seen["a " + whole] += 1
                 if len(seen) > 300_000:
-                    flush()
-            flush()
-            used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used]), pa.array(total_ends[used])], names=["slot", "n", "e"])
+                    yield out()
+        yield out()
 
-        rows = answers.select(F.col(text_col).alias("_text")).where("_text is not null").mapInArrow(run, "slot int, n bigint, e bigint").groupBy("slot").agg(F.sum("n").alias("n"), F.sum("e").alias("e")).toPandas()
-        seen, ends = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
-        at = rows["slot"].to_numpy(np.int64)
-        seen[at], ends[at] = rows["n"].to_numpy(np.int64), rows["e"].to_numpy(np.int64)
-        return seen, ends
+    rows = answers.select(F.col(text_col).alias("_text")).where("_text is not null").mapInArrow(run, "key string, n bigint, e bigint")
+    return rows.groupBy("key").agg(F.sum("n").alias("n"), F.sum("e").alias("e"))
 
-    words_seen, nothing = counted(False, None)
-    rare = max(4.0, RARE * float(words_seen.sum()))
-    frequent = word_table(answers, text_col).where(F.col("n") >= rare).orderBy(F.desc("n"), "word").limit(int(1 / RARE)).toPandas()["word"]
-    table = EndTable(words_seen, nothing, rare, sorted(frequent))
-    seen, ends = counted(True, table)
-    return EndTable(words_seen + seen, ends, rare, table.frequent)
+
+def end_table(answers: DataFrame, text_col: str = "answer") -> EndTable:
+    """The table with the counts of all answers, for as many as the driver can hold."""
+    table = frequent_words(answers, text_col)
+    rows = context_counts(answers, table, text_col).collect()
+    return EndTable(table.rare, table.frequent, {r["key"]: (r["n"], r["e"]) for r in rows})
 
 
 def word_table(answers: DataFrame, text_col: str = "answer") -> DataFrame:
-    """word, n: occurrences of the folded words of all texts."""
+    """word, n: occurrences of the folded words of all texts; numbers count as the word 9."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = Counter(fold(t) for text in batch.column(0).to_pylist() for t in _TOKEN.findall(text) if t[0] not in ".!?…\n" and not t.isdigit())
+            own = Counter("9" if t.isdigit() else fold(t) for text in batch.column(0).to_pylist() for t in _TOKEN.findall(text) if t[0] not in ".!?…\n")
             yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array(list(own.values()), pa.int64())], names=["word", "n"])
 
     counted = answers.select(F.col(text_col).alias("_text")).where("_text is not null").mapInArrow(run, "word string, n bigint")
@@ -305,43 +289,60 @@ def open_constructs(text: str) -> list[str]:
     return stack
 
 
-def is_truncated(query: str | None, answer: str, table: EndTable, least_share: float = 0.01) -> bool:
-    """Whether an answer breaks off before its sentence or list item is complete."""
+def ending(query: str | None, answer: str, table: EndTable) -> tuple[bool | None, list[str]]:
+    """Whether an answer breaks off before its sentence or list item is complete, and the keys
+    of the counts that have a say in it (see breaks_off); without keys the verdict stands."""
     text = answer.rstrip()
     lines = text.split("\n")
     if len(lines) > 1 and _MARKER.match(lines[-1]):
-        return True
+        return True, []
     if open_constructs(text):
-        return True
+        return True, []
     ellipsis = re.search(r"(?:\.{3,}|…)$", text)
     body = text[: ellipsis.start()].rstrip() if ellipsis else text
     if not body:
-        return False
+        return False, []
     if not ellipsis and re.search(r"[.!?][\"'»”)\]*_`]*$", body):
-        return False
+        return False, []
     if re.search(r"[,;:(\[{«“„–—/&-]$", body):
-        return True
+        return True, []
     tokens = _TOKEN.findall(body)
     tail: list[str] = ["^"]
     for token in tokens:
         tail = ["^"] if token[0] in ".!?…\n" else tail[-2:] + ["9" if token.isdigit() else fold(token)]
     last = next((t for t in reversed(tokens) if t[0] not in ".!?…\n"), "")
     if not last:
-        return False
+        return False, []
     key = short_key(body, table)
-    if key and key.split(" ") and table.seen[_slot("a " + key)] >= max(3.0, table.rare):
-        return False  # a whole short answer that others give as well
+    whole = ["a " + key] if key else []
     mark = fold(last)
     if not mark.isdigit() and table.is_rare(mark):
         around = words(query) + words(body)[:-1]
         if mark not in around and (last[0].islower() or table.begins_word(mark) or any(w.startswith(mark) for w in around)):
-            return True  # cut within a word
+            return True, whole  # cut within a word
     if key and len(tokens) <= 3 and "N" in key:
-        return False  # a name or a number with a preposition
-    share, alone = table.end_share(tail), table.end_share(tail[-1:])
+        return False, []  # a name or a number with a preposition
+    return None, whole + ["c " + context for context in _contexts(table.mask(tail))]
+
+
+def breaks_off(verdict: bool | None, keys: list[str], counts: dict[str, tuple[int, int]], rare: float, least_share: float = 0.01, least: int = 12) -> bool:
+    """The verdict of ending with the counts of its keys: a short answer that others give as
+    well is whole; else, where the verdict is open, the share of sentence ends decides after
+    the longest context that is known, that is, seen least times, or after the last word."""
+    if keys and keys[0].startswith("a ") and counts.get(keys[0], (0, 0))[0] >= max(3.0, rare):
+        return False
+    if verdict is not None:
+        return verdict
+    shares = [e / n if n >= least else None for n, e in (counts.get(k, (0, 0)) for k in keys if k.startswith("c "))]
+    share, alone = next((x for x in shares if x is not None), None), shares[-1]
     return (share is not None and share < least_share) or (alone is not None and alone < least_share / 5)
 
 
+def is_truncated(query: str | None, answer: str, table: EndTable, least_share: float = 0.01) -> bool:
+    """Whether an answer breaks off, by a table with counts."""
+    return breaks_off(*ending(query, answer, table), table.counts, table.rare, least_share)
+
+
 # --- scripts --------------------------------------------------------------------------------
 
 
@@ -362,8 +363,8 @@ def main_script(text: str) -> str | None:
 # --- the operator ---------------------------------------------------------------------------
 
 
-def classify(query: str | None, answer: str | None, is_answerable: str | None, table: EndTable, model: LanguageModel) -> str | None:
-    """The defect of a pair, or None."""
+def classify(query: str | None, answer: str | None, is_answerable: str | None, model: LanguageModel) -> str | None:
+    """The defect of a pair, or None; truncation aside."""
     if is_empty(answer):
         return "empty"
     if copies_question(query, answer):
@@ -380,7 +381,7 @@ def classify(query: str | None, answer: str | None, is_answerable: str | None, t
             return "other_language"
     if promises_answer(is_answerable) and is_refusal(answer):
         return "refusal"
-    return "truncated" if is_truncated(query, answer, table) else None
+    return None
 
 
 def fit_for_pairs(answers: DataFrame, qrels: DataFrame, documents: DataFrame, names: DataFrame, queries: DataFrame, most_pairs: int = 8_000) -> LanguageModel:
@@ -406,18 +407,40 @@ def pair_defects(answers: DataFrame, qrels: DataFrame, model: LanguageModel) ->
     an answer has one defect, the first that holds in the order empty, copies_question,
     other_language, refusal, truncated; very long answers are read whole; an empty table on
     either side gives an empty result; other columns aren't read, so clashing names do no
-    harm.  The counts behind ``truncated`` come from all answers.
+    harm.  The counts behind ``truncated`` come from all answers and are joined to the
+    endings that ask for them, so that nothing is broadcast but the frequent words.
     """
     own = one_per_key(answers, "answer_id", "qrel_id", "is_answerable", "answer")
     asked = one_per_key(qrels, "qrel_id", "query")
-    table = answers.sparkSession.sparkContext.broadcast((end_table(own), model))
-    schema = extended(own, "answer_id", "defect string")
+    table = frequent_words(own)
+    shared = answers.sparkSession.sparkContext.broadcast((table, model))
+    schema = extended(own, "answer_id", "defect string, verdict boolean, keys array<string>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends, languages = table.value
+        ends, languages = shared.value
         for batch in batches:
             for part in slices(batch, "answer"):
-                found = [classify(q, a, label, ends, languages) for q, a, label in zip(*(part.column(k).to_pylist() for k in (1, 2, 3)))]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.string())], names=schema.names)
-
-    return own.join(asked, "qrel_id").select("answer_id", "query", "answer", "is_answerable").mapInArrow(run, schema)
+                found = []
+                for q, a, label in zip(*(part.column(k).to_pylist() for k in (1, 2, 3))):
+                    defect = classify(q, a, label, languages)
+                    verdict, keys = (None, []) if defect else ending(q, a, ends)
+                    found.append((defect or ("truncated" if verdict and not keys else None), verdict, keys))
+                columns = zip(*found) if found else ((), (), ())
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.bool_(), pa.list_(pa.string()))))], names=schema.names)
+
+    rows = reliable_checkpoint(own.join(asked, "qrel_id").select("answer_id", "query", "answer", "is_answerable").mapInArrow(run, schema))  # read twice below
+    wanted = rows.where("size(keys) > 0").select("answer_id", "verdict", F.posexplode("keys").alias("place", "key"))
+    held = wanted.join(context_counts(own, table), "key", "left")
+    grouped = held.groupBy("answer_id").agg(F.first("verdict").alias("verdict"), F.array_sort(F.collect_list(F.struct("place", "key", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("e", F.lit(0)).alias("e")))).alias("held"))
+    rare = table.rare
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for verdict, held_by in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                cut = breaks_off(verdict, [h["key"] for h in held_by], {h["key"]: (h["n"], h["e"]) for h in held_by}, rare)
+                found.append("truncated" if cut else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["answer_id", "defect"])
+
+    closed = grouped.select("answer_id", "verdict", "held").mapInArrow(finish, extended(own, "answer_id", "defect string"))
+    return rows.where("size(keys) = 0").select("answer_id", "defect").unionByName(closed)

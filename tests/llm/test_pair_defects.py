@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pytest
+import xxhash
 
 from pagewright.llm import langid, pair_defects
 from pagewright.llm.pair_defects import EndTable, copies_question, greedy_tiles, is_empty, is_refusal, is_truncated, open_constructs, promises_answer
@@ -78,6 +81,21 @@ def test_truncation(table):
         assert is_truncated("q", answer, table), answer
 
 
+def test_contexts_share_no_counter_with_words(spark):
+    slot = lambda key: xxhash.xxh64_intdigest(key) % 2**19
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    taken = next(w for w in map("".join, itertools.product(letters, repeat=5)) if slot("w " + w) == slot("c closed the mill"))
+    bodies = ["The mill closed because of the wind. They closed the office because of the rain."] * 6 + [f"{taken} "] * 40 + ["They closed the mill"]
+    answers = spark.createDataFrame([(k, 1, None, x) for k, x in enumerate(bodies)], "answer_id int, qrel_id int, is_answerable string, answer string")
+    table = pair_defects.end_table(answers)
+    assert "c closed the mill" not in table.counts and not is_truncated("q", bodies[-1], table)
+    assert is_truncated("q", bodies[0] + " They closed the", table)
+    # the operator joins the same counts
+    qrels = spark.createDataFrame([(1, None)], "qrel_id int, query string")
+    got = {r["answer_id"]: r["defect"] == "truncated" for r in pair_defects.pair_defects(answers, qrels, langid.fit([])).collect()}
+    assert got == {k: is_truncated(None, x, table) for k, x in enumerate(bodies)}
+
+
 def test_scripts():
     assert pair_defects.main_script("Où est-il ?") == "LATIN" and pair_defects.main_script("где он") == "CYRILLIC"
     assert pair_defects.main_script("12 %") is None and pair_defects.main_script("東京の水") in ("CJK", "HIRAGANA")
