@@ -5,8 +5,9 @@ with digits and numerals masked, with the document's titles and with each other;
 are lines (or ends of header lines) whose value keeps its distance to the page's place.  The
 rest is reflowed with SQL windows over a document's lines: words cut at line or page ends are
 joined, lines become paragraphs.  Misread words are put right by their skeleton, in which
-glyphs that are taken for each other look alike: a rare word gives way to the frequent word,
-or to the name of the same document, with the same skeleton.
+glyphs that are taken for each other look alike: a word gives way to the frequent word with the
+same skeleton that its neighbours support, or to the name of the same document.  The neighbours
+testify by how often all documents have the two words side by side.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -25,6 +27,9 @@ from pagewright.session import reliable_checkpoint
 
 #: Share of all words from which on a word counts as frequent: at most 1 / FREQUENT words are broadcast.
 FREQUENT = 2e-5
+#: Share of all words from which on a pair of frequent words side by side supports a form: at
+#: most 1 / SUPPORT pairs are broadcast.
+SUPPORT = 1e-6
 
 # Marks of a word cut at the end of a line; glyphs by what they are taken for.
 HYPHENS = "-¬­‐"
@@ -55,23 +60,72 @@ def skeletons(word: str) -> set[str]:
 
 
 class Lexicon:
-    """Frequent words by skeleton, and how common letter triples are."""
+    """Frequent words by skeleton, and how often frequent words stand side by side.
 
-    def __init__(self, words: dict[str, int], compounds: set[str]):
+    pairs has sorted codes of two words (see code) and their counts; places also numbers the
+    words that are frequent but doubtful, so that their own neighbours are known.
+    """
+
+    def __init__(self, words: dict[str, int], compounds: set[str], places: dict[str, int] | None = None):
         self.words, self.compounds = words, compounds
+        self.places = {w: k for k, w in enumerate(words)} if places is None else places
+        self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.spelled: dict[str, str] = {}
         self.forms: dict[str, list[str]] = {}
+        self._others: dict[str, list[str]] = {}
         for word in sorted(words, key=lambda w: (-words[w], w)):
             for key in skeletons(word):
                 self.forms.setdefault(key, []).append(word)
 
     def form_of(self, word: str) -> str | None:
         """The most frequent other word with a skeleton of this folded word."""
-        best = None
-        for key in skeletons(word):
-            for form in self.forms.get(key, ())[:1]:
-                if form != word and (best is None or self.words[form] > self.words[best]):
-                    best = form
-        return best
+        return next(iter(self.forms_of(word)), None)
+
+    def forms_of(self, word: str) -> list[str]:
+        """All other words with a skeleton of this folded word, frequent ones first."""
+        found = {form for key in skeletons(word) for form in self.forms.get(key, ()) if form != word}
+        return sorted(found, key=lambda w: (-self.words[w], w))
+
+    def rivals(self, word: str) -> list[str]:
+        """forms_of a frequent word, kept."""
+        if word not in self._others:
+            self._others[word] = self.forms_of(word)
+        return self._others[word]
+
+    def code(self, left: str | None, right: str | None) -> int | None:
+        """The number of a pair of words; None where one of them isn't frequent."""
+        a, b = self.places.get(left), self.places.get(right)
+        return None if a is None or b is None else a << 32 | b
+
+    def together(self, left: str | None, right: str | None) -> int:
+        """How often two words stand side by side in all documents."""
+        code = self.code(left, right)
+        at = 0 if code is None else int(np.searchsorted(self.pairs, code))
+        return int(self.times[at]) if code is not None and at < len(self.pairs) and self.pairs[at] == code else 0
+
+    def supported(self, word: str, before: str | None, after: str | None, strange: bool) -> str | None:
+        """The form that the neighbours support in the place of word.
+
+        A frequent word gives way only where both neighbours stand ten times as often beside
+        the form as beside the word.  Any other word takes the form with most support, if it
+        has more than the word itself; the most frequent one where no neighbour is known, or,
+        as a strange glyph is a misreading for sure, where none is supported.
+        """
+        if word in self.words:
+            for form in self.rivals(word):
+                sides = ((self.together(before, form), self.together(before, word)), (self.together(form, after), self.together(word, after)))
+                if len(form) > 3 and all(n >= 10 * max(1, own) for n, own in sides):
+                    return form
+            return None
+        forms = [f for f in self.forms_of(word) if strange or len(f) > 3]
+        if not forms:
+            return None
+        support = {f: self.together(before, f) + self.together(f, after) for f in forms}
+        best = max(forms, key=lambda f: (support[f], self.words[f]))
+        if strange or (before not in self.places and after not in self.places):
+            return best
+        own = self.together(before, word) + self.together(word, after)
+        return best if support[best] >= 2 and support[best] > own else None
 
 
 def tokens(text: str) -> list[str]:
@@ -80,11 +134,16 @@ def tokens(text: str) -> list[str]:
 
 
 def misread_words(texts: list[str], lexicon: Lexicon, known: str = "") -> list[list[tuple[str, str]]]:
-    """For each text of one document the (word, its repair) of misread words.
+    """For each text of one document the (word, its repair) of misread words."""
+    return [[(token, form) for _, token, form in found] for found in misreadings(texts, lexicon, known)]
 
-    A word is frequent in the corpus, or else compared by skeleton with the frequent words
-    and with the document's own words that stand in it more often (names).  Strange glyphs
-    within a word are a misreading even if no repair is known; reference codes are none.
+
+def misreadings(texts: list[str], lexicon: Lexicon, known: str = "") -> list[list[tuple[int, str, str]]]:
+    """For each text of one document the (begin, word, repair) of misread words.
+
+    A word is compared by skeleton with the frequent words, by its neighbours at each place,
+    or else with the document's own words that stand in it more often (names).  Strange
+    glyphs within a word are a misreading even if no repair is known; reference codes are none.
     """
     counts = Counter(t for text in texts for t in tokens(text))
     counts.update(tokens(known))
@@ -93,18 +152,19 @@ def misread_words(texts: list[str], lexicon: Lexicon, known: str = "") -> list[l
         if not _STRANGE.search(token) and fold(token) not in lexicon.words:
             for key in skeletons(fold(token)):
                 folded.setdefault(key, Counter())[token] += n
+    compared: set[str] = set()
     verdict: dict[str, str | None] = {}
     for token in counts:
         word = fold(token)
         verdict[token] = None
-        if word in lexicon.words or _CODE.fullmatch(token) or len(word) < 2 or not any(c.isalpha() for c in token):
+        if _CODE.fullmatch(token) or len(word) < 2 or not any(c.isalpha() for c in token):
             continue
         strange = bool(_STRANGE.search(token))
         if len(word) < 3 and not strange:
             continue
-        form = lexicon.form_of(word)
-        if form and (strange or len(form) > 3):
-            verdict[token] = form
+        if lexicon.rivals(word) if word in lexicon.words else lexicon.form_of(word):
+            compared.add(token)
+        if word in lexicon.words:
             continue
         best = None
         for key in skeletons(word):
@@ -113,7 +173,29 @@ def misread_words(texts: list[str], lexicon: Lexicon, known: str = "") -> list[l
                     best = other
         if best or (strange and re.search(r"[^\W\d_].*[0-9!@$|]|[0-9!@$|].*[^\W\d_]", token) and sum(c.islower() for c in token) > 1):
             verdict[token] = best or word.translate(_SINGLES)
-    return [[(t, verdict[t]) for t in tokens(text) if verdict[t]] for text in texts]
+    result = []
+    for text in texts:
+        own, found = list(_WIDE.finditer(text)), []
+        for k, match in enumerate(own):
+            token = match[0]
+            form = None
+            if token in compared:
+                before = fold(own[k - 1][0]) if k else None
+                after = fold(own[k + 1][0]) if k + 1 < len(own) else None
+                form = lexicon.supported(fold(token), before, after, bool(_STRANGE.search(token)))
+            if form or verdict[token]:
+                found.append((match.start(), token, form or verdict[token]))
+        result.append(found)
+    return result
+
+
+def mended(text: str, found: list[tuple[int, str, str]], spelled: dict[str, str]) -> str:
+    """The text with its misread words repaired."""
+    parts, at = [], 0
+    for begin, token, form in found:
+        parts += [text[at:begin], _dress(spelled.get(form, form), token)]
+        at = begin + len(token)
+    return "".join(parts) + text[at:]
 
 
 def _dress(form: str, token: str) -> str:
@@ -161,11 +243,39 @@ def build_lexicon(documents: DataFrame, text_col: str = "content") -> Lexicon:
         form = probe.form_of(word)
         if form and len(word) > 3 and words[form] >= 25 * n:
             doubtful.add(word)
-    lexicon = Lexicon({w: n for w, n in words.items() if w not in doubtful}, {w for w, _ in rows if "-" in w})
+    lexicon = Lexicon({w: n for w, n in words.items() if w not in doubtful}, {w for w, _ in rows if "-" in w}, {w: k for k, w in enumerate(words)})
     lexicon.spelled = spelled
+    lexicon.pairs, lexicon.times = _pairs(documents, lexicon, max(2, int(SUPPORT * total)), text_col)
     return lexicon
 
 
+def _pairs(documents: DataFrame, lexicon: Lexicon, least: int, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes and counts of the pairs of frequent words that all texts have side by side
+    least times or more."""
+    shared = documents.sparkSession.sparkContext.broadcast(lexicon)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        total: Counter[int] = Counter()
+
+        def out() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["code", "n"])
+            total.clear()
+            return batch
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                row = [own.places.get(fold(t), -1) for t in tokens(_LINE_CUT.sub("", text))]
+                total.update(a << 32 | b for a, b in zip(row, row[1:]) if a >= 0 and b >= 0)
+                if len(total) > 200_000:
+                    yield out()
+        yield out()
+
+    counted = documents.select(F.col(text_col).alias("_text")).where("_text is not null").mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    rows = counted.where(F.col("n") >= least).orderBy("code").toPandas()
+    return rows["code"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+
+
 _LINE_CUT = re.compile(rf"(?<=[^\W\d_])[{re.escape(HYPHENS)}][ \t]*\n[ \t]*(?=[^\W\d_])")
 
 
@@ -347,10 +457,9 @@ def repaired_pages(documents: DataFrame, id_col: str = "id", text_col: str = "co
             owner, out = [], []
             for row, (pages_of, name) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
                 bodies = ["\n\n".join(p["texts"] or []) for p in pages_of]
-                found = misread_words(bodies + [p["headline"] or "" for p in pages_of], words, re.sub(r"[_\W]+", " ", name or "").title())
+                found = misreadings(bodies + [p["headline"] or "" for p in pages_of], words, re.sub(r"[_\W]+", " ", name or "").title())
                 for k, (page, text) in enumerate(zip(pages_of, bodies)):
-                    for token, form in found[k]:
-                        text = re.sub(rf"(?<![^\W_]){re.escape(token)}(?![^\W_])", lambda m, f=form, t=token: _dress(words.spelled.get(f, f), t), text)
+                    text = mended(text, found[k], words.spelled)
                     owner.append(row)
                     wrong = len(found[k]) + len(found[len(bodies) + k])
                     out.append((page["page_index"], text, page["hyphenation"] or 0, wrong, page["running_header"] or 0, page["page_number"] or 0))

@@ -20,6 +20,22 @@ def test_misread_words():
     assert dict(found[0]) == {"supp1ier": "supplier", "tirne": "time", "Krostaz0fo": "Krostazofo"}
 
 
+def test_neighbours_choose_the_form(spark):
+    texts = ["The modern house stands by the field corn store. " * 60, "A cable modem works with every router. " * 30, "We eat eine kleine suppe today. " * 40]
+    frame = spark.createDataFrame([(x,) for x in texts], "content string")
+    lexicon = ocr_repair.build_lexicon(frame)
+    repairs = lambda text: dict(misread_words([text], lexicon)[0])
+    assert repairs("The modem house stands by the field com store.") == {"modem": "modern", "com": "corn"}
+    assert repairs("A cable modem works with every router.") == {}
+    assert repairs("The cme house stands") == {} and repairs("We eat cine kleine suppe") == {"cine": "eine"}
+    # of several forms the supported one, not the most frequent
+    several = Lexicon({"modern": 900, "modem": 500, "cable": 90, "works": 90}, set())
+    several.pairs, several.times = ocr_repair.np.array(sorted([several.code("cable", "modem"), several.code("modem", "works")])), ocr_repair.np.array([30, 30])
+    assert dict(misread_words(["cable mod3m m0dem works"], several)[0])["m0dem"] == "modem"
+    text = "The modem house, a cable modem works"
+    assert ocr_repair.mended(text, ocr_repair.misreadings([text], lexicon)[0], {}) == "The modern house, a cable modem works"
+
+
 @pytest.fixture(scope="module")
 def documents(spark):
     digital = "# Report\n\n" + FILLER * 3 + "\n\nThe numbers:\n518\n330\n\n- The low-cost item\n"
