@@ -8,18 +8,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.functions.order import running_totals
 from pagewright.functions.text import bounded_text, capitalized
 
 
 @dataclass(frozen=True)
 class Task:
-    """A generation operator: its instruction, the columns it shows and the fields it returns."""
+    """A generation operator: its instruction, the columns it shows, the fields it returns and
+    those of the columns that are shortened to what a prompt may hold."""
 
     name: str
     role: str
     instruction: str
     shown: tuple[str, ...]
     fields: tuple[tuple[str, str], ...]
+    bounded: tuple[str, ...] = ()
 
     @property
     def schema(self) -> str:
@@ -37,7 +40,7 @@ _QUERY_FIELDS = (("queries", "list"),)
 TASKS = {
     t.name: t
     for t in (
-        Task("describe_document", "text", "Describe in a few sentences what this document is about.", ("content",), (("description", "text"),)),
+        Task("describe_document", "text", "Describe in a few sentences what this document is about.", ("content",), (("description", "text"),), ("content",)),
         Task("describe_corpus", "text", "Describe the collection that these documents belong to.", ("descriptions",), (("description", "text"),)),
         Task("check_contents_page", "text", "Say whether this page is a table of contents.", ("page",), (("explanation", "text"), ("has_table_of_contents", "flag"))),
         Task("summarise_section", "text", "Summarise the section in Markdown, in fewer than 500 words.", ("document_description", "section"), (("summary", "text"),)),
@@ -60,14 +63,23 @@ QUERY_CRITERIA = ("relevancy", "self_sufficiency", "persona_adaptation", "query_
 
 
 def rendered(rows: DataFrame, task: Task, language: str = "english") -> DataFrame:
-    """rows with prompt and schema; null values are shown as empty."""
+    """rows with prompt and schema; null values are shown as empty.
+
+    Only the task's bounded columns are shortened; such a task's rows say so in ``shortened``.
+    """
+    cut = F.lit(False)
     parts: list[Column] = [F.lit(f"{task.instruction}\nReply in {language} with a JSON object.")]
     for name in task.shown:
         value = F.col(name)
         if rows.schema[name].dataType.typeName() == "array":
             value = F.array_join(F.transform(value, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)), "\n")
-        parts.append(F.concat(F.lit(f"\n{name.replace('_', ' ')}:\n"), bounded_text(F.coalesce(value.cast("string"), F.lit("")))))
-    return rows.withColumn("prompt", F.concat(*parts)).withColumn("schema", F.lit(task.schema))
+        value = F.coalesce(value.cast("string"), F.lit(""))
+        if name in task.bounded:
+            whole, value = value, bounded_text(value)
+            cut = cut | (F.length(value) < F.length(whole))
+        parts.append(F.concat(F.lit(f"\n{name.replace('_', ' ')}:\n"), value))
+    own = rows.withColumn("shortened", cut) if task.bounded else rows
+    return own.withColumn("prompt", F.concat(*parts)).withColumn("schema", F.lit(task.schema))
 
 
 def numbered_requests(modules: DataFrame, key: str = "summary_id") -> DataFrame:
@@ -77,11 +89,18 @@ def numbered_requests(modules: DataFrame, key: str = "summary_id") -> DataFrame:
     return modules.groupBy(key).agg(ordered.alias("_r")).select(key, F.col("_r.line").alias("requests"))
 
 
-def descriptions_in_one(descriptions: DataFrame, order: str = "filename", text: str = "description", most: int = 10_000) -> DataFrame:
-    """One row with the array of all descriptions in order, at most the first most of them:
-    they have to fit into a prompt."""
-    first = descriptions.where(F.col(text).isNotNull()).select(order, text).orderBy(order).limit(most)
-    return first.agg(F.array_sort(F.collect_list(F.struct(order, text))).alias("_d")).select(F.col(f"_d.{text}").alias("descriptions"))
+def descriptions_in_one(descriptions: DataFrame, order: str = "filename", text: str = "description") -> DataFrame:
+    """One row with the array of all descriptions in order."""
+    own = descriptions.where(F.col(text).isNotNull())
+    return own.agg(F.array_sort(F.collect_list(F.struct(order, text))).alias("_d")).select(F.col(f"_d.{text}").alias("descriptions"))
+
+
+def description_blocks(descriptions: DataFrame, most_chars: int, order: str = "filename", text: str = "description") -> DataFrame:
+    """block, descriptions: all descriptions in order, in blocks of about most_chars characters
+    (at most one description more); their numbers rise but may leave some out."""
+    own = descriptions.where(F.col(text).isNotNull()).select(order, text, (F.length(text) + 8).cast("bigint").alias("_n"))
+    placed = running_totals(own, order, "_n", "_before").withColumn("block", F.floor(F.col("_before") / most_chars))
+    return placed.groupBy("block").agg(F.array_sort(F.collect_list(F.struct(order, text))).alias("_d")).select("block", F.col(f"_d.{text}").alias("descriptions"))
 
 
 def criteria_rows(queries: DataFrame) -> DataFrame:

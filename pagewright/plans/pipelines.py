@@ -12,7 +12,7 @@ from pagewright.functions.order import running_totals
 from pagewright.functions.text import uuid5
 from pagewright.generation.client import Client
 from pagewright.generation.config import ProviderConfig
-from pagewright.generation.prompts import TASKS, criteria_rows, descriptions_in_one, numbered_requests, rendered
+from pagewright.generation.prompts import TASKS, criteria_rows, description_blocks, descriptions_in_one, numbered_requests, rendered
 from pagewright.generation.runner import cached_replies, parsed, prompt_key, split_failures
 from pagewright.operators import quality, querygen, selection, vectors
 from pagewright.operators.sections import section_documents
@@ -84,6 +84,30 @@ class Flow:
         good = parsed(replies, task.ddl, [n for n, _ in task.fields]).select("prompt_key", "ok", "error", "value")
         return asked.join(good, "prompt_key", "left").drop("prompt", "schema", "max_tokens", "prompt_key", "images")
 
+    def described_corpus(self, descriptions: DataFrame, most_chars: int = 400_000) -> DataFrame:
+        """One row (ok, error, value) that describes the corpus by the descriptions of all
+        documents (filename, description).
+
+        Descriptions that don't fit into one prompt are described in blocks, and these
+        descriptions in turn, until one prompt holds them.  A block that fails fails the whole.
+        """
+        level = 0
+        while True:
+            own = descriptions.where("description is not null")
+            rows, chars = own.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("description") + 8), F.lit(0))).first()
+            if chars <= most_chars or rows < 2:
+                break
+            blocks = description_blocks(own, most_chars)
+            asked = self.stage(f"corpus_description_blocks/{level}", lambda b=blocks: self.ask(b, "describe_corpus").drop("descriptions"))
+            failed = asked.where("not coalesce(ok, false)").orderBy("block").limit(1)
+            if failed.count():
+                return failed.select("ok", "error", "value")
+            if asked.count() >= rows:
+                break  # each is as long as a prompt: blocks of blocks wouldn't be fewer
+            descriptions = asked.select(F.lpad(F.col("block").cast("string"), 20, "0").alias("filename"), F.col("value.description").alias("description"))
+            level += 1
+        return self.ask(descriptions_in_one(descriptions), "describe_corpus").drop("descriptions")
+
     # --- summaries --------------------------------------------------------------------------
 
     def markdown_summaries(self, documents: DataFrame) -> DataFrame:
@@ -91,7 +115,7 @@ class Flow:
         described = self.stage("descriptions", lambda: self.ask(documents, "describe_document"))
         text = F.coalesce(F.nullif(F.col("value.description"), F.lit("")), F.lit(self.settings.document_description))
         descriptions = described.select("filename", text.alias("description"))
-        self.stage("corpus_description", lambda: self.ask(descriptions_in_one(descriptions), "describe_corpus").drop("descriptions"))
+        self.stage("corpus_description", lambda: self.described_corpus(descriptions))
         sections = self.stage("sections", lambda: section_documents(documents, "filename").join(descriptions.withColumnRenamed("description", "document_description"), "filename", "left"))
         summarised = self.stage("summaries_asked", lambda: self.ask(sections, "summarise_section"))
         return self.stage("summaries", lambda: self._numbered(split_failures(summarised)[0].select("filename", F.col("ord").alias("part"), F.col("value.summary").alias("summary"), "page_numbers")))

@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import json
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from pagewright.generation.client import OfflineClient, Reply, Request, RetryingClient, Throttled, backoff
 from pagewright.generation.config import ProviderConfig
-from pagewright.generation.prompts import TASKS, rendered
+from pagewright.generation.prompts import TASKS, descriptions_in_one, rendered
 from pagewright.generation.runner import cached_replies, parsed, run_prompts, split_failures
 from pagewright.plans.pipelines import Flow, Settings
 
@@ -40,6 +44,33 @@ def test_envelope_and_cache(spark, tmp_path):
     assert cached_replies(frame, OfflineClient(), "m", path).where("ok").count() == 5
 
 
+def test_only_documents_are_shortened(spark):
+    frame = spark.createDataFrame([("x" * 450_000 + "end", "s" * 450_000 + "end"), ("short", "short")], "content string, section string")
+    rows = rendered(frame.withColumn("document_description", F.lit("d")), TASKS["summarise_section"]).orderBy("section").collect()
+    assert rows[1]["prompt"].endswith("s" * 450_000 + "end")
+    rows = rendered(frame, TASKS["describe_document"]).collect()
+    assert {len(r["content"]): (r["shortened"], len(r["prompt"]) > 400_200) for r in rows} == {450_003: (True, False), 5: (False, False)}
+
+
+def test_corpus_is_described_by_all_documents(spark, tmp_path):
+    many = spark.range(10_003).selectExpr("cast(id as string) as filename", "'d' as description")
+    assert len(descriptions_in_one(many).first()["descriptions"]) == 10_003
+
+    class Echo:
+        def generate(self, requests):
+            return [Reply("fail" not in r.prompt, json.dumps({"description": " ".join(sorted(set(re.findall(r"doc\d+", r.prompt))))}), None, 1, 1) for r in requests]
+
+    flow = Flow(spark, str(tmp_path / "a"), Echo(), ProviderConfig({"text": "echo"}))
+    names = {f"doc{k}" for k in range(60)}
+    frame = spark.createDataFrame([(n, f"about {n} " + "x" * 90) for n in sorted(names)], "filename string, description string")
+    row = flow.described_corpus(frame, 1_500).collect()
+    assert len(row) == 1 and row[0]["ok"] and set(row[0]["value"]["description"].split()) == names
+    assert flow.spark.read.parquet(f"{tmp_path}/a/corpus_description_blocks/0").count() > 3
+    flow = Flow(spark, str(tmp_path / "b"), Echo(), ProviderConfig({"text": "echo"}))
+    broken = flow.described_corpus(frame.unionByName(spark.createDataFrame([("zz", "fail")], frame.schema)), 1_500).collect()
+    assert [r["ok"] for r in broken] == [False]
+
+
 def test_malformed_payload_is_a_failure(spark):
     frame = spark.createDataFrame([(True, "no json", None), (True, '{"has_answer": true}', None)], "ok boolean, text string, error string")
     assert [r["ok"] for r in parsed(frame, "has_answer boolean", ["has_answer"]).collect()] == [False, True]
