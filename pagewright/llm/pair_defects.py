@@ -83,20 +83,41 @@ def copies_question(query: str | None, answer: str | None, share: float = 0.8, e
     ask, said = words(query), words(answer)
     if not ask or len(said) < share * len(ask):
         return False
-    if len(said) > 40 * len(ask) or (Counter(ask) & Counter(said)).total() < share * len(ask):
+    if (Counter(ask) & Counter(said)).total() < share * len(ask):
         return False  # tiles can't cover more words than both have
-    rest, covered = said, 0.0
-    while True:
-        tiles = greedy_tiles(rest, ask)
-        own = sum(n for *_, n in tiles) / len(ask)
-        if own < share:
-            break
-        covered = max(covered, own)
-        gone = {k for i, _, n in tiles for k in range(i, i + n)}
-        rest = [w for k, w in enumerate(rest) if k not in gone]
-        if len(rest) < share * len(ask):
-            break
-    return covered >= share and len(rest) <= min(extra, len(ask))
+    if len(ask) <= 2 and set(said) == set(ask):
+        return True  # tiles of one word, and nothing else
+    left, covered = _without_repeats(said, ask) if len(ask) > 1 else (said, 0.0)
+    asked, most = set(ask), min(extra, len(ask))
+    if sum(w not in asked for w in left) > most:
+        return False  # no tile takes these away
+    rest: list[str] = []
+    step = 40 * len(ask)
+    for begin in range(0, len(left), step):  # in parts, so that the time grows with the words only
+        rest += left[begin : begin + step]
+        while len(rest) >= share * len(ask):
+            tiles = greedy_tiles(rest, ask)
+            own = sum(n for *_, n in tiles) / len(ask)
+            if own < share:
+                break
+            covered = max(covered, own)
+            gone = {k for i, _, n in tiles for k in range(i, i + n)}
+            rest = [w for k, w in enumerate(rest) if k not in gone]
+        if len(rest) > step:
+            return False  # so many words without a copy
+    return covered >= share and len(rest) <= most
+
+
+def _without_repeats(said: list[str], ask: list[str]) -> tuple[list[str], float]:
+    """The words without exact copies of all of ask, and 1.0 if there was one, else 0.0."""
+    rest, covered, at, n = [], 0.0, 0, len(ask)
+    while at < len(said):
+        if said[at] == ask[0] and said[at : at + n] == ask:
+            covered, at = 1.0, at + n
+        else:
+            rest.append(said[at])
+            at += 1
+    return rest, covered
 
 
 # --- refusals -------------------------------------------------------------------------------
@@ -123,14 +144,26 @@ _LACKING = re.compile("|".join(LACKING.values()))
 _DECLINING = re.compile("|".join(DECLINING.values()))
 
 
-def is_refusal(answer: str, most_words: int = 60) -> bool:
-    """Whether every sentence declines or says that the information is lacking."""
-    if ":" in answer and len(words(answer.split(":", 1)[1])) > 3:
-        return False  # something is given after all
+def is_refusal(answer: str) -> bool:
+    """Whether every sentence declines or says that the information is lacking.
+
+    Where more than three words follow a colon, what stands after each colon must do so, too,
+    and what stands before it unless it is a lead of three words; else something is given.
+    """
+    strict = ":" in answer and len(words(answer.split(":", 1)[1])) > 3
     sentences = [s for s in _SENTENCE.split(fold(answer).replace("’", "'")) if words(s)]
-    if not sentences or sum(len(words(s)) for s in sentences) > most_words:
-        return False
-    return all(_LACKING.search(s) or _DECLINING.search(s) for s in sentences)
+    return any(map(_says_no, sentences)) and all(_refuses(s, strict) for s in sentences)
+
+
+def _says_no(text: str) -> bool:
+    return bool(_LACKING.search(text) or _DECLINING.search(text))
+
+
+def _refuses(sentence: str, strict: bool) -> bool:
+    before, colon, after = sentence.partition(":")
+    if not (strict and colon):
+        return _says_no(sentence)
+    return (len(words(before)) <= 3 or _says_no(before)) and (not words(after) or _refuses(after.strip(), strict))
 
 
 def promises_answer(is_answerable: str | None) -> bool:

@@ -56,6 +56,22 @@ def test_refusals():
     assert not promises_answer("Unanswerable") and not promises_answer(None)
 
 
+def test_refusals_after_a_colon_and_long_ones():
+    for answer in ("Answer: I cannot answer this question.", "Sorry: the page does not say this.", "I cannot answer this question. " * 20, "Note: answer: the page does not say this.", "Answer:\nI cannot answer this question."):
+        assert is_refusal(answer), answer
+    for answer in ("Ana Blum built a wall in Tarn: the page does not say more.", "The page gives no total: 5 million. The page does not say more.", "I cannot say more: Ana Blum built a wall in Tarn.", "Answer: Ana Blum built a wall.", "I cannot answer this. " * 20 + "Ana Blum built a wall."):
+        assert not is_refusal(answer), answer
+
+
+def test_many_and_short_copies():
+    query = "Which measures did Ana Blum take?"
+    for ask, answer in ((query, query * 60), (query, (query + " ") * 60 + "indeed"), ("Costs?", "Costs"), ("Water costs?", "Costs, water")):
+        assert copies_question(ask, answer), answer
+    assert not copies_question(query, (query + " ") * 60 + "She built three walls of stone and closed the old mill.")
+    assert not copies_question("Costs?", "The costs were twelve million") and not copies_question("Costs?", "No costs")
+    assert copies_question(query, query.replace("measures", "steps") * 60) is False and copies_question(query, query + query.replace("take", "plan"))
+
+
 def test_pushdown_parser():
     for text in ("(a [b] c)", "He said “yes” (twice)", "1) one\n2) two", "```\ncode (\n```", "it's 5 o'clock", "**bold** text", 'a "quote" b'):
         assert open_constructs(text) == [], text
