@@ -293,6 +293,12 @@ def _skeleton_key(column: Column) -> Column:
     return F.regexp_replace(key, r"[^a-z]+", "")
 
 
+def _header_key(column: Column) -> Column:
+    """A header's key with each number, also one with letters read for digits, as one mark."""
+    masked = F.regexp_replace(column, r"(?<![\p{L}\p{N}])(?=[lIoOSB!]*[0-9])[0-9lIoOSB!]+(?![\p{L}\p{N}])", "\u2116")
+    return F.concat(_skeleton_key(masked), F.regexp_replace(masked, "[^\u2116]+", ""))
+
+
 def scanned_lines(documents: DataFrame, id_col: str = "id", text_col: str = "content") -> DataFrame:
     """document_id, page_index, line_no, line, scanned, of the lines of scanned pages and, with
     scanned false, of other pages' headings and the first line of the document.
@@ -368,10 +374,12 @@ def page_furniture(lines: DataFrame) -> DataFrame:
         (alone != "").alias("alone"),
         F.when(alone != "", "").when(before != "", F.regexp_extract("line", _BEFORE, 2)).when(after != "", F.regexp_extract("line", _AFTER, 1)).otherwise(F.col("line")).alias("rest"),
     )
-    edge = edge.withColumn("key", _skeleton_key("rest")).join(titles, "document_id", "left")
+    edge = edge.withColumn("key", _skeleton_key(F.col("rest"))).withColumn("masked", _header_key(F.col("rest"))).join(titles, "document_id", "left")
     looks = (F.length("key") >= 4) & (F.length("rest") <= 70) & ~F.col("rest").rlike(rf"[.,;:{re.escape(HYPHENS)}]$") & F.col("rest").rlike(r"^[\p{Lu}0-9!@|]")
     is_title = F.expr("exists(titles, t -> levenshtein(t, key) <= greatest(1, length(t) div 8))")
-    repeated = F.size(F.collect_set("page_index").over(W.partitionBy("document_id", "key"))) >= 2
+    pages_with = lambda key: F.size(F.collect_set("page_index").over(W.partitionBy("document_id", key)))
+    # two words at least, as captions ("Table 2") aren't headers
+    repeated = (pages_with("key") >= 2) | ((pages_with("masked") >= 2) & F.col("rest").rlike(r"\p{L}{2}.*\s\p{L}{2}"))
     itself = F.coalesce((F.col("page_index") == 0) & (F.col("line_no") == F.col("title_line")), F.lit(False))
     edge = edge.withColumn("header", ~itself & looks & (F.coalesce(is_title, F.lit(False)) | (repeated & F.col("narrow")) | F.col("apart")))
 

@@ -75,3 +75,10 @@ def test_page_numbers_must_keep_their_distance(spark):
     lines = ocr_repair.scanned_lines(frame)
     kinds = {r["page_index"]: r["kind"] for r in ocr_repair.page_furniture(lines).collect()}
     assert kinds == {0: "number", 1: "number", 3: "number"}
+
+
+def test_headers_with_a_changing_number(spark):
+    body = "The supplier agreement improved the maintenance\nschedule during the spring of the year and\nnothing else happened."
+    text = BREAK.join(f"{head}\n{body}" for head in ("Opening words of it", "Sheet 10 Water Study", "Sheet 1l Water Study", "Sheet 15 Water Study", "Rivers in the north"))
+    lines = ocr_repair.scanned_lines(spark.createDataFrame([("s", text, "s")], "id string, content string, filename string"))
+    assert {r["page_index"] for r in ocr_repair.page_furniture(lines).where("kind = 'header'").collect()} == {1, 2, 3}
