@@ -1,13 +1,13 @@
 """Problem 7: encoding a corpus with a public byte-level BPE vocabulary.
 
 Pre-tokenisation is vectorised.  Each code point gets a class (letter, number, space, other)
-from a table, and the place where a run of equal classes begins is found with a scan over
-transition functions: a position where the class changes resets the state to its own index
-and every other position keeps it, so composing the functions is "last reset wins", which is
-associative and which ``maximum.accumulate`` computes for a whole chunk at once.  The rules
-on leading spaces, trailing white space and English contractions are then decided from run
-starts and run ends, without a regular expression.  The resulting byte slices go through a
-cache of merged pieces; only pieces not seen before run the pair merges.
+from a table, and with what follows it a symbol.  A symbol is a transition function over the
+states of an automaton that cuts the text into pieces; functions are composed with a table of
+the finite monoid they generate.  As composition is associative, a chunk is scanned in blocks
+side by side: prefixes within all blocks at once, then the blocks' totals, then every block
+from the state it is entered in.  A piece begins where the state before a code point and its
+symbol say so, without a regular expression.  The resulting byte slices go through a cache of
+merged pieces; only pieces not seen before run the pair merges.
 """
 
 from __future__ import annotations
@@ -45,50 +45,119 @@ def class_table() -> np.ndarray:
     return table
 
 
-def piece_starts(points: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Indexes at which pieces begin in concatenated texts.
-
-    points: code points of all texts; first: indexes where a text begins (no empty texts).
+#: States: the next code point begins a piece whatever it is; within a run of letters, of numbers, of
+#: other characters, of white space; after a space that belongs to the next piece; within a
+#: contraction with one or two letters to come.
+FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, IN_SPACES, AFTER_SPACE, ONE_MORE, TWO_MORE = range(8)
+#: Symbols: the classes; an apostrophe before one or two letters that make a contraction; white
+#: space before more of it or the end, a space before something else, other white space before it.
+S_OTHER, S_LETTER, S_NUMBER, S_SHORT, S_LONG, S_INNER, S_LEADING, S_LONE = range(8)
+#: Added to the symbol of a text's first code point.
+FIRST = 8
+
+
+def _step(state: int, symbol: int) -> tuple[int, bool]:
+    """The state after a symbol, and whether a piece begins with it."""
+    if symbol >= FIRST:
+        return _step(FRESH, symbol - FIRST)[0], True
+    if state == TWO_MORE:
+        return ONE_MORE, False
+    if state == ONE_MORE:
+        return FRESH, False
+    if symbol == S_INNER:
+        return IN_SPACES, state != IN_SPACES
+    if symbol == S_LEADING:
+        return AFTER_SPACE, True
+    if symbol == S_LONE:
+        return FRESH, True
+    if symbol in (S_SHORT, S_LONG) and state not in (IN_OTHERS, AFTER_SPACE):
+        return (ONE_MORE if symbol == S_SHORT else TWO_MORE), True
+    run = {S_LETTER: IN_LETTERS, S_NUMBER: IN_NUMBERS}.get(symbol, IN_OTHERS)
+    return run, state not in (run, AFTER_SPACE)
+
+
+class Automaton:
+    """Tables of the automaton and of the monoid of its transition functions.
+
+    after[f, q]: the state that function f leads to from state q; compose[f, g]: f and then g;
+    symbol k is function k; begins[q, k]: whether a piece begins with symbol k in state q.
     """
+
+    def __init__(self) -> None:
+        states, symbols = range(8), range(2 * FIRST)
+        functions = [tuple(_step(q, k)[0] for q in states) for k in symbols]
+        number = {f: k for k, f in reversed(list(enumerate(functions)))}
+        at = 0
+        while at < len(functions):  # closed when no product with a symbol is new
+            for k in symbols:
+                product = tuple(functions[k][q] for q in functions[at])
+                if product not in number:
+                    number[product] = len(functions)
+                    functions.append(product)
+            at += 1
+        self.after = np.array(functions, np.uint8)
+        self.compose = np.array([[number[tuple(g[q] for q in f)] for g in functions] for f in functions], np.uint8 if len(functions) < 256 else np.uint16)
+        self.begins = np.array([[_step(q, k)[1] for k in symbols] for q in states])
+
+    def states_before(self, symbols: np.ndarray) -> np.ndarray:
+        """The state before each symbol, by a scan in about sqrt(n) blocks of sqrt(n) symbols."""
+        size = len(symbols)
+        width = max(1, int(size**0.5))
+        blocks = -(-size // width)
+        rows = np.zeros((blocks, width), self.compose.dtype)
+        rows.reshape(-1)[:size] = symbols
+        prefix = np.ascontiguousarray(rows.T)  # a row per place within the blocks
+        for k in range(1, width):
+            prefix[k] = self.compose[prefix[k - 1], prefix[k]]
+        entered = np.zeros(blocks, np.uint8)
+        state = FRESH
+        for block, total in enumerate(prefix[-1].tolist()):
+            entered[block] = state
+            state = self.after[total, state]
+        before = np.empty((width, blocks), np.uint8)
+        before[0] = entered
+        before[1:] = self.after[prefix[:-1], entered[None, :]]
+        return before.T.reshape(-1)[:size]
+
+
+@lru_cache(maxsize=1)
+def automaton() -> Automaton:
+    return Automaton()
+
+
+def symbols_of(points: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The symbol of each code point of concatenated texts that begin at first."""
     size = len(points)
-    if not size:
-        return np.zeros(0, np.int64)
     kinds = class_table()[points]
-    opens = np.empty(size + 1, bool)  # opens[size]: the end counts as the begin of a next text
-    opens[:-1] = False
+    opens = np.zeros(size + 3, bool)
     opens[first] = True
-    opens[size] = True
-    reset = opens.copy()
-    reset[1:-1] |= kinds[1:] != kinds[:-1]
-    begins = reset[:-1].copy()
-    run_begin = np.maximum.accumulate(np.where(reset[:-1], np.arange(size), 0))
-
-    # the last character of a run of white space before other text
-    last = np.flatnonzero((kinds == SPACE) & reset[1:] & ~opens[1:])
-    begins[last] = True
-    glued = last[points[last] == 0x20]
-    begins[glued + 1] = False
-    del run_begin
-
-    # an apostrophe that begins a piece and is followed by a contraction's letters
-    marks = np.flatnonzero((points[:-1] == 0x27) & begins[:-1] & reset[1:-1] & ~opens[1:-1] & (kinds[1:] == LETTER))
+    opens[size:] = True  # the end counts as the begin of a next text
+    symbols = np.array([S_OTHER, S_LETTER, S_NUMBER, S_INNER], np.uint8)[kinds]
+    ends_run = np.zeros(size, bool)  # white space with something else after it
+    ends_run[:-1] = (kinds[:-1] == SPACE) & (kinds[1:] != SPACE) & ~opens[1:size]
+    last = np.flatnonzero(ends_run)
+    symbols[last] = np.where(points[last] == 0x20, S_LEADING, S_LONE)
+    marks = np.flatnonzero(points == 0x27)
+    marks = marks[~opens[marks + 1]]
     if len(marks):
         one = points[marks + 1]
-        single = np.isin(one, [0x73, 0x74, 0x6D, 0x64])
-        short = marks[single]
-        begins[short + 1] = False
-        inner = short[~opens[short + 2]] + 2
-        begins[inner] = True
-        rest = marks[~single]
-        rest = rest[rest + 2 < size]
-        rest = rest[~opens[rest + 2]]
-        pair = points[rest + 1].astype(np.int64) * 0x110000 + points[rest + 2]
-        wanted = [ord(a) * 0x110000 + ord(b) for a, b in ("re", "ve", "ll")]
-        long = rest[np.isin(pair, wanted)]
-        begins[long + 1] = False
-        inner = long[~opens[long + 3]] + 3
-        begins[inner] = True
-    return np.flatnonzero(begins)
+        symbols[marks[np.isin(one, [ord(c) for c in "stmd"])]] = S_SHORT
+        marks = marks[~opens[marks + 2]]
+        pair = points[marks + 1].astype(np.int64) * 0x110000 + points[marks + 2]
+        symbols[marks[np.isin(pair, [ord(a) * 0x110000 + ord(b) for a, b in ("re", "ve", "ll")])]] = S_LONG
+    symbols[first] += FIRST
+    return symbols
+
+
+def piece_starts(points: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Indexes at which pieces begin in concatenated texts.
+
+    points: code points of all texts; first: indexes where a text begins (no empty texts).
+    """
+    if not len(points):
+        return np.zeros(0, np.int64)
+    machine, symbols = automaton(), symbols_of(points, first)
+    return np.flatnonzero(machine.begins[machine.states_before(symbols), symbols])
 
 
 class ByteBpe:
@@ -225,19 +294,19 @@ def _encoder(data: bytes) -> ByteBpe:
     return _ENCODERS[key]
 
 
-def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = DEFAULT_VOCABULARY, offsets: bool = False) -> DataFrame:
+def encode_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = DEFAULT_VOCABULARY, offsets: bool = False, most_bytes: int = 32_000_000) -> DataFrame:
     """Token ids of each text, as ``<id_col>, ids``; with offsets also ``starts, counts``.
 
     Null and empty texts give empty lists; blank texts are encoded as they are; repeated rows
     stay repeated, as every row is encoded by itself; an empty table gives an empty one; other
     columns are not read.  starts has the byte of the text where each piece begins and counts
     its number of ids, so that a range of ids can be traced to its bytes.  There is no
-    shuffle: one pass over the two columns.  The vocabulary (under 2 MB, checked) travels to
-    the executors in a broadcast variable.
+    shuffle: one pass over the two columns.  The vocabulary file (most_bytes at most, checked)
+    travels to the executors in a broadcast variable.
     """
     with open(vocabulary, "rb") as file:
         data = file.read()
-    if len(data) > 32_000_000:
+    if len(data) > most_bytes:
         raise ValueError("the vocabulary file is larger than what may be broadcast")
     shared = df.sparkSession.sparkContext.broadcast(data)
     schema = extended(df, id_col, "ids array<int>" + ", starts array<bigint>, counts array<bigint>" * offsets)

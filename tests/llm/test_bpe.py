@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import os
 
+import numpy as np
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -54,3 +55,33 @@ def test_table(spark, both):
             assert own.decode(r["ids"][at : at + n]).encode() == text[start:stop]
             at += n
         assert at == len(r["ids"])
+
+
+@given(text=st.text(st.sampled_from("ab' \n\tstrevlmd1²_!é"), min_size=1, max_size=60), cut=st.integers(0, 60))
+@settings(max_examples=300, deadline=None)
+def test_scan_is_the_automaton_step_by_step(text, cut):
+    points = np.array([ord(c) for c in text], np.uint32)
+    first = np.unique([0, min(cut, len(text) - 1)])
+    symbols = bpe.symbols_of(points, first)
+    state, states, begins = bpe.FRESH, [], []
+    for k, symbol in enumerate(symbols.tolist()):
+        states.append(state)
+        state, begin = bpe._step(state, symbol)
+        begins += [k] * begin
+    assert bpe.automaton().states_before(symbols).tolist() == states
+    assert bpe.piece_starts(points, first).tolist() == begins
+
+
+def test_boundaries_come_from_the_scan(both, monkeypatch):
+    own, other = both
+    text = "They've  said: 'tis 12 o'clock,\n\n  isn't it?"
+    assert own.encode(text) == other.encode_ordinary(text)
+    monkeypatch.setattr(bpe.Automaton, "states_before", lambda self, symbols: np.zeros(len(symbols), np.uint8))
+    assert own.encode(text) != other.encode_ordinary(text)
+
+
+def test_composition_is_associative():
+    compose = bpe.automaton().compose
+    n = len(compose)
+    a, b, c = np.meshgrid(*[np.arange(n)] * 3, indexing="ij")
+    assert (compose[compose[a, b], c] == compose[a, compose[b, c]]).all()
