@@ -1,13 +1,15 @@
 """Problem 8: evaluation items that leak into a corpus.
 
 An item leaks into a document when a run of at least half of its words stands in the document
-in order, apart from one replaced word in every ten.  A run of n words with at most e replaced
-ones, cut into e + 1 pieces, has a piece without an error (pigeonhole), so every leak holds an
-exact piece.  The pieces of all such runs of an item are its word n-grams of one length; their
-hashes form a sorted array, and one vectorised pass over the documents looks up every window.
-Hits are counted by document, item and diagonal, since a run with few errors must hold several
-pieces on one diagonal (q-gram lemma); what remains is verified with Myers' bit-parallel edit
-distance over words, and then by counting the replaced words exactly.
+in order, apart from one wrong word in every ten.  A run of n words with at most e errors, cut
+into e + 1 pieces, has a piece without an error (pigeonhole), so every leak holds an exact
+piece.  The pieces of all such runs of an item are its word n-grams of one length; their hashes
+form a sorted array, and one vectorised pass over the documents looks up every window.  Hits
+are counted by document and item on a band of diagonals, since a run with few errors must hold
+several pieces there (q-gram lemma).  What remains is verified with Myers' bit-parallel edit
+distance over words, which finds the places where a run ends within its budget.  An error is an
+inserted, missing or replaced word; where only replaced words are allowed, the words before
+each of these places are compared one by one as well.
 """
 
 from __future__ import annotations
@@ -24,22 +26,22 @@ from pagewright.llm.textkit import PAGE_BREAK, one_per_key, slices, words
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
-def myers_within(pattern: list[int], text: list[int], limit: int) -> bool:
-    """Whether some substring of text is within limit edits of pattern (Myers, 1999).
+def myers_ends(pattern: list[int], text: list[int], limit: int) -> Iterator[int]:
+    """The places in text where a substring within limit edits of pattern ends (Myers, 1999).
 
     One bit of a Python integer stands for each word of the pattern, so its length is free.
     """
     size = len(pattern)
+    if size <= limit:
+        yield 0
     if not size:
-        return True
+        return
     peq: dict[int, int] = {}
     for i, symbol in enumerate(pattern):
         peq[symbol] = peq.get(symbol, 0) | 1 << i
     full, top = (1 << size) - 1, 1 << (size - 1)
     plus, minus, score = full, 0, size
-    if score <= limit:
-        return True
-    for symbol in text:
+    for place, symbol in enumerate(text, 1):
         eq = peq.get(symbol, 0)
         diagonal = (((eq & plus) + plus) ^ plus) | eq | minus
         up, down = (minus | ~(diagonal | plus)) & full, plus & diagonal
@@ -48,10 +50,9 @@ def myers_within(pattern: list[int], text: list[int], limit: int) -> bool:
         elif down & top:
             score -= 1
         if score <= limit:
-            return True
+            yield place
         up, down = (up << 1) & full, (down << 1) & full
         plus, minus = (down | ~((eq | minus) | up)) & full, up & (eq | minus)
-    return False
 
 
 def window_hashes(ids: np.ndarray, size: int) -> np.ndarray:
@@ -68,16 +69,16 @@ def window_hashes(ids: np.ndarray, size: int) -> np.ndarray:
 class ItemIndex:
     """Pieces of a block of items.
 
-    share: part of an item's words that must stand in one run; per_error: words per replaced
-    word.  For an item of m words the shortest run has n = ceil(share * m) words and
+    share: part of an item's words that must stand in one run; per_error: words per error;
+    replaced: whether only replaced words are errors, else inserted and missing ones, too.  For an item of m words the shortest run has n = ceil(share * m) words and
     e = n // per_error errors, and a run without error in it has (n - e) // (e + 1) words at
     least.  Longer runs may have more errors, but a run of 10k to 10k + 9 words with k errors
     holds one of 10k words with k errors, so only these lengths are needed; the piece length
     is the least over all of them.
     """
 
-    def __init__(self, items: list[tuple[int, str]], share: float = 0.5, per_error: int = 10):
-        self.per_error = per_error
+    def __init__(self, items: list[tuple[int, str]], share: float = 0.5, per_error: int = 10, replaced: bool = True):
+        self.per_error, self.replaced = per_error, replaced
         self.vocabulary = _Known()
         self.items: list[tuple[int, np.ndarray, list[tuple[int, int]]]] = []
         grams: dict[int, list[tuple[np.ndarray, int]]] = {}
@@ -132,35 +133,42 @@ class ItemIndex:
             text, item, diagonal, inner = text[order], item[order], diagonal[order], inner[order]
             if not len(text):
                 continue
-            edge = np.flatnonzero(np.concatenate([[True], (np.diff(text) != 0) | (np.diff(item) != 0) | (np.diff(diagonal) != 0)]))
+            edge = np.flatnonzero(np.concatenate([[True], (np.diff(text) != 0) | (np.diff(item) != 0)]))
             for a, b in zip(edge, np.append(edge[1:], len(text))):
                 key = (int(text[a]), int(item[a]))
-                if key not in found and self._verify(ids[begin[key[0]] : begin[key[0] + 1] - 1], int(diagonal[a]), inner[a:b], size, *self.items[key[1]][1:]):
+                if key not in found and self._verify(ids[begin[key[0]] : begin[key[0] + 1] - 1], diagonal[a:b], inner[a:b], size, *self.items[key[1]][1:]):
                     found.add(key)
         return sorted((text, self.items[item][0]) for text, item in found)
 
-    def _verify(self, text: np.ndarray, diagonal: int, places: np.ndarray, size: int, item: np.ndarray, runs: list[tuple[int, int]]) -> bool:
+    def _verify(self, text: np.ndarray, diagonals: np.ndarray, places: np.ndarray, size: int, item: np.ndarray, runs: list[tuple[int, int]]) -> bool:
+        """Whether text holds a run of item; diagonals (in order) and places (in the item) of the
+        pieces found.  The pieces of a run lie within its errors of the diagonal of any of them."""
         for length, errors in runs:
-            need = max(1, length - size + 1 - errors * size)
-            if len(places) < need:
+            need, band = max(1, length - size + 1 - errors * size), 0 if self.replaced else errors
+            if len(places) < need or length > len(item):
                 continue
-            first, last = max(0, -diagonal), min(len(item), len(text) - diagonal) - length
-            if last < first:
-                continue
-            starts = np.arange(first, last + 1)
-            support = np.searchsorted(places, starts + length - size, "right") - np.searchsorted(places, starts)
-            for k in np.argsort(-support, kind="stable"):
-                if support[k] < need:
-                    break
-                start = int(starts[k])
-                pattern = item[start : start + length]
-                piece = text[max(0, start + diagonal - errors) : start + diagonal + length + errors]
-                if not myers_within(pattern.tolist(), piece.tolist(), errors):
+            for diagonal in np.unique(diagonals).tolist():
+                low, high = np.searchsorted(diagonals, diagonal - band), np.searchsorted(diagonals, diagonal + band, "right")
+                if high - low < need:
                     continue
-                if int((text[start + diagonal : start + diagonal + length] != pattern).sum()) <= errors:
-                    return True
+                own = np.sort(places[low:high])
+                starts = np.arange(max(0, -diagonal - band), min(len(item), len(text) - diagonal + band) - length + 1)
+                support = np.searchsorted(own, starts + length - size, "right") - np.searchsorted(own, starts)
+                for k in np.argsort(-support, kind="stable").tolist():
+                    if support[k] < need:
+                        break
+                    start = int(starts[k])
+                    if self._matches(item[start : start + length], text[max(0, start + diagonal - errors) : start + diagonal + length + errors], errors):
+                        return True
         return False
 
+    def _matches(self, pattern: np.ndarray, piece: np.ndarray, errors: int) -> bool:
+        ends = myers_ends(pattern.tolist(), piece.tolist(), errors)
+        if not self.replaced:
+            return next(ends, None) is not None
+        size = len(pattern)
+        return any(end >= size and int((piece[end - size : end] != pattern).sum()) <= errors for end in ends)
+
 
 class _Known(dict):
     """Word to number; words of no item are 0 and aren't kept."""
@@ -171,10 +179,12 @@ class _Known(dict):
 
 def leaked_items(
     documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "item_text",
-    share: float = 0.5, per_error: int = 10, block_rows: int = 20_000,
+    share: float = 0.5, per_error: int = 10, replaced: bool = True, block_rows: int = 20_000,
 ) -> DataFrame:
     """(<id_col>, <item_col>) of each item that a document gives away.
 
+    One word in every per_error may be wrong: replaced by another, and without ``replaced`` also
+    inserted or left out.
     Null, empty and blank texts and items without words give no rows; rows repeated under one
     id count once; texts of any length are read whole; ties don't arise, as every leak is
     given; an empty table on either side gives an empty result; other columns aren't read.
@@ -191,7 +201,7 @@ def leaked_items(
     result = None
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64(item_col), F.lit(blocks)) == block) if blocks > 1 else items
-        index = ItemIndex([(r[0], r[1]) for r in part.collect()], share, per_error)
+        index = ItemIndex([(r[0], r[1]) for r in part.collect()], share, per_error, replaced)
         shared = documents.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

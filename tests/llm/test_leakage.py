@@ -4,7 +4,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pagewright.llm.leakage import ItemIndex, leaked_items, myers_within
+from pagewright.llm.leakage import ItemIndex, leaked_items, myers_ends
 from pagewright.llm.textkit import PAGE_BREAK, words
 
 
@@ -21,7 +21,7 @@ def edit_within(pattern, text, limit):
 @given(st.lists(st.integers(0, 2), max_size=9), st.lists(st.integers(0, 2), max_size=12), st.integers(0, 4))
 @settings(max_examples=300, deadline=None)
 def test_myers(pattern, text, limit):
-    assert myers_within(pattern, text, limit) == edit_within(pattern, text, limit)
+    assert bool(list(myers_ends(pattern, text, limit))) == edit_within(pattern, text, limit)
 
 
 def brute(item, text):
@@ -54,6 +54,45 @@ def test_search_against_brute_force():
     assert got == truth and len(truth) > 30
 
 
+def brute_edits(item, text):
+    """By the edit distance of every run of half of the item or of whole tens of words beyond."""
+    least = -(-len(item) // 2)
+    lengths = [least] + [n for n in range(10, len(item) + 1, 10) if n > least]
+    return any(edit_within(item[i : i + n], text, n // 10) for n in lengths for i in range(len(item) - n + 1))
+
+
+def test_edits_against_brute_force():
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{k}" for k in range(14)]
+    items = [(k, " ".join(rng.choice(vocabulary, rng.integers(1, 50)))) for k in range(14)]
+    index, strict = ItemIndex(items, replaced=False), ItemIndex(items)
+    texts = []
+    for _ in range(60):
+        own = words(items[rng.integers(len(items))][1])
+        at, n = rng.integers(len(own)), rng.integers(1, len(own) + 1)
+        part: list[str] = []
+        for w in own[at : at + n]:
+            draw = rng.random()
+            part += [w, "zz"] if draw < 0.05 else [] if draw < 0.08 else [w]
+        texts.append(" ".join([*rng.choice(vocabulary, rng.integers(0, 6)), *part, *rng.choice(vocabulary, rng.integers(0, 6))]))
+    got, fewer = set(index.find(texts)), set(strict.find(texts))
+    truth = {(t, k) for t, text in enumerate(texts) for k, item in items if brute_edits(words(item), words(text))}
+    assert got == truth and len(truth) > 20
+    assert fewer < got
+
+
+def test_inserted_words_and_the_verdict_of_myers(monkeypatch):
+    own = [f"word{k}" for k in range(40)]
+    text = " ".join(own[:13] + ["oh"] + own[13:27] + ["well"] + own[27:])
+    assert ItemIndex([(1, " ".join(own))], replaced=False).find([text]) == [(0, 1)]
+    half = " ".join(own[:8] + ["x", "y", "z"] + own[8:14] + ["u", "v"] + own[14:20])
+    for replaced in (True, False):
+        assert ItemIndex([(1, " ".join(own))], replaced=replaced).find([half]) == []
+    monkeypatch.setattr("pagewright.llm.leakage.myers_ends", lambda pattern, text, limit: iter(()))
+    for replaced in (True, False):
+        assert ItemIndex([(1, " ".join(own))], replaced=replaced).find([" ".join(own)]) == []
+
+
 def test_tables(spark):
     item = " ".join(f"Word{k}" for k in range(40))
     half = item.split()[:20]
