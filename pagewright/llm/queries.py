@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagewright.llm import bpe, langid, leakage, neardup, ocr_repair, pair_defects, quota_sample, readability, splitting
 from pagewright.llm.textkit import one_per_key
@@ -48,13 +49,15 @@ def _quotas(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    """The categories whose targets could not be met."""
-    return _quotas(spark, folder)[1].where("gap > 0 and drawn < required").select("query_type", "query_format")
+    """The categories whose targets the calibration could not meet and the sample doesn't."""
+    return _quotas(spark, folder)[1].where("unmet > 0 and gap > 0").select("query_type", "query_format")
 
 
 def p3_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Available, required and drawn rows of each category."""
-    return _quotas(spark, folder)[1]
+    """Available, required and unmet rows of each category, and whether the rows drawn are those
+    that the calibration expects, but for the rounding of a part."""
+    drawn = F.abs(F.col("drawn") - F.col("expected")) < 1
+    return _quotas(spark, folder)[1].select("query_type", "query_format", "available", "required", "unmet", drawn.alias("drawn_as_expected"))
 
 
 def p3_sample(spark: SparkSession, folder: str) -> DataFrame:
@@ -137,6 +140,17 @@ def oracle_sql() -> dict[str, str]:
             )
             select distinct item_kind, item_id from items join split_limits using (item_kind)
             where length(body) > max_chars""",
+        "p3_report": rf"""
+            with own as (
+              select distinct qtj_id, {_category('supposed_query_type')} as k1, {_category('supposed_query_format')} as k2
+              from queries_to_judge where regexp_matches(query, '\S')
+            ),
+            facts as (
+              select query_type, query_format, (select count(distinct qtj_id) from own where k1 = {_category('query_type')} and k2 = {_category('query_format')}) as available,
+                     greatest(min_rows, ceil(target_permille * (select count(distinct qtj_id) // 5 from own) / 1000))::bigint as required
+              from sample_targets
+            )
+            select *, greatest(required - available, 0) as unmet, true as drawn_as_expected from facts""",
         "p3_found": rf"""
             with own as (
               select distinct qtj_id, {_category('supposed_query_type')} as k1, {_category('supposed_query_format')} as k2

@@ -2,9 +2,12 @@
 
 The only statistics are category moments, one distributed count per category.  Inclusion
 probabilities come from exponential tilting: the dual of the calibration problem is solved by
-Newton iterations on the moments.  Categories at their floor or at what is available are fixed
-there, and the rest is tilted again to what is left.  The draw uses the pivotal method, in
-blocks of bounded size whose undecided rows meet again in further rounds.
+Newton iterations on the moments, which are the totals of the types and of the formats.  No
+category with enough rows is tilted below its own target; what categories that fall short leave
+goes to others, first of the same type or format, so that the marginal shares stay as near to
+their targets as they can.  Categories at a bound are fixed there, and the rest is tilted again.
+The draw uses the pivotal method, in blocks of bounded size whose undecided rows meet again in
+further rounds.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.textkit import one_per_key
+from pagewright.session import reliable_checkpoint
 
 
 def category_key(column: Column) -> Column:
@@ -25,15 +29,16 @@ def category_key(column: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(column, r"(?U)^\s+|\s+$", ""), r"(?U)[-_\s]+", "-"))
 
 
-def tilt(counts: np.ndarray, targets: np.ndarray, design: np.ndarray | None = None, steps: int = 60) -> np.ndarray:
-    """Inclusion probability of each category by exponential tilting.
+def tilt(counts: np.ndarray, targets: np.ndarray, design: np.ndarray | None = None, base: np.ndarray | None = None, steps: int = 60) -> np.ndarray:
+    """Inclusion probability of each category by exponential tilting of base.
 
     Minimises the dual sum(counts * base * exp(design @ x)) - targets @ x by Newton's method
-    with step halving; base is the overall sampling rate and design has a row per category and
-    a column per moment (the categories themselves where none is given).
+    with step halving.  design has a row per category and a column per moment; without one the
+    categories are the moments.  base is 1 unless given.  Targets that contradict each other are
+    met as far as the steps lead; expected moments tell.
     """
     design = np.eye(len(counts)) if design is None else design
-    base = targets.sum() / counts.sum() if design.shape[0] == design.shape[1] else 1.0
+    base = np.ones(len(counts)) if base is None else base
     x = np.zeros(design.shape[1])
 
     def value(y: np.ndarray) -> float:
@@ -55,39 +60,74 @@ def tilt(counts: np.ndarray, targets: np.ndarray, design: np.ndarray | None = No
 
 @dataclass
 class Plan:
-    """What the calibration settles for each category."""
+    """What the calibration settles for each category: the chance of its rows, the rows it
+    should have, and those of them that it can't have though all its rows be taken."""
 
     size: int
     probability: np.ndarray
     required: np.ndarray
+    unmet: np.ndarray
 
 
-def calibrate(available: np.ndarray, permille: np.ndarray, floors: np.ndarray, size: int) -> Plan:
+def _indicators(*labels: list) -> np.ndarray:
+    """A column for each value of each list of labels."""
+    return np.concatenate([np.array([[x == v for v in sorted(set(own))] for x in own], float).reshape(len(own), -1) for own in labels], axis=1)
+
+
+def calibrate(available: np.ndarray, permille: np.ndarray, floors: np.ndarray, size: int, types: list | None = None, formats: list | None = None) -> Plan:
     """Inclusion probabilities for a sample of size rows.
 
-    Shares are permille / 1000 of size.  A category whose share is below its floor gets the
-    floor, one with fewer rows than that gets all of them, and the others share what is left
-    of size in proportion to their targets.
+    A category's share is permille / 1000 of size, its floor the least number of rows.  One
+    whose share is below its floor gets the floor, and one with fewer rows than it should have
+    all of them.  The others get their shares and what is left: tilted so that the totals of
+    types and formats are the sums of their shares, where that leaves every share whole; if
+    floors leave too little, in proportion.
     """
     available, permille, floors = (np.asarray(x, float) for x in (available, permille, floors))
-    required = np.maximum(floors, np.ceil(permille * size / 1000 - 1e-9))
-    probability = np.zeros(len(available))
+    count = len(available)
+    shares = permille * size / 1000
+    required = np.maximum(floors, np.ceil(shares - 1e-9))
+    design = _indicators(types or [0] * count, formats or [0] * count) if count else np.zeros((0, 0))
+    group = np.array([0] * len(set(types or [0])) + [1] * len(set(formats or [0])))
     fixed = available <= 0
-    goal = np.zeros(len(available))
+    goal = np.zeros(count)
     while not fixed.all():
+        open_ = ~fixed
         left = max(0.0, size - goal[fixed].sum())
-        shares = permille * ~fixed
-        want = left * shares / shares.sum() if shares.sum() else np.zeros(len(shares))
-        cap = ~fixed & (np.maximum(want, floors) >= available)
-        low = ~fixed & ~cap & (want < floors)
-        if cap.any() or low.any():
-            goal[cap], goal[low] = available[cap], floors[low]
-            probability[cap | low] = goal[cap | low] / available[cap | low]
-            fixed |= cap | low
-            continue
-        probability[~fixed] = np.minimum(1.0, tilt(available[~fixed], want[~fixed])) if left else 0.0
-        break
-    return Plan(size, probability, required)
+        whole = shares[open_].sum()
+        own = shares[open_] * (left / whole) if whole else np.zeros(open_.sum())
+        want = own
+        if left and whole:
+            moments = design[open_]
+            used = moments.any(0)
+            totals = np.maximum(design.T @ shares - design[fixed].T @ goal[fixed], 1e-9)[used]
+            for k in (0, 1):  # the open categories share all that is left
+                totals[group[used] == k] *= left / totals[group[used] == k].sum()
+            positive = own > 0
+            tilted = np.zeros(len(own))
+            tilted[positive] = available[open_][positive] * tilt(available[open_][positive], totals, moments[positive][:, used], own[positive] / available[open_][positive])
+            if abs(tilted.sum() - left) <= 1e-6 * max(1.0, left):
+                want = tilted
+        full = np.zeros(count)
+        full[open_] = want
+        cap, low = open_ & (floors >= available), open_ & (floors < available) & (full < floors)
+        if not (cap.any() or low.any()):
+            cap = open_ & (full >= available)
+        if not (cap.any() or low.any()) and left > whole:  # no share is cut where rows are left over
+            low = open_ & (full < shares - 1e-9)
+        goal[low], goal[cap] = np.minimum(available, np.maximum(floors, shares * (left > whole)))[low], available[cap]
+        fixed |= cap | low
+        if not (cap.any() or low.any()):
+            goal[open_] = want
+            break
+    for _ in range(count):  # what the others had no room for goes to those fixed at a floor
+        rest, room = min(size, available.sum()) - goal.sum(), available - goal
+        if rest <= 1e-9:
+            break
+        weight = np.where(room > 1e-9, np.maximum(shares, 1e-9), 0)
+        goal += np.minimum(np.maximum(room, 0), rest * weight / weight.sum())
+    probability = np.clip(np.divide(goal, available, out=np.zeros(count), where=available > 0), 0, 1)
+    return Plan(size, probability, required, np.maximum(0, required - available))
 
 
 def pivotal(chances: np.ndarray, draws: np.ndarray) -> np.ndarray:
@@ -146,7 +186,8 @@ def draw(chances: DataFrame, seed: int, most: int, block: int = 20_000) -> DataF
         keyed = open_rows.withColumn("u", _uniform(seed, 2 * level)).withColumn("v", _uniform(seed, 2 * level + 1))
         last = level > 0 and parts == 1
         keyed = keyed.withColumn("cell_key", F.lit(0) if last else F.col("cell"))
-        out = keyed.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(parts))).groupBy("cell_key", "part").applyInPandas(fight, columns)
+        # written down: winners and undecided rows are read from one fight
+        out = reliable_checkpoint(keyed.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(parts))).groupBy("cell_key", "part").applyInPandas(fight, columns))
         won = out.where("now = 1")
         done = won if done is None else done.unionByName(won)
         open_rows = out.where("now > 0 and now < 1")
@@ -164,8 +205,9 @@ def quota_sample(
 
     The sample has <id_col>, query_type, query_format and weight (one over the inclusion
     probability); the report has, for each row of targets, available, required (the larger of
-    min_rows and the target share rounded up), drawn and gap (required less available, at
-    least 0).  Rows whose text is null or blank are left out; a null, blank or unknown
+    min_rows and the target share rounded up), expected (by the calibration), unmet (the rows
+    the calibration can't give, as the category hasn't them), drawn, and gap (required less
+    drawn, at least 0).  Rows whose text is null or blank are left out; a null, blank or unknown
     category belongs to no target but counts for the sample's size, one in one_in rows; copies
     of an id count once; without rows every target is a gap, and without targets both results
     are empty; other columns aren't read; ties between rows are settled by hashes of the ids.
@@ -186,15 +228,15 @@ def quota_sample(
     counts = {r["cell"]: r["n"] for r in moments}
     size = sum(counts.values()) // one_in
     available = np.array([counts.get(i, 0) for i in range(len(table))], np.int64)
-    plan = calibrate(available, [r["target_permille"] for r in table], [r["min_rows"] for r in table], size)
+    plan = calibrate(available, [r["target_permille"] for r in table], [r["min_rows"] for r in table], size, [r["k1"] for r in table], [r["k2"] for r in table])
     chance = spark.createDataFrame([(a, b, i, float(plan.probability[i])) for (a, b), i in index.items()], "k1 string, k2 string, cell int, chance double")
     chances = own.join(F.broadcast(chance), ["k1", "k2"]).where("chance > 0").select("id", "cell", "chance")
     drawn = draw(chances, seed, int(available.max(initial=0)))
     facts = spark.createDataFrame(
-        [(i, r["query_type"], r["query_format"], int(available[i]), int(plan.required[i])) for i, r in enumerate(table)],
-        "cell int, query_type string, query_format string, available bigint, required bigint",
+        [(i, r["query_type"], r["query_format"], int(available[i]), int(plan.required[i]), float(available[i] * plan.probability[i]), int(plan.unmet[i])) for i, r in enumerate(table)],
+        "cell int, query_type string, query_format string, available bigint, required bigint, expected double, unmet bigint",
     )
     sample = drawn.join(F.broadcast(facts), "cell").select(F.col("id").alias(id_col), "query_type", "query_format", (1 / F.col("chance")).alias("weight"))
     taken = drawn.groupBy("cell").agg(F.count("*").alias("drawn"))
-    report = facts.join(taken, "cell", "left").select("query_type", "query_format", "available", "required", F.coalesce("drawn", F.lit(0)).alias("drawn"), F.greatest(F.col("required") - F.col("available"), F.lit(0)).alias("gap"))
+    report = facts.join(taken, "cell", "left").select("query_type", "query_format", "available", "required", "expected", "unmet", F.coalesce("drawn", F.lit(0)).alias("drawn"), F.greatest(F.col("required") - F.coalesce("drawn", F.lit(0)), F.lit(0)).alias("gap"))
     return sample, report

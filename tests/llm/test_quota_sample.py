@@ -30,6 +30,9 @@ def test_tilting_meets_marginal_moments():
     found = tilt(counts, goal, design)
     assert np.allclose(design.T @ (counts * found), goal)
     assert np.allclose(tilt(counts, np.array([10.0, 30.0, 5.0, 8.0])), 0.1)
+    square = np.array([[1, 0, 0, 1], [0, 1, 0, 1], [0, 0, 1, 1], [1, 1, 1, 1]], float)  # as many moments as categories
+    goal = square.T @ (counts * np.array([0.2, 0.1, 0.3, 0.15]))
+    assert np.allclose(square.T @ (counts * tilt(counts, goal, square, np.full(4, 0.15))), goal)
 
 
 def test_floors_and_gaps():
@@ -39,6 +42,35 @@ def test_floors_and_gaps():
     assert plan.required.tolist() == [50, 30, 60, 10]
 
 
+def test_what_falls_short_goes_to_the_same_type_or_format():
+    available = np.array([1_000, 1_000, 10, 1_000, 1_000, 1_000])
+    kinds, shapes = list("aaabbb"), list("xyzxyz")
+    plan = calibrate(available, [200, 150, 150, 150, 150, 200], [0] * 6, 400, kinds, shapes)
+    expected = plan.probability * available
+    shares = np.array([80, 60, 60, 60, 60, 80])
+    assert expected[2] == 10 and plan.unmet.tolist() == [0, 0, 50, 0, 0, 0] and expected.sum() == pytest.approx(400)
+    own = np.arange(6) != 2
+    assert (expected[own] >= shares[own] - 1e-6).all()  # no share is cut
+    more = expected - shares
+    assert more[0] > more[3] and more[1] > more[4] and more[5] > more[3]
+    assert calibrate([1_000] * 6, [200, 150, 150, 150, 150, 200], [0] * 6, 400, kinds, shapes).probability == pytest.approx(shares / 1_000)
+
+
+@given(st.lists(st.tuples(st.integers(0, 300), st.integers(0, 200), st.integers(0, 40), st.integers(0, 2), st.integers(0, 2)), min_size=1, max_size=9), st.integers(0, 400))
+@settings(max_examples=300, deadline=None)
+def test_plans_keep_size_bounds_and_floors(cells, size):
+    available, permille, floors, kinds, shapes = (list(x) for x in zip(*cells))
+    plan = calibrate(available, permille, floors, size, kinds, shapes)
+    expected = plan.probability * np.array(available)
+    assert (plan.probability >= 0).all() and (plan.probability <= 1).all()
+    assert (expected >= np.minimum(floors, available) - 1e-6).all()
+    assert plan.unmet == pytest.approx([max(0, r - a) for a, r in zip(available, plan.required)])
+    least = np.minimum(floors, available).sum()
+    assert expected.sum() <= max(size, least) + 1e-6
+    if size >= least and all(p for p in permille):
+        assert expected.sum() == pytest.approx(min(size, sum(available)))
+
+
 def test_tables(spark):
     targets = spark.createDataFrame([("open-ended", "question", 700, 2), ("multi-hop", "keyword", 300, 3)], "query_type string, query_format string, target_permille int, min_rows int")
     rows = [(k, f"q{k}", ["Open Ended", " open_ended ", "OPEN-ENDED"][k % 3], "Question ", "c") for k in range(90)]
@@ -48,7 +80,7 @@ def test_tables(spark):
     sample, report = quota_sample(frame, targets)
     got = {r["query_type"]: r for r in report.collect()}
     assert got["open-ended"]["available"] == 90 and got["open-ended"]["required"] == 14 and got["open-ended"]["drawn"] == 16
-    assert got["multi-hop"]["available"] == 4 and got["multi-hop"]["required"] == 6 and got["multi-hop"]["gap"] == 2 and got["multi-hop"]["drawn"] == 4
+    assert got["multi-hop"]["available"] == 4 and got["multi-hop"]["required"] == 6 and got["multi-hop"]["unmet"] == 2 and got["multi-hop"]["gap"] == 2 and got["multi-hop"]["drawn"] == 4
     ids = [r["qtj_id"] for r in sample.collect()]
     assert len(ids) == len(set(ids)) == 20
     again, _ = quota_sample(frame.repartition(5), targets)
