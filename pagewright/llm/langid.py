@@ -171,11 +171,15 @@ def features(unit: str) -> np.ndarray:
     return np.array([xxhash.xxh32_intdigest(g) % DIMENSIONS for g in grams], np.int64)
 
 
-def _vectors(texts: list[list[str]], idf: np.ndarray) -> np.ndarray:
+def _counts(texts: list[list[str]]) -> np.ndarray:
     rows = np.zeros((len(texts), DIMENSIONS), np.float32)
     for row, own in zip(rows, texts):
-        for unit in units_of(own):
-            np.add.at(row, features(unit), 1)
+        np.add.at(row, np.concatenate([features(u) for u in units_of(own)]), 1)
+    return rows
+
+
+def _vectors(texts: list[list[str]], idf: np.ndarray) -> np.ndarray:
+    rows = _counts(texts)
     rows *= idf.astype(np.float32)
     rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
     return rows
@@ -200,47 +204,109 @@ def _clusters(rows: np.ndarray, count: int, steps: int = 8) -> np.ndarray:
     return centers
 
 
-def agreeing(samples: list[tuple[str, str, str]], least_sources: int = 3) -> list[bool]:
-    """Whether the label of each (language, source, text) agrees with the text.
+@lru_cache(maxsize=200_000)
+def _parts(word: str) -> tuple[str, ...]:
+    return tuple(_TOKEN.findall(fold(word)))
+
+
+def own_words(text: str) -> list[str]:
+    """The folded words of a text."""
+    if text.isascii():
+        return _TOKEN.findall(text.lower())
+    return [p for w in _TOKEN.findall(text) for p in _parts(w)]
+
+
+@dataclass
+class _Bags:
+    """Distinct units (words, and pairs of neighbours behind them) of texts, in columns."""
+
+    names: dict[str, int]
+    text: np.ndarray
+    unit: np.ndarray
+    units: int
+    codes: np.ndarray
+
+
+def _bags(texts: list[list[str]]) -> _Bags:
+    names: dict[str, int] = {}
+    flat = np.array([names.setdefault(w, len(names)) for own in texts for w in own], np.int64)
+    owner = np.repeat(np.arange(len(texts)), [len(own) for own in texts])
+    next_to = owner[1:] == owner[:-1]
+    pairs = len(names) + flat[:-1][next_to] * len(names) + flat[1:][next_to]
+    codes, units = np.unique(np.concatenate([flat, pairs]), return_inverse=True)
+    both = np.unique(np.concatenate([owner, owner[1:][next_to]]) * max(1, len(codes)) + units)
+    return _Bags(names, both // max(1, len(codes)), both % max(1, len(codes)), len(codes), codes)
+
+
+def _numbered(values: list[str]) -> tuple[np.ndarray, int]:
+    places: dict[str, int] = {}
+    return np.array([places.setdefault(v, len(places)) for v in values], np.int64), len(places)
+
+
+def _distinct(left: np.ndarray, right: np.ndarray, rights: int, lefts: int) -> np.ndarray:
+    """How many different values of right stand beside each value of left."""
+    return np.bincount(np.unique(left * max(1, rights) + right) // max(1, rights), minlength=lefts)
+
+
+class Votes:
+    """Words and pairs of neighbours that vote by the labels of all texts (language, source,
+    text) that hold them; those of fewer than least_sources sources have no vote."""
+
+    def __init__(self, samples: list[tuple[str, str, str]], least_sources: int = 3):
+        self.languages = sorted({s[0] for s in samples})
+        place = {x: k for k, x in enumerate(self.languages)}
+        self.label = np.array([place[s[0]] for s in samples], np.int64)
+        self.source, self.sources = _numbered([s[1] for s in samples])
+        self.bags = bags = _bags([own_words(s[2]) for s in samples])
+        many = len(self.languages)
+        counts = np.bincount(bags.unit * many + self.label[bags.text], minlength=bags.units * many).reshape(-1, max(1, many))
+        self.votes = np.log((counts + 0.2) / (np.bincount(self.label, minlength=many) + 1)) if many else counts
+        self.voting = _distinct(bags.unit, self.source[bags.text], self.sources, bags.units) >= least_sources
+
+    def language(self, text: str | None) -> str | None:
+        """The language that most of a text's words and pairs vote for; None without votes."""
+        ids = [self.bags.names.get(w, -1) for w in own_words(text or "")]
+        pairs = [len(self.bags.names) + a * len(self.bags.names) + b for a, b in zip(ids, ids[1:]) if a >= 0 and b >= 0]
+        codes = np.unique(np.array([x for x in ids if x >= 0] + pairs, np.int64))
+        at = np.searchsorted(self.bags.codes, codes)
+        at[at == len(self.bags.codes)] = 0
+        at = at[self.bags.codes[at] == codes] if len(self.bags.codes) else at[:0]
+        at = at[self.voting[at]]
+        return self.languages[int(self.votes[at].sum(0).argmax())] if len(at) else None
+
+    def agreeing(self) -> np.ndarray:
+        """Whether the label of each sample agrees with its text.
+
+        Texts with the same voting words decide by their own majority (three fifths) where they
+        come from six sources or more.  Else the votes do, so that a label that contradicts the
+        majority is told from the rest, and where texts with the same words come from three
+        sources they must agree, too.
+        """
+        label, bags, count, many = self.label, self.bags, len(self.label), len(self.languages)
+        if not count:
+            return np.zeros(0, bool)
+        own = self.voting[bags.unit]
+        text, unit = bags.text[own], bags.unit[own]
+        score = np.stack([np.bincount(text, self.votes[unit, k], count) for k in range(many)], axis=1)
+        # texts with the same voting words: a sum of hashes, and their number
+        single = bags.codes[unit] < len(bags.names)
+        marks = np.random.default_rng(1).integers(0, 1 << 62, bags.units, np.uint64)
+        key = np.zeros(count, np.uint64)
+        np.add.at(key, text[single], marks[unit[single]])
+        held = np.bincount(text[single], minlength=count)
+        _, group = np.unique(key + held.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), return_inverse=True)
+        groups = int(group.max()) + 1
+        shares = np.bincount(group * many + label, minlength=groups * many).reshape(-1, many)
+        group_sources = _distinct(group, self.source, self.sources, groups)[group]
+        alike = shares.argmax(1)[group] == label
+        majority = alike & (shares[group, label] >= 0.6 * shares.sum(1)[group])
+        voted = (score.argmax(1) == label) & (alike | (group_sources < 3))
+        return np.where(held == 0, False, np.where(group_sources >= 6, majority, voted))
 
-    Texts with the same voting words decide by their own majority (three fifths) where they
-    come from six sources or more.  Else words and pairs of neighbours vote by the labels of
-    all texts that hold them, so that a label that contradicts the majority is told from the
-    rest, and where texts with the same words come from three sources they must agree, too.
-    Words and pairs of fewer than least_sources sources have no vote.
-    """
-    languages = sorted({s[0] for s in samples})
-    place = {x: k for k, x in enumerate(languages)}
-    counts: dict[str, np.ndarray] = {}
-    sources: dict[str, set[str]] = {}
-    bags = []
-    totals = np.zeros(len(languages))
-    for language, source, text in samples:
-        own = set(units_of(_TOKEN.findall(fold(text))))
-        bags.append(own)
-        totals[place[language]] += 1
-        for unit in own:
-            counts.setdefault(unit, np.zeros(len(languages)))[place[language]] += 1
-            held = sources.setdefault(unit, set())
-            if len(held) < least_sources:
-                held.add(source)
-    votes = {w: np.log((c + 0.2) / (totals + 1)) for w, c in counts.items() if len(sources[w]) >= least_sources}
-    keys = [frozenset(u for u in own if u in votes and " " not in u) for own in bags]
-    groups: dict[frozenset, np.ndarray] = {}
-    group_sources: dict[frozenset, set[str]] = {}
-    for (language, source, _), key in zip(samples, keys):
-        groups.setdefault(key, np.zeros(len(languages)))[place[language]] += 1
-        group_sources.setdefault(key, set()).add(source)
-    result = []
-    for (language, *_), own, key in zip(samples, bags, keys):
-        group, sources_of = groups[key], len(group_sources[key])
-        alike = int(group.argmax()) == place[language]
-        if not key or sources_of >= 6:
-            result.append(bool(key) and alike and group[place[language]] >= 0.6 * group.sum())
-            continue
-        known = [votes[u] for u in own if u in votes]
-        result.append(int(np.sum(known, axis=0).argmax()) == place[language] and (alike or sources_of < 3))
-    return result
+
+def agreeing(samples: list[tuple[str, str, str]], least_sources: int = 3) -> list[bool]:
+    """Votes.agreeing() of (language, source, text)."""
+    return Votes(samples, least_sources).agreeing().tolist()
 
 
 def fit(samples: list[tuple[str, str, str]], clusters: int = 48, most: int = 1_500, least_sources: int = 3) -> LanguageModel:
@@ -252,27 +318,29 @@ def fit(samples: list[tuple[str, str, str]], clusters: int = 48, most: int = 1_5
     its languages are fewer than an even spread over all.  Centroids are square-rooted, so
     that a word that few members of a cluster have isn't drowned by what all of them share.
     """
-    units: dict[str, list[list[str]]] = {}
-    sources: dict[tuple[str, str], set[str]] = {}
-    for language, source, text in samples:
-        for begin, end in clauses(text):
-            own = [p for w in _TOKEN.findall(text[begin:end]) for p in _TOKEN.findall(fold(w))]
-            if own:
-                units.setdefault(language, []).append(own)
-                for word in own:
-                    held = sources.setdefault((language, word), set())
-                    if len(held) < least_sources:
-                        held.add(source)
-    known = frozenset(word for (_, word), held in sources.items() if len(held) >= least_sources)
-    model = LanguageModel(sorted(units), known=known)
+    texts = [(language, source, own_words(text[a:b])) for language, source, text in samples for a, b in clauses(text)]
+    texts = [x for x in texts if x[2]]
+    languages = sorted({x[0] for x in texts})
+    names: dict[str, int] = {}
+    flat = np.array([names.setdefault(w, len(names)) for *_, own in texts for w in own], np.int64)
+    sizes_of = [len(own) for *_, own in texts]
+    label, _ = _numbered([*languages, *(x[0] for x in texts)])
+    label = label[len(languages) :]
+    source, sources = _numbered([x[1] for x in texts])
+    both = np.repeat(label, sizes_of) * max(1, len(names)) + flat
+    often_enough = _distinct(both, np.repeat(source, sizes_of), sources, len(languages) * max(1, len(names))) >= least_sources
+    spread_over = often_enough.reshape(len(languages), -1).any(0) if languages else np.zeros(0, bool)
+    known = frozenset(w for w, k in names.items() if spread_over[k])
+    model = LanguageModel(languages, known=known)
+    units: dict[str, list[list[str]]] = {x: [] for x in languages}
+    for language, _, own in texts:
+        units[language].append(own)
     chosen, seen, sizes = {}, np.zeros((len(units), DIMENSIONS)), np.zeros(len(units))
     for place, language in enumerate(model.languages):
-        kept = [[w for w in u if w in known] for u in units[language]]
-        often = Counter(tuple(u) for u in kept if len(u) > 1)  # what differs in names only counts once
-        kept = [list(u) for u in sorted(often, key=lambda u: (-often[u], xxhash.xxh64_intdigest(" ".join(u))))[:most]]
+        often = Counter(tuple(w for w in u if w in known) for u in units[language])  # what differs in names only counts once
+        kept = [list(u) for u in sorted((u for u in often if len(u) > 1), key=lambda u: (-often[u], xxhash.xxh64_intdigest(" ".join(u))))[:most]]
         chosen[language] = kept
-        for own in kept:
-            seen[place, np.unique(np.concatenate([features(w) for w in units_of(own)]))] += 1
+        seen[place] = (_counts(kept) > 0).sum(0)
         sizes[place] = len(kept)
     rates = (seen + 0.05) / (sizes + 1)[:, None]
     shares = rates / rates.sum(0)
@@ -292,10 +360,17 @@ def fit(samples: list[tuple[str, str, str]], clusters: int = 48, most: int = 1_5
 
 
 def _labelled(df: DataFrame, label: str, key: str, source: str, text: str, most: int) -> list[tuple[str, str, str]]:
-    """At most ``most`` rows of each label: their keys are chosen first, without the texts."""
-    order = W.partitionBy(label).orderBy(F.xxhash64(key), key)
+    """At most ``most`` rows of each label: their keys are chosen first, without the texts.
+
+    A label's rows are counted first, so that a threshold on the keys' hashes leaves little more
+    than ``most`` of them before the exact choice, whatever the number of tasks.
+    """
+    bits = 1 << 30
     own = df.where(F.col(label).isNotNull() & F.col(text).isNotNull())
-    keys = own.select(label, key).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= most).select(key).distinct()
+    share = F.broadcast(own.groupBy(label).agg((F.lit(1.5 * most * bits) / F.count(F.lit(1)) + 20 * bits / F.count(F.lit(1))).alias("_most")))
+    order = W.partitionBy(label).orderBy(F.pmod(F.xxhash64(key), F.lit(bits)), key)
+    few = own.select(label, key).join(share, label).where(F.pmod(F.xxhash64(key), F.lit(bits)) < F.col("_most"))
+    keys = few.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= most).select(key).distinct()
     rows = own.select(label, key, source, text).join(F.broadcast(keys), key, "left_semi").dropDuplicates([key])
     return sorted((r[0], r[1] or "", r[2]) for r in rows.select(label, F.col(source).cast("string"), text).collect())
 
@@ -313,14 +388,17 @@ def hashed_sample(df: DataFrame, key: str, most: int) -> DataFrame:
     return df.orderBy(F.pmod(F.xxhash64(key), F.lit(bits)), key).limit(most)
 
 
-def table_samples(documents: DataFrame, names: DataFrame, queries: DataFrame | None = None, most_documents: int = 200, most_queries: int = 15_000) -> list[tuple[str, str, str]]:
+def table_samples(
+    documents: DataFrame, names: DataFrame, queries: DataFrame | None = None, most_documents: int = 200, most_queries: int = 15_000, replies: list[tuple[str | None, str, str]] = (),
+) -> list[tuple[str, str, str]]:
     """A bounded sample of labelled texts, (language, source, text).
 
     From documents (lang, a two-letter alias in names) at most most_documents of each
     language are taken, by the hashes of their ids.  Where queries are given, the clauses of
     most_queries labelled ones, likewise taken, are added, but only those that agree with
     their label, since labels of queries may be wrong or not the whole truth.  The labels are
-    taken as often as they occur, so that right labels remain the majority.
+    taken as often as they occur, so that right labels remain the majority.  replies are those
+    of with_agreeing().
     """
     alias = F.broadcast(names.select(F.col("alias"), F.col("language").alias("_language")).distinct())
     labelled = documents.select("doc_id", "source", "text", "lang").join(alias, F.col("lang") == F.col("alias"))
@@ -329,15 +407,24 @@ def table_samples(documents: DataFrame, names: DataFrame, queries: DataFrame | N
         return samples
     own = queries.select("query_id", "query", F.col("language").alias("_label")).join(alias, F.col("_label") == F.col("alias"))
     rows = hashed_sample(own.where(F.col("query").isNotNull()).select("_language", "query_id", "query"), "query_id", most_queries)
-    return with_agreeing(samples, [(r[0], f"q{r[1]}", r[2]) for r in rows.collect()])
+    return with_agreeing(samples, [(r[0], f"q{r[1]}", r[2]) for r in rows.collect()], replies)
 
 
-def with_agreeing(samples: list[tuple[str, str, str]], uncertain: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
-    """samples, and the clauses of uncertain ones that agree with their labels."""
+def with_agreeing(samples: list[tuple[str, str, str]], uncertain: list[tuple[str, str, str]], replies: list[tuple[str | None, str, str]] = ()) -> list[tuple[str, str, str]]:
+    """samples, and the clauses of uncertain ones that agree with their labels.
+
+    replies are texts, (question, source, text), in the language of their question: the language
+    that the question's words vote for.  Their clauses are added where their own votes agree.
+    """
     added = [(language, source, text[a:b]) for language, source, text in uncertain for a, b in clauses(text)]
     parts = [(language, source, text[a:b]) for language, source, text in samples for a, b in clauses(text)]
-    good = agreeing(parts + added)[len(parts) :] if parts or added else []
-    return samples + [x for x, fine in zip(added, good) if fine]
+    votes = Votes(parts + added)
+    result = samples + [x for x, fine in zip(added, votes.agreeing()[len(parts) :]) if fine]
+    for question, source, text in replies:
+        language = votes.language(question)
+        if language:
+            result += [(language, source, text[a:b]) for a, b in clauses(text) if votes.language(text[a:b]) == language]
+    return result
 
 
 def fit_from_tables(documents: DataFrame, names: DataFrame, queries: DataFrame | None = None) -> LanguageModel:
@@ -353,7 +440,8 @@ def identify(df: DataFrame, model: LanguageModel, id_col: str, text_col: str) ->
     from all languages get null, 0 and no segments; ties go to the language first in the
     alphabet; copies are labelled each for itself; a very long text is labelled clause by
     clause; an empty table gives an empty one; other columns aren't read.  No shuffle; the
-    model (under 4 MB, whatever the corpus) is broadcast.
+    model (for six languages 9 MB of centroids and the words known, whatever the corpus; it grows
+    with the languages) is broadcast.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
     schema = extended(df, id_col, "language string, confidence double, segments array<struct<begin: int, end: int, language: string, confidence: double>>")

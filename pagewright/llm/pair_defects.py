@@ -1,10 +1,10 @@
 """Problem 5: broken pairs of queries and answers.
 
-Truncation is read with a pushdown parser over fences, brackets, quotation marks, list markers
-and emphasis, and from how the last words behave in all answers: the share of their
-occurrences that stand before the end of a sentence.  Copies of the question are found by
-greedy string tiling over words, answers in another language by the language model, and
-refusals by grammars whose rules every sentence of the answer must follow.
+Truncation is read with a pushdown parser over fences, code, tags, brackets, links, quotation
+marks, list items and emphasis, and from how the last words behave in all answers: the share of
+their occurrences that stand before the end of a sentence.  Copies of the question are found by
+greedy string tiling over words, answers in another language by their script and the language
+model, and refusals by a grammar (see refusals) that every sentence of the answer must follow.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.langid import LanguageModel, fit, hashed_sample, table_samples, with_agreeing
+from pagewright.llm.langid import LanguageModel, fit, hashed_sample, table_samples
+from pagewright.llm.refusals import says_no
 from pagewright.llm.textkit import extended, fold, one_per_key, slices, words
 from pagewright.session import reliable_checkpoint
 
@@ -33,8 +34,7 @@ PLACEHOLDERS = frozenset("na none null nil nan undefined tbd tba ka nichts ningu
 _PUNCTUATION_ONLY = re.compile(r"[\W_]*")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n+")
 _TOKEN = re.compile(r"[^\W_]+|[.!?…]+(?=[\s\"'»”)\]]|$)|\n")
-_MARKER = re.compile(r"^\s*(?:[-*+•]|\d{1,3}[.)])\s*$")
-_CONSTRUCT = re.compile(r"[()\[\]{}«»“”„\"`~]|\*\*|__")
+_CONSTRUCT = re.compile(r"[(\[{«“„\"`~*_<]|^[ \t]*(?:[-+•]|\d{1,3}[.)]|[a-z]\))\s*\Z", re.M)
 _OPENERS = {"(": ")", "[": "]", "{": "}", "«": "»", "“": "”", "„": "“"}
 
 
@@ -77,9 +77,10 @@ def greedy_tiles(left: list[str], right: list[str], least: int = 2) -> list[tupl
                 tiles.append((i, j, best))
 
 
-def copies_question(query: str | None, answer: str | None, share: float = 0.8, extra: int = 7) -> bool:
-    """Whether tiles cover share of the query's words and, with repeated copies taken away,
-    no more than extra words of the answer are left."""
+def copies_question(query: str | None, answer: str | None, share: float = 0.8, introduction: int = 7) -> bool:
+    """Whether tiles cover share of the query's words and, with repeated copies taken away, no
+    more words of the answer are left than an introduction has (no more than the query itself)
+    and alterations of the other words of the query."""
     ask, said = words(query), words(answer)
     if not ask or len(said) < share * len(ask):
         return False
@@ -88,7 +89,7 @@ def copies_question(query: str | None, answer: str | None, share: float = 0.8, e
     if len(ask) <= 2 and set(said) == set(ask):
         return True  # tiles of one word, and nothing else
     left, covered = _without_repeats(said, ask) if len(ask) > 1 else (said, 0.0)
-    asked, most = set(ask), min(extra, len(ask))
+    asked, most = set(ask), min(introduction, len(ask)) + (1 - share) * len(ask)
     if sum(w not in asked for w in left) > most:
         return False  # no tile takes these away
     rest: list[str] = []
@@ -122,48 +123,23 @@ def _without_repeats(said: list[str], ask: list[str]) -> tuple[list[str], float]
 
 # --- refusals -------------------------------------------------------------------------------
 
-#: By language, rules for sentences that say that the source lacks the
-#: information, and for sentences that decline; on folded text.
-LACKING = {
-    "english": r"(?:document|page|text|passage|report|source|section|context|file)s?\b.*\b(?:contains? no|gives? no|has no|provides? no|does ?n[o']t|do not|did not|never|says? nothing|is silent)|\bnothing in (?:the|this)|\bnot enough (?:information|detail|context)|\bno (?:information|figures?|data|details?|mention|answer)\b|\binsufficient (?:information|detail|context)|^(?:this|the|that|such) (?:information|detail|answer|figure|data)\b.*\b(?:not|missing|absent|unavailable)|\bcannot be (?:found|determined|answered)|\bis not (?:given|stated|mentioned|provided|available|included|specified) (?:on|in|by) (?:the|this)",
-    "french": r"(?:document|page|texte|passage|rapport|section)\b.*\b(?:ne (?:dit|contient|figure|precise|mentionne|donne|fournit|comporte|parle|permet|repond)|n'indique|ne .* (?:rien|aucun))|\brien dans (?:le|la|ce|cette)|\bpas (?:assez|suffisamment) d|\baucune? (?:information|chiffre|donnee|mention|reponse)|^(?:cette|l'|ces) ?(?:information|donnee|reponse)s?\b.*\b(?:pas|absente?|manque)",
-    "german": r"(?:dokument|seite|text|abschnitt|bericht|passage)\b.*\b(?:keine?n?|nichts|nicht)\b|^nichts (?:im|in|auf)|\b(?:nicht genug|zu wenig|keine ausreichenden?) (?:information|angaben)|^(?:diese|die|dieser|solche) (?:angaben?|informationen?|auskunft|antwort)\b.*\b(?:fehlt|fehlen|nicht)|\bkeine (?:angaben?|informationen|zahlen|antwort)\b",
-    "spanish": r"(?:documento|pagina|texto|pasaje|informe|seccion)\b.*\bno (?:contiene|dice|menciona|indica|ofrece|da|incluye|aporta|responde|proporciona|especifica|habla)|^no (?:hay|existe) (?:suficiente |bastante )?(?:informacion|datos|cifras)|^nada en (?:el|la|este|esta)|^(?:esta|esa|la|dicha) informacion\b.*\b(?:no|falta)|\bninguna (?:informacion|cifra|respuesta)",
-    "italian": r"(?:documento|pagina|testo|passo|rapporto|sezione)\b.*\bnon (?:contiene|dice|menziona|indica|offre|fornisce|riporta|risponde|precisa|parla)|^non (?:ci sono|c'e|vi sono|esistono) (?:abbastanza |sufficienti )?(?:informazion|dati|cifre)|^(?:nulla|niente) nel|^(?:questa|quest'|tale|l') ?informazione\b.*\b(?:non|manca)|\bnessuna (?:informazione|cifra|risposta)",
-    "portuguese": r"(?:documento|pagina|texto|passagem|relatorio|secao|seccao)\b.*\bnao (?:contem|diz|menciona|indica|oferece|da|inclui|fornece|responde|refere|especifica|fala)|^nao (?:ha|existe) (?:informac|dados|numeros)|^nada no texto|^(?:esta|essa|a|tal) informacao\b.*\b(?:nao|falta)|\bnenhuma (?:informacao|resposta)",
-}
-DECLINING = {
-    "english": r"\b(?:i|i'm|i'd|we)\b.*\b(?:can ?not|can't|could not|unable|not able|decline|rather not|won't|will not|refuse|must not|not comfortable|not in a position)\b|\bwould not be appropriate|\bi'm sorry\b|\bplease consult\b|\bi am sorry\b",
-    "french": r"\bje (?:ne|dois|prefere|refuse|suis|regrette|decline)\b.*\b(?:pas|decliner|refuser|desolee?|repondre|regret)|\bpas (?:approprie|opportun|convenable)|\bje (?:suis|reste) desole|\bveuillez consulter|\bpas en mesure",
-    "german": r"\b(?:ich|wir)\b.*\b(?:nicht|leider|keine)\b|\bes tut mir leid|\bnicht (?:angemessen|angebracht)|\bbitte wenden sie sich|\bnicht in der lage",
-    "spanish": r"\bno (?:puedo|podemos|debo|seria (?:apropiado|adecuado|oportuno)|estoy en condiciones|me es posible)|\blo siento\b|\bprefiero no\b|\bdebo (?:declinar|rechazar|abstenerme)|\bconsulte a\b",
-    "italian": r"\bnon (?:posso|possiamo|devo|sarebbe (?:opportuno|appropriato|corretto)|sono in grado|mi e possibile)|\bmi (?:dispiace|scuso)|\bpreferisco non|\bpreferirei non|\bdevo (?:declinare|rifiutare|astenermi)|\bconsultate\b|\bsi rivolga",
-    "portuguese": r"\bnao (?:posso|podemos|devo|seria (?:apropriado|adequado|oportuno)|estou em condicoes|me e possivel|consigo)|\blamento\b|\bdesculpe\b|\bprefiro nao|\bpreferia nao|\btenho de (?:recusar|declinar)|\bdevo (?:recusar|declinar)|\bconsulte um\b",
-}
-_LACKING = re.compile("|".join(LACKING.values()))
-_DECLINING = re.compile("|".join(DECLINING.values()))
-
-
 def is_refusal(answer: str) -> bool:
-    """Whether every sentence declines or says that the information is lacking.
+    """Whether the grammar accepts every sentence: it declines or says that the information is
+    lacking.
 
     Where more than three words follow a colon, what stands after each colon must do so, too,
     and what stands before it unless it is a lead of three words; else something is given.
     """
     strict = ":" in answer and len(words(answer.split(":", 1)[1])) > 3
     sentences = [s for s in _SENTENCE.split(fold(answer).replace("’", "'")) if words(s)]
-    return any(map(_says_no, sentences)) and all(_refuses(s, strict) for s in sentences)
-
-
-def _says_no(text: str) -> bool:
-    return bool(_LACKING.search(text) or _DECLINING.search(text))
+    return any(map(says_no, sentences)) and all(_refuses(s, strict) for s in sentences)
 
 
 def _refuses(sentence: str, strict: bool) -> bool:
     before, colon, after = sentence.partition(":")
     if not (strict and colon):
-        return _says_no(sentence)
-    return (len(words(before)) <= 3 or _says_no(before)) and (not words(after) or _refuses(after.strip(), strict))
+        return says_no(sentence)
+    return (len(words(before)) <= 3 or says_no(before)) and (not words(after) or _refuses(after.strip(), strict))
 
 
 def promises_answer(is_answerable: str | None) -> bool:
@@ -219,7 +195,7 @@ class EndTable:
 
 def frequent_words(answers: DataFrame, text_col: str = "answer") -> EndTable:
     """The table of the frequent words of all answers, without counts of contexts."""
-    counted = word_table(answers, text_col)
+    counted = reliable_checkpoint(word_table(answers, text_col))  # read twice
     rare = max(4.0, RARE * float(counted.agg(F.sum("n")).first()[0] or 0))
     return EndTable(rare, [r["word"] for r in counted.where((F.col("n") >= rare) & (F.col("word") != "9")).select("word").collect()])
 
@@ -283,52 +259,131 @@ def short_key(answer: str, table: EndTable) -> str:
     return " ".join(table.mask(tokens)) if 0 < len(tokens) <= 6 else ""
 
 
+# Tags whose end may be left out, those without an end, and the others that are known.
+_OPTIONAL = frozenset("p li td th tr dt dd thead tbody tfoot option colgroup".split())
+_VOID = frozenset("area br col embed hr img input link meta source track wbr".split())
+_TAGS = _OPTIONAL | frozenset("a abbr article aside b blockquote body caption code del details div dl em figcaption figure footer h1 h2 h3 h4 h5 h6 head header html i ins kbd main mark math nav ol pre q s samp script section small span strong style sub summary sup svg table u ul var".split())
+_PIECE = re.compile(
+    r"""(?P<fence>^[ \t]*(?:`{3,}|~{3,})[^\n]*$) | (?P<blank>^[ \t]*$) | (?P<marker>^[ \t]*(?:[-*+•]|\d{1,3}[.)]|[a-z]\))(?=\s|\Z))
+    | (?P<comment><!--|-->) | (?P<tag></?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?/?(?:>|\Z)) | (?P<code>`+) | (?P<emphasis>\*+|_+|~~) | (?P<link>\]\()
+    | (?P<opener>[(\[{«“„]) | (?P<closer>[)\]}»”]) | (?P<quote>") | (?P<other>[^\s`*_~<\-()\[\]{}«»“”„"]+|\S)""", re.M | re.X)
+
+
+class _Parser:
+    """A pushdown parser: one stack for all constructs, what closes each on top of what holds it."""
+
+    def __init__(self) -> None:
+        self.stack: list[str] = []
+
+    def pop_to(self, mark: str) -> bool:
+        """Close mark and what stands open within it."""
+        if mark not in self.stack:
+            return False
+        while self.stack.pop() != mark:
+            pass
+        return True
+
+    def end_inline(self) -> None:
+        """Emphasis and code in a line reach no farther than its paragraph or list item."""
+        self.stack = [x for x in self.stack if x[0] not in "*_~`" or x.startswith(("```", "~~~"))]
+
+    def read(self, text: str) -> list[str]:
+        started = False
+        for piece in _PIECE.finditer(text):
+            kind, own = piece.lastgroup, piece[0]
+            top = self.stack[-1] if self.stack else ""
+            before, after = text[piece.start() - 1 : piece.start()], text[piece.end() : piece.end() + 1]
+            if top.startswith(("```", "~~~")):
+                if kind == "fence" and own.strip()[0] == top[0] and own.strip().strip(top[0]) == "" and len(own.strip()) >= len(top):
+                    self.stack.pop()
+            elif top == "-->":
+                if own == top:
+                    self.stack.pop()
+            elif top.startswith("`"):
+                if own == top:
+                    self.stack.pop()
+                elif kind in ("blank", "marker"):
+                    self.end_inline()
+            elif kind == "blank":
+                self.end_inline()
+            elif kind == "marker":
+                self.end_inline()
+                if top == "item":
+                    self.stack.pop()
+                if started:  # a mark alone is a text by itself
+                    self.stack.append("item")
+            else:
+                if top == "item":
+                    self.stack.pop()
+                self.inline(kind, own, before, after)
+            started = started or kind != "blank"
+        return [x for x in self.stack if x[1:-1] not in _OPTIONAL]
+
+    def inline(self, kind: str, own: str, before: str, after: str) -> None:
+        top = self.stack[-1] if self.stack else ""
+        if kind == "fence":
+            self.stack.append(own.strip()[0] * (len(own.strip()) - len(own.strip().lstrip(own.strip()[0]))))
+        elif kind == "comment":
+            if own == "<!--":
+                self.stack.append("-->")
+        elif kind == "tag":
+            self.tag(own)
+        elif kind == "code":
+            self.stack.append(own)
+        elif kind == "link" and "]" in self.stack:
+            self.pop_to("]")
+            self.stack.append(") of a link")
+        elif kind in ("link", "closer"):
+            for mark in own if kind == "closer" else own[:1]:
+                if mark == ")" and ") of a link" in self.stack and ")" not in self.stack:
+                    mark = ") of a link"
+                self.pop_to(mark)
+            if kind == "link":
+                self.stack.append(")")
+        elif top == ") of a link":
+            if own == "(":
+                self.stack.append(")")
+        elif kind == "opener":
+            self.stack.append(_OPENERS[own])
+        elif kind == "quote":
+            if own in self.stack:
+                self.pop_to(own)
+            elif not before.isalnum() and after.strip():
+                self.stack.append(own)
+        elif kind == "emphasis":
+            for mark in [own[:2]] * (len(own) // 2) + [own[:1]] * (len(own) % 2) if own[0] != "~" else [own]:
+                if before.strip() and mark in self.stack and (own[0] == "*" or not after.isalnum()):
+                    self.pop_to(mark)
+                elif after.strip() and not before.isalnum() and len(own) <= 3:
+                    self.stack.append(mark)
+
+    def tag(self, own: str) -> None:
+        name = re.match(r"</?([A-Za-z][A-Za-z0-9]*)", own)[1].lower()
+        if name in _VOID or name not in _TAGS or own.endswith("/>"):
+            return
+        if not own.endswith(">"):
+            self.stack.append(own)  # broken off within the tag
+        elif own.startswith("</"):
+            self.pop_to(f"<{name}>")
+        else:
+            self.stack.append(f"<{name}>")
+
+
 def open_constructs(text: str) -> list[str]:
-    """What a pushdown parser finds open at the end: fences, brackets, quotation marks, markup.
+    """What a pushdown parser finds open at the end: fences, code, comments, tags, brackets,
+    links, quotation marks, emphasis, list items without a word.
 
-    Straight quotation marks and emphasis marks open before a word and close after one; an
-    apostrophe within or after a word is none.  Enumerations such as "1)" close nothing.
+    Straight quotation marks and emphasis open before a word and close after one; an apostrophe
+    is none of them.  Enumerations such as "1)" close nothing.  Only known tags count, and those
+    whose end may be left out don't.
     """
-    if not _CONSTRUCT.search(text):
-        return []
-    stack: list[str] = []
-    fences = re.split(r"^\s*(?:```|~~~).*$", text, flags=re.M)
-    if len(fences) % 2 == 0:
-        return ["```"]
-    body = "".join(fences[::2])
-    body = re.sub(r"(?m)^\s*(?:\d{1,3}|[a-z])\)\s", "  ", body)
-    at = 0
-    while at < len(body):
-        mark = body[at]
-        before, after = body[at - 1 : at], body[at + 1 : at + 2]
-        double = body[at : at + 2]
-        if double in ("**", "__"):
-            if stack and stack[-1] == double:
-                stack.pop()
-            elif after and body[at + 2 : at + 3].strip() and not (before and before.isalnum()):
-                stack.append(double)
-            at += 2
-            continue
-        if stack and mark == stack[-1]:
-            stack.pop()
-        elif mark in _OPENERS:
-            stack.append(_OPENERS[mark])
-        elif mark in ")]}»”" and mark in stack:
-            while stack.pop() != mark:
-                pass
-        elif mark in "\"`" and (not before or not before.isalnum()) and after.strip():
-            stack.append(mark)
-        at += 1
-    return stack
+    return _Parser().read(text) if _CONSTRUCT.search(text) else []
 
 
 def ending(query: str | None, answer: str, table: EndTable) -> tuple[bool | None, list[str]]:
     """Whether an answer breaks off before its sentence or list item is complete, and the keys
     of the counts that have a say in it (see breaks_off); without keys the verdict stands."""
     text = answer.rstrip()
-    lines = text.split("\n")
-    if len(lines) > 1 and _MARKER.match(lines[-1]):
-        return True, []
     if open_constructs(text):
         return True, []
     ellipsis = re.search(r"(?:\.{3,}|…)$", text)
@@ -349,7 +404,8 @@ def ending(query: str | None, answer: str, table: EndTable) -> tuple[bool | None
     key = short_key(body, table)
     whole = ["a " + key] if key else []
     mark = fold(last)
-    if not mark.isdigit() and table.is_rare(mark):
+    single = sum(t[0] not in ".!?…\n" for t in tokens) == 1  # an answer of one word isn't cut within it
+    if not single and not mark.isdigit() and table.is_rare(mark):
         around = words(query) + words(body)[:-1]
         if mark not in around and (last[0].islower() or table.begins_word(mark) or any(w.startswith(mark) for w in around)):
             return True, whole  # cut within a word
@@ -421,15 +477,13 @@ def fit_for_pairs(answers: DataFrame, qrels: DataFrame, documents: DataFrame, na
     """A language model that also knows answers.
 
     The answers of a bounded sample of pairs (most_pairs, by the hashes of their ids) count
-    as written in the language of their query, as far as they agree with that label.
+    as written in the language that the words of their query vote for, as far as their own
+    words agree.
     """
-    samples = table_samples(documents, names, queries)
-    first = fit(samples)
     own = hashed_sample(answers.where(F.col("answer").isNotNull()).select("answer_id", "qrel_id", "answer"), "answer_id", most_pairs)
     rows = own.join(one_per_key(qrels, "qrel_id", "query"), "qrel_id").select("answer_id", "query", "answer").collect()
     rows.sort(key=lambda r: (r[0], r[2]))
-    labelled = [(first.decide(query or "")[0], f"a{key}", answer) for key, query, answer in rows]
-    return fit(with_agreeing(samples, [x for x in labelled if x[0]]))
+    return fit(table_samples(documents, names, queries, replies=[(query, f"a{key}", answer) for key, query, answer in rows]))
 
 
 def pair_defects(answers: DataFrame, qrels: DataFrame, model: LanguageModel) -> DataFrame:

