@@ -156,9 +156,12 @@ def _contexts(tail: list[str]) -> list[str]:
 
 
 def _events(answer: str) -> Iterator[tuple[list[str], bool]]:
-    """(the last three words, whether a sentence or list item ends there) of each word."""
+    """(the last three words, whether a sentence or list item ends there) of each word but the
+    last one, which counts, as an end, only if it is the whole answer."""
     tail: list[str] = []
     tokens = _TOKEN.findall(answer)
+    if len(tokens) == 1 and tokens[0][0] not in ".!?…\n":
+        yield ["^", "9" if tokens[0].isdigit() else fold(tokens[0])], True
     for token, following in zip(tokens, tokens[1:] + [""]):
         if token[0] in ".!?…\n":
             tail = ["^"]
@@ -466,7 +469,7 @@ def classify(query: str | None, answer: str | None, is_answerable: str | None, m
     if asked and said and asked != said and n > 1 and m > 1:
         scores, _ = model.scores(answer)
         own, other = scores[model.languages.index(said)], scores[model.languages.index(asked)]
-        if own - max(other, 0.0) >= (0.5 if m > 2 else 0.7) * own:
+        if own - max(other, 0.0) >= min(0.7, 2 / m) * own:  # the fewer words, the clearer they must be
             return "other_language"
     if promises_answer(is_answerable) and is_refusal(answer):
         return "refusal"
