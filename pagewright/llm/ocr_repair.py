@@ -23,7 +23,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagewright.llm.textkit import PAGE_BREAK, fold, one_per_key
-from pagewright.session import reliable_checkpoint
 
 #: Share of all words from which on a word counts as frequent: at most 1 / FREQUENT words are broadcast.
 FREQUENT = 2e-5
@@ -281,7 +280,10 @@ _LINE_CUT = re.compile(rf"(?<=[^\W\d_])[{re.escape(HYPHENS)}][ \t]*\n[ \t]*(?=[^
 
 # --- lines ----------------------------------------------------------------------------------
 
-_MARKDOWN = r"^\s*(?:#{1,6} |\||<!--|```|~~~|>|[*+] |- (?!\S{1,8} -\s*$)|\d{1,3}[.)] )"
+# what no scan has at the begin of a line, and what prose may have there
+_MARKUP = r"^\s*(?:#{1,6} |\||<!--|```|~~~)"
+_LISTED = r"^\s*(?:>|[*+] |- (?!\S{1,8} -\s*$)|\d{1,3}[.)] )"
+_HEADING = r"^\s*#{1,6} "
 _ACCENTS = ("áàâãäåéèêëíìîïóòôõöúùûüçñýß", "aaaaaaeeeeiiiiooooouuuucnys")
 
 
@@ -299,117 +301,128 @@ def _header_key(column: Column) -> Column:
     return F.concat(_skeleton_key(masked), F.regexp_replace(masked, "[^\u2116]+", ""))
 
 
-def scanned_lines(documents: DataFrame, id_col: str = "id", text_col: str = "content") -> DataFrame:
-    """document_id, page_index, line_no, line, scanned, of the lines of scanned pages and, with
-    scanned false, of other pages' headings and the first line of the document.
+def scanned_pages(documents: DataFrame) -> DataFrame:
+    """The scanned pages of document_id, name, content: with page_index, lines, edges (lines near
+    the top or bottom), titles (keys of the document's headings) and title_line.
 
-    A page is scanned when it has no Markdown, no line is wider than 90 characters, and it
-    holds wrapped prose, or another page of its document does and the page isn't wider.  A
-    document is one row here, so that all of this is decided before its lines are exploded,
-    without a shuffle.
+    A page is wrapped prose when it has no markup, a third of its lines at most look listed, and
+    at least half of its lines that another follows are as long as the page's width allows.
+    Pages of the same document without markup that aren't wider are scanned, too.  The lines at
+    an edge are the first two and those, called outer, before any line as wide as the text.
     """
-    pages = F.transform(F.split(text_col, re.escape(PAGE_BREAK), -1), lambda p: F.split(p, r"\r\n|\n|\r", -1))
-
-    def facts(lines: Column) -> Column:
-        width = F.array_max(F.transform(lines, lambda x: F.length(F.rtrim(x))))
-        prose = ~F.exists(lines, lambda x: x.rlike(_MARKDOWN)) & (width <= 90)
-        ahead = F.slice(lines, 2, F.size(lines))
-        wrapped = F.exists(F.arrays_zip(lines.alias("a"), ahead.alias("b")), lambda z: (F.length(F.trim(z["a"])) >= 25) & ~F.trim(z["a"]).rlike("[.:!?]$") & (F.coalesce(F.trim(z["b"]), F.lit("")) != ""))
-        return F.struct(lines.alias("lines"), prose.alias("prose"), width.alias("width"), wrapped.alias("wrapped"))
-
-    own = documents.select(F.col(id_col).alias("document_id"), F.transform(pages, facts).alias("pages"))
-    widest = F.array_max(F.transform(F.filter("pages", lambda p: p["prose"] & p["wrapped"]), lambda p: p["width"]))
-    own = own.withColumn("widest", widest).select("document_id", "widest", F.posexplode("pages").alias("page_index", "p"))
-    scanned = F.col("p.prose") & F.coalesce(F.col("p.width") <= F.col("widest") + 4, F.lit(False))
-    own = own.select("document_id", "page_index", scanned.alias("scanned"), F.transform("p.lines", lambda x, n: F.struct(n.alias("line_no"), x.alias("line"))).alias("lines"))
-    filled = F.filter("lines", lambda x: F.trim(x["line"]) != "")
-    first = F.when(F.col("page_index") == 0, F.get(filled, F.lit(0))["line_no"])
-    own = own.withColumn("first", first)
-    kept = F.filter("lines", lambda x: F.col("scanned") | x["line"].rlike(r"^\s*#{1,6} ") | F.coalesce(x["line_no"] == F.col("first"), F.lit(False)))
-    return own.select("document_id", "page_index", "scanned", F.explode(kept).alias("l")).select("document_id", "page_index", "l.line_no", "l.line", "scanned")
-
-
-_NUMBER = r"[0-9lIoOSB!]{1,4}|[ivxlcIVXLC]{1,8}"
+    doc = W.partitionBy("document_id")
+    pages = documents.select("document_id", "name", F.posexplode(F.split("content", re.escape(PAGE_BREAK), -1)).alias("page_index", "page"))
+    pages = pages.select("document_id", "name", "page_index", F.split("page", r"\r\n|\n|\r", -1).alias("lines"))
+    filled = F.filter(F.transform("lines", lambda x, n: F.struct(n.alias("line_no"), F.trim(x).alias("line"), F.rtrim(x).alias("raw"))), lambda x: x["line"] != "")
+    pages = pages.withColumn("filled", filled)
+    pages = pages.withColumn("width", F.coalesce(F.array_max(F.transform("filled", lambda x: F.length(x["raw"]))), F.lit(0)))
+    pages = pages.withColumn("prose", ~F.exists("filled", lambda x: x["raw"].rlike(_MARKUP)) & (3 * F.size(F.filter("filled", lambda x: x["raw"].rlike(_LISTED))) <= F.size("filled")))
+    pairs = F.filter(F.arrays_zip(F.slice("filled", 1, F.greatest(F.size("filled") - 1, F.lit(0))).alias("a"), F.slice("filled", 2, F.size("filled")).alias("b")), lambda z: z["a"]["line_no"] + 1 == z["b"]["line_no"])
+    pages = pages.withColumn("pairs", F.when(F.col("prose"), pairs))
+    pages = pages.withColumn("full", F.filter("pairs", lambda z: F.length(z["a"]["raw"]) + 1 + F.length(F.substring_index(z["b"]["line"], " ", 1)) > 0.85 * F.col("width")))
+    broken = F.exists("full", lambda z: (F.size(F.split(z["a"]["line"], " +")) > 3) & ~z["a"]["line"].rlike("[.:!?]$"))
+    wrapped = (F.size("full") > 0) & (2 * F.size("full") >= F.size("pairs")) & broken
+    pages = pages.withColumn("widest", F.max(F.when(wrapped, F.col("width"))).over(doc)).drop("pairs", "full")
+    pages = pages.withColumn("scanned", F.col("prose") & F.coalesce(F.col("width") <= 1.05 * F.col("widest"), F.lit(False)))
+    narrow = lambda x: (F.length(x["line"]) <= 0.75 * F.col("width")) | (F.upper(x["line"]) == x["line"])  # noqa: E731  not as wide as the text, or in capitals
+    marked = F.transform("filled", lambda x, i: F.struct(x["line_no"].alias("line_no"), x["line"].alias("line"), x["raw"].alias("raw"), narrow(x).alias("narrow"), (i + 1).alias("top"), (F.size("filled") - i).alias("bottom")))
+    pages = pages.withColumn("filled", marked)
+    wide = lambda array: F.array_position(F.transform(array, lambda x: ~x["narrow"]), True) - 1
+    pages = pages.withColumn("head", wide(F.col("filled"))).withColumn("tail", wide(F.reverse("filled")))
+    first = F.get("filled", F.lit(0))
+    begins = (F.col("page_index") == 0) & first["narrow"] & ~first["line"].rlike(rf"[.,;:{re.escape(HYPHENS)}]$") & ~first["raw"].rlike(_HEADING)
+    headings = F.filter("filled", lambda x: x["raw"].rlike(_HEADING) | (F.coalesce(begins, F.lit(False)) & (x["top"] == 1)))
+    keys = F.transform(headings, lambda x: _skeleton_key(F.regexp_replace(x["line"], r"^#+ ", "")))
+    pages = pages.withColumn("titles", F.array_distinct(F.flatten(F.collect_list(keys).over(doc)))).withColumn("title_line", F.when(begins, first["line_no"]))
+    outer = F.transform("filled", lambda x: x.withField("outer", (x["top"] <= F.col("head")) | (x["bottom"] <= F.col("tail"))))
+    edges = F.filter(outer, lambda x: x["outer"] | (x["top"] <= 2) | (x["bottom"] <= 2))
+    return pages.where("scanned").select("document_id", "name", "page_index", "lines", edges.alias("edges"), "titles", "title_line")
+
+
+_NUMBER = r"[0-9lIoOSB!]{1,8}|[ivxlcdmIVXLCDM]{1,15}"
 _NAME = r"(?:p(?:age|ag|agina|ágina|g)?|seite|s|blatt|folha|hoja|foglio|feuillet)\.?"
 _ALONE = rf"(?i)^[\s\[(<{{|*·•–—-]*(?:{_NAME})?[\s]*({_NUMBER})(?:\s*(?:/|of|de|di|von|sur|\|)\s*(?:{_NUMBER}))?[\s\])>}}|*·•–—.-]*$"
 _BEFORE = rf"^\s*[\[(]?(?:(?i:{_NAME})\s*)?({_NUMBER})[\])]?\s*(?:\||–|—|·|\s{{2,}})\s*(\S.*)$"
 _AFTER = rf"^\s*(\S.*?)\s*(?:\||–|—|·|\s{{2,}})\s*[\[(]?(?:(?i:{_NAME})\s*)?({_NUMBER})[\])]?\s*$"
 
 
-def _romans(most: int = 400) -> list[tuple[str, int]]:
-    table = []
-    for n in range(1, most + 1):
-        rest, out = n, ""
-        for value, mark in ((100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")):
-            out += mark * (rest // value)
-            rest %= value
-        table.append((out, n))
-    return table
-
-
-def page_furniture(lines: DataFrame) -> DataFrame:
-    """document_id, page_index, line_no, kind ('header', 'number' or 'both') of the lines of
-    scanned pages that aren't part of the text."""
-    spark = lines.sparkSession
-    text = lines.where(F.length(F.trim("line")) > 0)
-    page = W.partitionBy("document_id", "page_index")
-    edges = text.select("*", F.row_number().over(page.orderBy("line_no")).alias("top"), F.row_number().over(page.orderBy(F.desc("line_no"))).alias("bottom"))
-    first = (F.col("page_index") == 0) & (F.col("top") == 1)
-    heading = F.col("line").rlike(r"^\s*#{1,6} ")
-    # not as wide as the text, or in capitals
-    narrow = (F.length(F.trim("line")) <= 0.75 * F.max(F.length(F.trim("line"))).over(page)) | (F.upper("line") == F.col("line"))
-    edges = edges.withColumn("narrow", narrow).withColumn("titled", heading | (first & F.col("narrow") & (F.length(F.trim("line")) <= 70) & ~F.trim("line").rlike(rf"[.,;:{re.escape(HYPHENS)}]$")))
-    title = edges.where("titled")
-    titles = title.groupBy("document_id").agg(F.collect_set(_skeleton_key(F.regexp_replace("line", r"^\s*#+ ", ""))).alias("titles"), F.max(F.when(first & ~heading, F.col("line_no"))).alias("title_line"))
+_ROMAN = r"^(?i:(?=.)m*(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3}))$"
+# Of roman numerals.
+_ROMAN_VALUES = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
 
-    # the title of a part in capitals, even if it comes once only
-    capitals = (F.col("page_index") > 0) & (F.upper("line") == F.col("line")) & F.col("line").rlike(r"\p{Lu}{2}.*\p{Lu}{3}")
-    edges = edges.withColumn("apart", capitals)
-    edge = edges.where("scanned and (top <= 2 or bottom <= 2)").select("document_id", "page_index", "line_no", F.trim("line").alias("line"), "top", "bottom", "apart", "narrow")
+
+def _roman_value(figure: Column) -> Column:
+    """The value of a roman numeral: a mark before a larger one is taken away."""
+    values = F.create_map(*[F.lit(x) for pair in _ROMAN_VALUES.items() for x in pair])
+    marks = F.transform(F.split(F.lower(figure), ""), lambda c: values[c])
+    state = F.struct(F.lit(0).alias("total"), F.lit(0).alias("last"))
+    step = lambda acc, v: F.struct((acc["total"] + F.when(v < acc["last"], -v).otherwise(v)).alias("total"), v.alias("last"))
+    return F.aggregate(F.reverse(marks), state, step)["total"]
+
+
+def page_furniture(pages: DataFrame) -> DataFrame:
+    """document_id, name, page_index, lines of scanned_pages(), with furniture: line_no, kind
+    ('header', 'number' or 'both') and line of the lines that aren't part of the text.
+
+    All windows are of one document or parts of it, so rows stay where their document is.
+    """
+    edge = pages.select("document_id", "name", "page_index", "lines", "titles", "title_line", F.posexplode_outer("edges").alias("place", "e"))
+    edge = edge.select("document_id", F.when(F.col("place").isNull() | (F.col("place") == 0), F.struct("name", "lines")).alias("held"), "page_index", "titles", "title_line", "e.*")
     alone = F.regexp_extract("line", _ALONE, 1)
     before, after = F.regexp_extract("line", _BEFORE, 1), F.regexp_extract("line", _AFTER, 2)
-    edge = edge.select(
-        "*",
-        F.when(alone != "", alone).when(before != "", before).when(after != "", after).alias("figure"),
-        (alone != "").alias("alone"),
-        F.when(alone != "", "").when(before != "", F.regexp_extract("line", _BEFORE, 2)).when(after != "", F.regexp_extract("line", _AFTER, 1)).otherwise(F.col("line")).alias("rest"),
-    )
-    edge = edge.withColumn("key", _skeleton_key(F.col("rest"))).withColumn("masked", _header_key(F.col("rest"))).join(titles, "document_id", "left")
-    looks = (F.length("key") >= 4) & (F.length("rest") <= 70) & ~F.col("rest").rlike(rf"[.,;:{re.escape(HYPHENS)}]$") & F.col("rest").rlike(r"^[\p{Lu}0-9!@|]")
-    is_title = F.expr("exists(titles, t -> levenshtein(t, key) <= greatest(1, length(t) div 8))")
+    edge = edge.withColumn("alone", alone).withColumn("before", before).withColumn("after", after)
+    edge = edge.withColumn("figure", F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in ("alone", "before", "after")]))
+    rest = F.when(F.col("alone") != "", "").when(F.col("before") != "", F.regexp_extract("line", _BEFORE, 2)).when(F.col("after") != "", F.regexp_extract("line", _AFTER, 1)).otherwise(F.col("line"))
+    edge = edge.withColumn("rest", rest).withColumn("alone", F.col("alone") != "").withColumn("key", _skeleton_key(F.col("rest"))).withColumn("masked", _header_key(F.col("rest")))
+    is_title = F.exists("titles", lambda t: F.levenshtein(t, F.col("key")) <= F.greatest(F.lit(1), F.floor(F.length(t) / 8)))
+    edge = edge.withColumn("is_title", F.coalesce(is_title, F.lit(False))).drop("titles", "before", "after")
+    looks = (F.length("key") >= 4) & ~F.col("rest").rlike(rf"[.,;:{re.escape(HYPHENS)}]$") & F.col("rest").rlike(r"^[\p{Lu}0-9!@|]")
     pages_with = lambda key: F.size(F.collect_set("page_index").over(W.partitionBy("document_id", key)))
     # two words at least, as captions ("Table 2") aren't headers
     repeated = (pages_with("key") >= 2) | ((pages_with("masked") >= 2) & F.col("rest").rlike(r"\p{L}{2}.*\s\p{L}{2}"))
+    # the title of a part in capitals, even if it comes once only
+    apart = (F.col("page_index") > 0) & (F.least("top", "bottom") <= 2) & (F.upper("line") == F.col("line")) & F.col("line").rlike(r"\p{Lu}{2}.*\p{Lu}{3}")
     itself = F.coalesce((F.col("page_index") == 0) & (F.col("line_no") == F.col("title_line")), F.lit(False))
-    edge = edge.withColumn("header", ~itself & looks & (F.coalesce(is_title, F.lit(False)) | (repeated & F.col("narrow")) | F.col("apart")))
-
-    romans = spark.createDataFrame(_romans(), "roman string, value int")
-    figures = edge.where("figure is not null and (alone or header)").select("document_id", "page_index", "line_no", "alone", "line", "figure")
-    arabic = F.expr(r"cast(translate(figure, 'lIoOSB!', '1100581') as int)")
-    as_arabic = figures.where(F.col("figure").rlike(r"\d") | F.col("figure").rlike(r"^[lIoO!]{1,2}$")).select("*", arabic.alias("value"))
-    as_roman = figures.where(F.col("figure").rlike(r"^(?:[ivxlc]+|[IVXLC]+)$")).join(F.broadcast(romans), F.lower("figure") == F.col("roman")).drop("roman")
-    values = as_arabic.unionByName(as_roman).withColumn("offset", F.col("value") - F.col("page_index"))
-    votes = values.groupBy("document_id", "offset").agg(F.countDistinct("page_index").alias("votes"))
-    best = votes.groupBy("document_id").agg(F.max(F.struct("votes", -F.abs("offset"), "offset")).alias("best")).select("document_id", F.col("best.offset").alias("offset"), F.col("best.votes").alias("votes"))
+    edge = edge.withColumn("header", F.coalesce(~itself & looks & (F.col("is_title") | (repeated & F.col("narrow")) | apart), F.lit(False)))
+
+    arabic = F.when(F.col("figure").rlike(r"\d") | F.col("figure").rlike(r"^[lIoO!]{1,2}$"), F.translate("figure", "lIoOSB!", "1100581").try_cast("int"))
+    roman = F.when(F.col("figure").rlike(_ROMAN) & (F.col("figure").rlike("^[a-z]+$") | F.col("figure").rlike("^[A-Z]+$")), _roman_value(F.col("figure")))
+    edge = edge.withColumn("value", F.when(F.col("figure").isNotNull() & (F.col("alone") | F.col("header")), F.array_compact(F.array(arabic, roman))))
+    # a figure may be read in two ways; each is a row until one has won
+    edge = edge.select("*", F.explode_outer("value").alias("number")).withColumn("offset", F.col("number") - F.col("page_index"))
+    same, whole = W.partitionBy("document_id", "offset"), W.partitionBy("document_id")
+    edge = edge.withColumn("votes", F.when(F.col("offset").isNotNull(), F.size(F.collect_set("page_index").over(same))))
+    in_order = same.orderBy("page_index", "line_no")
+    near = lambda other: F.coalesce(F.abs(other - F.col("page_index")).between(1, 3), F.lit(False))
+    run = near(F.lag("page_index").over(in_order)) | near(F.lead("page_index").over(in_order))
+    edge = edge.withColumn("run", run & F.col("offset").isNotNull())
+    edge = edge.withColumn("best", F.max(F.when(F.col("offset").isNotNull(), F.struct("votes", (-F.abs("offset")).alias("nearness"), "offset"))).over(whole))
+    # a bare number stands for itself only outside of the text, and if it can't be a year
     decorated = ~F.col("line").rlike(r"^\S{1,4}$")
-    numbers = values.join(best, ["document_id", "offset"]).where((F.col("votes") >= 2) | decorated | (F.col("value") <= 60)).where("offset >= -2").select("document_id", "page_index", "line_no", F.lit(True).alias("number")).distinct()
-    found = edge.select("document_id", "page_index", "line_no", "header").join(numbers, ["document_id", "page_index", "line_no"], "left").where("header or number")
-    return found.select("document_id", "page_index", "line_no", F.when(F.col("header") & F.col("number"), "both").when(F.col("header"), "header").otherwise("number").alias("kind"))
+    lone = (F.col("offset") == F.col("best.offset")) & (F.col("offset") >= -2) & ((F.col("votes") >= 2) | decorated | (F.col("outer") & (F.col("number") < 1000)))
+    edge = edge.withColumn("counted", F.coalesce(F.col("run") | lone, F.lit(False)))
+    kind = F.when(F.col("header") & F.col("counted"), "both").when(F.col("header"), "header").when(F.col("counted"), "number")
+    found = edge.groupBy("document_id", "page_index").agg(F.first("held", ignorenulls=True).alias("held"), F.collect_set(F.when(kind.isNotNull(), F.struct("line_no", kind.alias("kind"), "line"))).alias("furniture"))
+    return found.select("document_id", "held.name", "page_index", "held.lines", "furniture")
 
 
-def reflowed(lines: DataFrame, furniture: DataFrame, compounds: set[str]) -> DataFrame:
-    """document_id, page_index, paragraph, text, cuts of the scanned pages.
+def reflowed(pages: DataFrame, compounds: set[str]) -> DataFrame:
+    """document_id and rows: of each line of the text its page_index, line_no, paragraph, piece
+    and cut, and one more for each page with its name and furniture (line_no -1).
 
-    cuts is the number of cut words, counted where they begin.  A compound that is written
-    with a hyphen elsewhere keeps it and isn't counted.  A number alone on a line in the
-    middle of a sentence stands in the margin and is left out.
+    cut is true where a cut word begins.  A compound that is written with a hyphen elsewhere
+    keeps it and isn't counted.  A number alone on a line in the middle of a sentence stands in
+    the margin and is left out.  All windows have one order, that of a document's lines.
     """
-    keys = ["document_id", "page_index", "line_no"]
-    body = lines.where("scanned").join(furniture.select(*keys), keys, "left_anti")
-    doc = W.partitionBy("document_id").orderBy("page_index", "line_no")
-    text = F.trim(F.regexp_replace("line", r"(?U)^\s+|[ \t]+$", ""))
-    own = body.select(*keys, text.alias("line")).withColumn("gap", F.coalesce(F.lag("line").over(doc) == "", F.lit(True)))
-    own = own.where("line <> ''")
+    gone = F.transform("furniture", lambda x: x["line_no"])
+    lines = F.transform("lines", lambda x, n: F.struct(F.lit(0).alias("last"), n.alias("line_no"), F.trim(F.regexp_replace(x, r"(?U)^\s+|[ \t]+$", "")).alias("line")))
+    kept = F.filter(lines, lambda x: ~F.array_contains(gone, x["line_no"]))
+    facts = F.array(F.struct(F.lit(1).alias("last"), F.lit(-1).alias("line_no"), F.lit(None).cast("string").alias("line")))
+    own = pages.select("document_id", "page_index", F.struct("name", "furniture").alias("facts"), F.explode(F.concat(kept, facts)).alias("l"))
+    own = own.select("document_id", "page_index", F.when(F.col("l.last") == 1, F.col("facts")).alias("facts"), "l.*")
+    doc = W.partitionBy("document_id").orderBy("last", "page_index", "line_no")
+    own = own.withColumn("gap", F.coalesce(F.lag("line").over(doc) == "", F.lit(True)))
+    own = own.where("line <> '' or last = 1")
     before = F.lag("line").over(doc)
     margin = F.col("line").rlike(r"^\d{1,4}$") & ~F.col("gap") & ~before.rlike(r"[.:!?]$") & ~before.rlike(r"^\d{1,4}$")
     own = own.withColumn("margin", F.coalesce(margin, F.lit(False))).where("not margin").drop("margin")
@@ -417,21 +430,17 @@ def reflowed(lines: DataFrame, furniture: DataFrame, compounds: set[str]) -> Dat
     head = r"^([^\W\d_]+)(?:[^\s]*)"
     own = own.withColumn("next", F.lead("line").over(doc)).withColumn("left", F.regexp_extract("line", "(?U)" + mark, 2))
     own = own.withColumn("right", F.regexp_extract(F.coalesce("next", F.lit("")), "(?U)" + head, 1))
-    own = own.withColumn("cut", (F.col("left") != "") & F.col("right").rlike(r"^\p{L}"))
-    pair = F.lower(F.concat_ws("-", "left", "right"))
-    whole = F.col("cut") & F.col("line").endswith("-") & (pair.isin(sorted(compounds)) if compounds else F.lit(False))
-    own = own.withColumn("whole", whole).withColumn("taken", F.coalesce(F.lag("cut").over(doc), F.lit(False)))
+    own = own.withColumn("broken", F.coalesce((F.col("left") != "") & F.col("right").rlike(r"^\p{L}"), F.lit(False)))
+    written = pages.sparkSession.createDataFrame([(c,) for c in sorted(compounds)], "compound string")
+    own = own.join(F.broadcast(written), F.when(F.col("broken") & F.col("line").endswith("-"), F.lower(F.concat_ws("-", "left", "right"))) == F.col("compound"), "left")
+    own = own.withColumn("whole", F.col("compound").isNotNull()).withColumn("taken", F.coalesce(F.lag("broken").over(doc), F.lit(False)))
     opening = F.regexp_extract(F.coalesce("next", F.lit("")), "(?U)" + head, 0)
     rest = F.when(F.col("taken"), F.regexp_replace("line", "(?U)" + head + r"\s*", "")).otherwise(F.col("line"))
-    rest = F.when(F.col("cut"), F.concat(F.when(F.col("whole"), rest).otherwise(F.regexp_replace(rest, f"[{re.escape(HYPHENS)}]$", "")), opening)).otherwise(rest)
-    own = own.withColumn("piece", rest)
-    fresh = F.col("gap") & ~F.col("taken")
-    page = W.partitionBy("document_id", "page_index").orderBy("line_no")
-    own = own.withColumn("paragraph", F.sum(F.when(fresh, 1).otherwise(0)).over(page))
-    grouped = own.groupBy("document_id", "page_index", "paragraph").agg(
-        F.array_sort(F.collect_list(F.struct("line_no", "piece"))).alias("pieces"), F.sum(((F.col("left") != "") & ~F.col("whole")).cast("int")).alias("cuts"))
-    joined = F.trim(F.regexp_replace(F.array_join(F.col("pieces.piece"), " "), " +", " "))
-    return grouped.select("document_id", "page_index", "paragraph", joined.alias("text"), "cuts")
+    rest = F.when(F.col("broken"), F.concat(F.when(F.col("whole"), rest).otherwise(F.regexp_replace(rest, f"[{re.escape(HYPHENS)}]$", "")), opening)).otherwise(rest)
+    fresh = F.sum(F.when(F.col("gap") & ~F.col("taken"), 1).otherwise(0)).over(doc.rowsBetween(W.unboundedPreceding, 0))
+    row = F.struct("page_index", "line_no", fresh.alias("paragraph"), rest.alias("piece"), (F.coalesce(F.col("left") != "", F.lit(False)) & ~F.col("whole")).alias("cut"), "facts")
+    own = own.select("document_id", row.alias("row"))
+    return own.groupBy("document_id").agg(F.collect_list("row").alias("rows"))
 
 
 def repaired_pages(documents: DataFrame, id_col: str = "id", text_col: str = "content", name_col: str = "filename") -> DataFrame:
@@ -442,41 +451,55 @@ def repaired_pages(documents: DataFrame, id_col: str = "id", text_col: str = "co
     count once; a very long document is one group of its windows, never cut; of equally
     frequent spellings the first in order of code points is taken; an empty table gives an
     empty result; other columns aren't read.  Lexicon counts are those of all documents.
+
+    Documents are shuffled once, by their ids; pages, edges, lines and windows stay there.
     """
     own = one_per_key(documents, id_col, text_col, name_col).where(F.col(text_col).rlike(r"(?U)\S"))
-    lexicon = build_lexicon(own, text_col)
-    lines = reliable_checkpoint(scanned_lines(own, id_col, text_col))  # read seven times below
-    furniture = reliable_checkpoint(page_furniture(lines))
-    keys = ["document_id", "page_index"]
-    headers = furniture.groupBy(*keys).agg(
-        F.sum(F.col("kind").isin("header", "both").cast("int")).alias("running_header"), F.sum(F.col("kind").isin("number", "both").cast("int")).alias("page_number"))
-    headline = furniture.where("kind <> 'number'").join(lines.select(*keys, "line_no", "line"), [*keys, "line_no"]).groupBy(*keys).agg(F.concat_ws(" ", F.sort_array(F.collect_list("line"))).alias("headline"))
-    body = reflowed(lines, furniture, lexicon.compounds).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("paragraph", "text"))).alias("paragraphs"), F.sum("cuts").alias("hyphenation"))
-    pages = lines.where("scanned").select(*keys).distinct().join(body, keys, "left").join(headers, keys, "left").join(headline, keys, "left")
-    grouped = pages.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("page_index", F.col("paragraphs.text").alias("texts"), "hyphenation", "running_header", "page_number", "headline"))).alias("pages"))
-    named = grouped.join(own.select(F.col(id_col).alias("document_id"), F.col(name_col).alias("name")), "document_id")
+    own = own.select(F.col(id_col).alias("document_id"), F.col(text_col).alias("content"), F.col(name_col).alias("name"))
+    lexicon = build_lexicon(own, "content")
     shared = documents.sparkSession.sparkContext.broadcast(lexicon)
     kind = documents.schema[id_col].dataType.simpleString()
     schema = f"document_id {kind}, page_index int, text string, hyphenation bigint, misread bigint, running_header bigint, page_number bigint"
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
         for batch in batches:
             owner, out = [], []
-            for row, (pages_of, name) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                bodies = ["\n\n".join(p["texts"] or []) for p in pages_of]
-                found = misreadings(bodies + [p["headline"] or "" for p in pages_of], words, re.sub(r"[_\W]+", " ", name or "").title())
-                for k, (page, text) in enumerate(zip(pages_of, bodies)):
-                    text = mended(text, found[k], words.spelled)
-                    owner.append(row)
-                    wrong = len(found[k]) + len(found[len(bodies) + k])
-                    out.append((page["page_index"], text, page["hyphenation"] or 0, wrong, page["running_header"] or 0, page["page_number"] or 0))
+            for place, rows in enumerate(batch.column(1).to_pylist()):
+                found = _finished(rows, words)
+                owner += [place] * len(found)
+                out += found
             columns = list(zip(*out)) if out else [()] * 6
             kinds = [pa.int32(), pa.string()] + [pa.int64()] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=schema_names)
-
-    schema_names = ["document_id", "page_index", "text", "hyphenation", "misread", "running_header", "page_number"]
-    return named.select("document_id", "pages", "name").mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=names)
+
+    return reflowed(page_furniture(scanned_pages(own)), lexicon.compounds).mapInArrow(run, schema)
+
+
+def _finished(rows: list[dict], lexicon: Lexicon) -> list[tuple[int, str, int, int, int, int]]:
+    """page_index, text and counts of noise of the pages of one document, from its rows."""
+    rows.sort(key=lambda r: (r["page_index"], r["line_no"]))
+    pages: dict[int, tuple[dict, dict[int, list[str]], list[bool]]] = {}
+    for r in rows:
+        if r["line_no"] < 0:
+            pages[r["page_index"]] = (r["facts"], {}, [])
+        else:
+            _, paragraphs, cuts = pages[r["page_index"]]
+            paragraphs.setdefault(r["paragraph"], []).append(r["piece"])
+            cuts.append(r["cut"])
+    bodies, headlines = [], []
+    for facts, paragraphs, _ in pages.values():
+        bodies.append("\n\n".join(re.sub(" +", " ", " ".join(p)).strip(" ") for p in paragraphs.values()))
+        headlines.append(" ".join(sorted(f["line"] for f in facts["furniture"] if f["kind"] != "number")))
+    name = next((facts["name"] for facts, *_ in pages.values() if facts["name"]), "")
+    found = misreadings(bodies + headlines, lexicon, re.sub(r"[_\W]+", " ", name).title())
+    result = []
+    for k, (page, (facts, _, cuts)) in enumerate(pages.items()):
+        kinds = [f["kind"] for f in facts["furniture"]]
+        headers, numbers = (len({f["line_no"] for f in facts["furniture"] if f["kind"] in (x, "both")}) for x in ("header", "number"))
+        result.append((page, mended(bodies[k], found[k], lexicon.spelled), sum(cuts), len(found[k]) + len(found[len(bodies) + k]), headers if kinds else 0, numbers if kinds else 0))
+    return result
 
 
 def page_noise(documents: DataFrame) -> DataFrame:

@@ -68,17 +68,55 @@ def test_noise_rows(documents):
     assert page_noise(documents.where("id = 'd'")).count() == 0
 
 
+def furniture(spark, text):
+    """The kinds of furniture of each page of a document."""
+    pages = ocr_repair.scanned_pages(spark.createDataFrame([("s", text, "s")], "document_id string, content string, name string"))
+    return {r["page_index"]: " ".join(sorted(f["kind"] for f in r["furniture"])) for r in ocr_repair.page_furniture(pages).collect() if r["furniture"]}
+
+
 def test_page_numbers_must_keep_their_distance(spark):
     body = "The supplier agreement improved the maintenance\nschedule during the spring of the year and\nnothing else happened."
     text = BREAK.join(f"The {name} office kept all of the records for the year\n{body}\n{foot}" for name, foot in (("one", "[3]"), ("two", "[4]"), ("three", "777"), ("four", "[6]")))
-    frame = spark.createDataFrame([("s", text, "s")], "id string, content string, filename string")
-    lines = ocr_repair.scanned_lines(frame)
-    kinds = {r["page_index"]: r["kind"] for r in ocr_repair.page_furniture(lines).collect()}
+    kinds = furniture(spark, text)
     assert kinds == {0: "number", 1: "number", 3: "number"}
 
 
 def test_headers_with_a_changing_number(spark):
     body = "The supplier agreement improved the maintenance\nschedule during the spring of the year and\nnothing else happened."
     text = BREAK.join(f"{head}\n{body}" for head in ("Opening words of it", "Sheet 10 Water Study", "Sheet 1l Water Study", "Sheet 15 Water Study", "Rivers in the north"))
-    lines = ocr_repair.scanned_lines(spark.createDataFrame([("s", text, "s")], "id string, content string, filename string"))
-    assert {r["page_index"] for r in ocr_repair.page_furniture(lines).where("kind = 'header'").collect()} == {1, 2, 3}
+    assert {k for k, kind in furniture(spark, text).items() if kind == "header"} == {1, 2, 3}
+
+
+def wrapped(words, width):
+    """Text wrapped greedily at width, with words of changing length."""
+    lines, line = [], ""
+    for k in range(words):
+        word = "abcdefghij"[: 3 + k * k % 7]
+        if line and len(line) + 1 + len(word) > width:
+            lines.append(line)
+            line = ""
+        line = f"{line} {word}".strip()
+    return "\n".join([*lines, line + "."])
+
+
+def test_wide_pages_and_single_listed_lines(spark):
+    for width in (40, 140, 400):
+        body = wrapped(400, width)
+        assert furniture(spark, BREAK.join(f"{body}\n{n}" for n in (7, 8, 9))) == {0: "number", 1: "number", 2: "number"}, width
+    listed = body.replace("\n", "\n15. ", 1)
+    assert furniture(spark, BREAK.join(f"{listed}\n{n}" for n in (7, 8))) == {0: "number", 1: "number"}
+    assert furniture(spark, BREAK.join(f"# Title\n\n{body}\n{n}" for n in (7, 8))) == {}
+    assert furniture(spark, BREAK.join("- item one\n- item two\n- item six\n" + str(n) for n in (7, 8))) == {}
+
+
+def test_romans_long_numbers_and_several_numberings(spark):
+    body = wrapped(120, 60)
+    feet = ["cdx", "cdxi", "cdxii", "1", "2", "3", "12345", "12346", "12347"]
+    assert furniture(spark, BREAK.join(f"{body}\n{foot}" for foot in feet)) == {k: "number" for k in range(9)}
+    assert furniture(spark, BREAK.join(f"{body}\n{foot}" for foot in ("iiv", "1999", "ccm"))) == {}
+
+
+def test_headers_of_three_lines(spark):
+    body = wrapped(120, 60)
+    text = BREAK.join([f"Study\n\n{body}"] + [f"Harbour Office\nWater Board\nAnnual Review\n{n}\n\n{body}" for n in (12, 13, 14)])
+    assert furniture(spark, text) == {k: "header header header number" for k in (1, 2, 3)}
