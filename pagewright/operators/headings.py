@@ -15,19 +15,6 @@ ANNOTATION_END = "<!--<annotation/>-->"
 MARKERS = ("table of contents", "| page |", "index", "page no.", "table des matieres")
 
 
-def document_lines(documents: DataFrame, key: str = "id", content: str = "content") -> DataFrame:
-    """key, pos, line, page (from 1), in_annotation of every line.
-
-    The page and the state within image annotations run over a document's lines; the line
-    that opens an annotation is within it and the one that closes it isn't.
-    """
-    lines = documents.select(key, F.posexplode(F.split(content, "\n", -1)).alias("pos", "line"))
-    run = W.partitionBy(key).orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    breaks = F.sum(F.instr("line", PAGE_BREAK).cast("boolean").cast("int")).over(run)
-    opened = F.when(F.col("line").startswith(ANNOTATION), True).when(F.instr("line", ANNOTATION_END) > 0, False)
-    return lines.select(key, "pos", "line", (breaks + 1).alias("page"), F.coalesce(F.last(opened, ignorenulls=True).over(run), F.lit(False)).alias("in_annotation"))
-
-
 def heading_outline(documents: DataFrame, key: str = "id", content: str = "content") -> DataFrame:
     """key, pos, level, title, page of the headings outside image annotations, in order.
 
@@ -58,18 +45,26 @@ def _numbers(line: Column) -> Column:
     return F.regexp_count(F.trim(F.regexp_replace(F.trim(line), r"[^a-z0-9]\s+", " ")), F.lit(r"\d+"))
 
 
-def toc_candidate_pages(documents: DataFrame, key: str = "id", content: str = "content") -> DataFrame:
-    """key, page_index, page of the pages that hold a marker, more than eight lines with few
-    numbers and letters, and at most five lines with many numbers."""
-    pages = documents.select(key, F.posexplode(split_pages(F.col(content))).alias("page_index", "page"))
-    folded = to_ascii(F.regexp_replace(F.lower("page"), r"(?U)\s+", " "))
+def _is_candidate(page: Column) -> Column:
+    folded = to_ascii(F.regexp_replace(F.lower(page), r"(?U)\s+", " "))
     marked = F.lit(False)
     for marker in MARKERS:
         marked = marked | (F.instr(folded, marker) > 0)
-    entries = F.filter(F.split("page", "\n", -1), _candidate_line)
-    few = F.size(F.filter(entries, lambda x: _numbers(x) < 4))
+    entries = F.filter(F.split(page, "\n", -1), _candidate_line)
     many = F.size(F.filter(entries, lambda x: _numbers(x) >= 4))
-    return pages.where(marked).select("*", few.alias("_few"), many.alias("_many")).where("_many <= 5 and _few > 8").drop("_few", "_many")
+    return marked & (many <= 5) & (F.size(entries) - many > 8)
+
+
+def candidate_pages(content: Column) -> Column:
+    """page_index, page of the pages that hold a marker, more than eight lines with few numbers
+    and letters, and at most five lines with many numbers."""
+    placed = F.transform(split_pages(content), lambda page, k: F.struct(k.alias("page_index"), page.alias("page")))
+    return F.filter(placed, lambda p: _is_candidate(p["page"]))
+
+
+def toc_candidate_pages(documents: DataFrame, key: str = "id", content: str = "content") -> DataFrame:
+    """key, page_index, page of candidate_pages()."""
+    return documents.select(key, F.explode(candidate_pages(F.col(content))).alias("p")).select(key, "p.page_index", "p.page")
 
 
 def split_at_heading(page: Column) -> Column:
@@ -77,11 +72,10 @@ def split_at_heading(page: Column) -> Column:
 
     A page that begins with a heading of a level isn't cut there or at a lower level.
     """
-    body = F.regexp_replace(page, r"^[\s]+", "")
     cut = F.lit(0)
     for marks in reversed(("# ", "## ", "### ", "#### ", "##### ")):
         at = F.instr(page, "\n" + marks)
-        cut = F.when(body.startswith(marks), 0).when(at > 0, at).otherwise(cut)
+        cut = F.when(page.rlike(rf"^\s*{marks}"), 0).when(at > 0, at).otherwise(cut)
     head = F.when(cut > 0, F.substring(page, F.lit(1), cut - 1)).otherwise("")
     tail = F.when(cut > 0, F.substring(page, cut, F.length(page))).otherwise(page)
     return F.struct(head.alias("head"), tail.alias("tail"))

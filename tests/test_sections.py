@@ -25,18 +25,31 @@ def test_indel_ratio_is_that_of_the_table(a, b):
     assert indel_ratio(a, b) == (200.0 * table[-1][-1] / (len(a) + len(b)) if a or b else 100.0)
 
 
-def test_listed_number():
-    assert sections.listed_number("| Pumps | 12 |") == 12
-    assert sections.listed_number("| Pumps | none |") is None
-    assert sections.listed_number("3 Pumps") == 3
-    assert sections.listed_number("Pumps 7") == 7
-    assert sections.listed_number("Pumps .... 7!") is None
-    assert sections.listed_number("no number") is None
+def test_listed_number(spark):
+    lines = {
+        "| Pumps | 12 |": 12, "| Pumps | none |": None, "| a1 | ٣ | 7-9 |": 7, "3 Pumps": 3, "Pumps 7": 7, "- 4. Pumps": 4, "Pumps .... 7!": None, "Pumps (see 7": None, "* 5 Pumps": 5, "no number": None, "": None,
+        "99999999999 x": None, "-8": 8, "1,5 and 6": 1,
+    }
+    frame = spark.createDataFrame([(x,) for x in lines], "line string")
+    assert {r["line"]: r["n"] for r in frame.select("line", sections.listed_number(frame["line"]).alias("n")).collect()} == lines
 
 
-def test_entries_reset_by_a_page_that_lists_earlier_pages():
-    assert sections.toc_entries([(20, "3 Pumps\n5 Pipes")]) == []
-    assert [n for _, n in sections.toc_entries([(1, "5 Pipes\n3 Pumps")])] == [3, 5]
+def test_entries_reset_by_a_page_that_lists_earlier_pages(spark):
+    def entries(*pages):
+        frame = spark.createDataFrame([(list(pages),)], "p array<struct<page_index: int, page: string>>")
+        return [tuple(e) for e in frame.select(sections.toc_entries(frame["p"]).alias("e")).first()["e"]]
+
+    assert entries((20, "3 Pumps\n5 Pipes")) == [] and entries() == []
+    assert entries((1, "5  Pipes\nno\n3 Pumps\n3 Taps")) == [("3 Pumps", 3), ("3 Taps", 3), ("5 Pipes", 5)]
+    assert entries((1, "| Pipes | 5 |"), (20, "3 Pumps"), (21, "12 Ends")) == [("12 Ends", 12)]
+
+
+def test_matches_and_the_quirk_of_their_place():
+    headings = [("# One", 3), ("# Two", 5), ("# Three", 6), ("# One", 9)]
+    assert sections.match_headings([("One", 1), ("Two", 2), ("Two", 3), ("One", 4)], headings) == [2, 3, 5]
+    entries = [("Three", 1), ("One", 1), ("One", 1)]
+    assert sections.match_headings(entries, headings) == [5, 8]
+    assert sections.match_headings([("Two", 1), ("Three", 1), ("Two", 1)], headings, compat=True) == [4, 5, 4]
 
 
 def test_unique_titles_per_page():
@@ -47,8 +60,8 @@ def test_unique_titles_per_page():
 @given(st.lists(st.tuples(st.booleans(), st.text("ab\n", max_size=6)), min_size=1, max_size=23), st.lists(st.integers(1, 30), max_size=4))
 @settings(max_examples=120, deadline=None)
 def test_sections_lose_nothing(pages, listed):
-    text = PAGE_BREAK.join(f"x{k}\n# H{k}\n{t}" if h else f"x{k} {t}" for k, (h, t) in enumerate(pages))
-    pieces = sections.pack_sections(text, [(f"H{n}", n) for n in sorted(listed)])
+    own = [sections.Page(f"x{k}", f"\n# H{k}\n{t}") if h else sections.Page("", f"x{k} {t}") for k, (h, t) in enumerate(pages)]
+    pieces = sections.pack_sections(own, sorted(listed), 1)
     covered = [p for piece in pieces for p in piece.pages]
     assert set(covered) == set(range(len(pages)))
     joined = "".join(p.text for p in pieces)
@@ -57,10 +70,10 @@ def test_sections_lose_nothing(pages, listed):
 
 
 def test_division_and_its_quirk():
-    pages = ["a"] * 4 + ["b\n## H\nc"]
+    pages = [sections.Page("", "a")] * 4 + [sections.Page("b", "\n## H\nc")]
     assert sections.divide(pages, 0)[0].text.endswith("c")
     assert not sections.divide(pages, 0, compat=True)[0].text.endswith("c")
-    assert [p.pages for p in sections.divide(["a"] * 12, 3)] == [[3, 4, 5, 6, 7], [8, 9, 10, 11, 12], [13, 14]]
+    assert [p.pages for p in sections.divide([sections.Page("", "a")] * 12, 3)] == [[3, 4, 5, 6, 7], [8, 9, 10, 11, 12], [13, 14]]
 
 
 def test_offset_is_the_first_seen_mode():
@@ -72,13 +85,18 @@ def test_outline_and_split(spark):
     documents = spark.createDataFrame([("d", text), ("e", ""), ("f", None)], "id string, content string")
     rows = [tuple(r) for r in headings.heading_outline(documents).orderBy("pos").collect()]
     assert rows == [("d", 0, 1, "# A", 1), ("d", 6, 3, "### B", 2)]
-    assert [h for h, _ in sections.headings_of(text)] == ["# A", "### B"]
     pages = spark.createDataFrame([("x\n# A\ny",), ("# A\nx",), ("x",), ("x\n## B\n# A",)], "page string")
     got = [(r["s"]["head"], r["s"]["tail"]) for r in pages.select(headings.split_at_heading(pages["page"]).alias("s")).collect()]
-    assert got == [sections.cut_page(r["page"]) for r in pages.collect()]
+    assert got == [("x", "\n# A\ny"), ("", "# A\nx"), ("", "x"), ("x\n## B", "\n# A")]
 
 
 def test_documents_to_sections(spark):
     documents = spark.createDataFrame([("d", PAGE_BREAK.join("p" * 3 for _ in range(12))), ("n", None)], "id string, content string")
     rows = sections.section_documents(documents).orderBy("ord").collect()
     assert [r["page_numbers"] for r in rows] == [[0, 1, 2, 3, 4], [5, 6, 7, 8, 9], [10, 11]]
+    listing = "Table of contents\n" + "\n".join(f"Part {'abcdefghi'[k]} of it {k * 3 + 1}" for k in range(9))
+    body = [f"# Part {'abcdefghi'[k // 3]} of it\ntext {k}" if k % 3 == 0 else f"text {k}" for k in range(27)]
+    listed = spark.createDataFrame([("l", f"\n{PAGE_BREAK}\n".join([listing, *body])), ("d", "plain")], "id string, content string")
+    assert {r["id"]: r["offset"] for r in sections.document_offsets(listed).collect()} == {"l": 1}
+    rows = sections.section_documents(listed).where("id = 'l'").orderBy("ord").collect()
+    assert [r["page_numbers"] for r in rows] == [list(range(0, 7)), list(range(7, 13)), list(range(13, 19)), list(range(19, 25)), [25, 26, 27]]
