@@ -100,6 +100,13 @@ class ItemIndex:
             place = np.concatenate([np.arange(max(0, len(ids) - size + 1)) for ids, _ in entries])
             order = np.argsort(hashes, kind="stable")
             self.tables.append((size, hashes[order], owner[order], place[order]))
+        self.bands = np.array([0 if replaced else max(e for _, e in runs) for *_, runs in self.items], np.int64)
+        self.needs = {size: np.array([min(self._need(n, e, size) for n, e in runs) for *_, runs in self.items], np.int64) for size, *_ in self.tables}
+
+    @staticmethod
+    def _need(length: int, errors: int, size: int) -> int:
+        """How many pieces of size a run of length with errors holds at least."""
+        return max(1, length - size + 1 - errors * size)
 
     def find(self, texts: list[str | None]) -> list[tuple[int, int]]:
         """(index of text, item id) of each leak in the texts."""
@@ -133,21 +140,31 @@ class ItemIndex:
             text, item, diagonal, inner = text[order], item[order], diagonal[order], inner[order]
             if not len(text):
                 continue
+            # of each hit, all that lie on its band of diagonals; a run needs some of them
+            spread = int(np.abs(diagonal).max()) + int(self.bands.max()) + 1
+            place_of = (text * len(self.items) + item) * (4 * spread) + diagonal
+            band = self.bands[item]
+            near = np.searchsorted(place_of, place_of + band, "right") - np.searchsorted(place_of, place_of - band)
+            enough = near >= self.needs[size][item]
             edge = np.flatnonzero(np.concatenate([[True], (np.diff(text) != 0) | (np.diff(item) != 0)]))
-            for a, b in zip(edge, np.append(edge[1:], len(text))):
+            stop = np.append(edge[1:], len(text))
+            some = np.logical_or.reduceat(enough, edge)
+            for a, b in zip(edge[some].tolist(), stop[some].tolist()):
                 key = (int(text[a]), int(item[a]))
-                if key not in found and self._verify(ids[begin[key[0]] : begin[key[0] + 1] - 1], diagonal[a:b], inner[a:b], size, *self.items[key[1]][1:]):
+                tried = np.unique(diagonal[a:b][enough[a:b]]).tolist()
+                if key not in found and self._verify(ids[begin[key[0]] : begin[key[0] + 1] - 1], diagonal[a:b], inner[a:b], tried, size, *self.items[key[1]][1:]):
                     found.add(key)
         return sorted((text, self.items[item][0]) for text, item in found)
 
-    def _verify(self, text: np.ndarray, diagonals: np.ndarray, places: np.ndarray, size: int, item: np.ndarray, runs: list[tuple[int, int]]) -> bool:
-        """Whether text holds a run of item; diagonals (in order) and places (in the item) of the
-        pieces found.  The pieces of a run lie within its errors of the diagonal of any of them."""
+    def _verify(self, text: np.ndarray, diagonals: np.ndarray, places: np.ndarray, tried: list[int], size: int, item: np.ndarray, runs: list[tuple[int, int]]) -> bool:
+        """Whether text holds a run of item on one of the diagonals tried; diagonals (in order) and
+        places (in the item) of the pieces found.  The pieces of a run lie within its errors of
+        the diagonal of any of them."""
         for length, errors in runs:
-            need, band = max(1, length - size + 1 - errors * size), 0 if self.replaced else errors
+            need, band = self._need(length, errors, size), 0 if self.replaced else errors
             if len(places) < need or length > len(item):
                 continue
-            for diagonal in np.unique(diagonals).tolist():
+            for diagonal in tried:
                 low, high = np.searchsorted(diagonals, diagonal - band), np.searchsorted(diagonals, diagonal + band, "right")
                 if high - low < need:
                     continue
