@@ -30,17 +30,29 @@ def split_pages(text: Column) -> Column:
     return F.split(text, PAGE_BREAK, -1)
 
 
-# Accented letters and the letters they become.
-_FROM = "áàâãäåçéèêëíìîïñóòôõöøúùûüýÿÁÀÂÃÄÅÇÉÈÊËÍÌÎÏÑÓÒÔÕÖØÚÙÛÜÝ"
-_TO = "aaaaaaceeeeiiiinoooooouuuuyyAAAAAACEEEEIIIINOOOOOOUUUUY"
+#: Accented letters and the letters they become, and letters that become two.
+ACCENTED = "áàâãäåçéèêëíìîïñóòôõöøúùûüýÿÁÀÂÃÄÅÇÉÈÊËÍÌÎÏÑÓÒÔÕÖØÚÙÛÜÝ"
+PLAIN = "aaaaaaceeeeiiiinoooooouuuuyyAAAAAACEEEEIIIINOOOOOOUUUUY"
+SPELLED = (("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"))
+#: Further Latin letters with marks, Greek and Cyrillic letters, and what they become.
+FURTHER = (
+    ("āăąćĉċčďđēĕėęěĝğġģĥħĩīĭįıĵķĺļľłńņňōŏőŕŗřśŝşšţťŧũūŭůűųŵŷźżžșț", "aaacccc" "dd" "eeeee" "gggg" "hh" "iiiii" "j" "k" "llll" "nnn" "ooo" "rrr" "ssss" "ttt" "uuuuuu" "w" "y" "zzz" "st"),
+    ("αβγδεζηικλμνξοπρστυφωάέήίόύώς", "avgdeziiklmnxoprstyfo" "aeiioyos"),
+    ("абвгдезийклмнопрстуфыэ", "abvgdeziyklmnoprstufye"),
+)
+FURTHER_SPELLED = (("þ", "th"), ("ð", "d"), ("θ", "th"), ("χ", "ch"), ("ψ", "ps"), ("ё", "yo"), ("ж", "zh"), ("х", "kh"), ("ц", "ts"), ("ч", "ch"), ("ш", "sh"), ("щ", "shch"), ("ъ", ""), ("ь", ""), ("ю", "yu"), ("я", "ya"))
 
 
 def to_ascii(text: Column) -> Column:
-    """Latin letters without their accents; sharp s as ss and ligatures spelled out."""
-    plain = F.translate(text, _FROM, _TO)
-    for mark, spelled in (("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE")):
+    """Letters without their accents; sharp s, ligatures, Greek and Cyrillic spelled out."""
+    both = [("".join(x) + "".join(x).upper(), y + y.upper()) for x, y in FURTHER if len(x.upper()) == len(x)]
+    plain = F.translate(text, ACCENTED + "".join(x for x, _ in both), PLAIN + "".join(y for _, y in both))
+    for mark, spelled in SPELLED:
         plain = F.regexp_replace(plain, mark, spelled)
-    return plain
+    rest = plain
+    for mark, spelled in FURTHER_SPELLED:
+        rest = F.replace(F.replace(rest, F.lit(mark), F.lit(spelled)), F.lit(mark.upper()), F.lit(spelled.capitalize()))
+    return F.when(plain.rlike(r"[^\x00-\x7F]"), rest).otherwise(plain)
 
 
 def normalize_filename(name: Column) -> Column:

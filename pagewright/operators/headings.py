@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pagewright.functions.text import PAGE_BREAK, split_pages, to_ascii
+from pagewright.functions.text import ACCENTED, PAGE_BREAK, PLAIN, split_pages, to_ascii
 
 ANNOTATION = '<!--<annotation kind="description">-->'
 ANNOTATION_END = "<!--<annotation/>-->"
@@ -45,21 +47,29 @@ def _numbers(line: Column) -> Column:
     return F.regexp_count(F.trim(F.regexp_replace(F.trim(line), r"[^a-z0-9]\s+", " ")), F.lit(r"\d+"))
 
 
+def _with_accents(marker: str) -> str:
+    """A pattern of the marker, any letter with any accent and white space of any kind."""
+    letters = {c: "".join(sorted({a for a, b in zip(ACCENTED, PLAIN) if b.lower() == c})) for c in set(marker)}
+    return "".join(f"[{c}{letters[c]}]" if letters[c] else r"\s+" if c == " " else re.escape(c) for c in marker)
+
+
+#: Matches every text with a marker, and little else; texts without it need no second look.
+_MAY_HOLD = "(?iuU)" + "|".join(map(_with_accents, MARKERS))
+
+
 def _is_candidate(page: Column) -> Column:
     folded = to_ascii(F.regexp_replace(F.lower(page), r"(?U)\s+", " "))
-    marked = F.lit(False)
-    for marker in MARKERS:
-        marked = marked | (F.instr(folded, marker) > 0)
     entries = F.filter(F.split(page, "\n", -1), _candidate_line)
     many = F.size(F.filter(entries, lambda x: _numbers(x) >= 4))
-    return marked & (many <= 5) & (F.size(entries) - many > 8)
+    return page.rlike(_MAY_HOLD) & folded.rlike("|".join(map(re.escape, MARKERS))) & (many <= 5) & (F.size(entries) - many > 8)
 
 
 def candidate_pages(content: Column) -> Column:
     """page_index, page of the pages that hold a marker, more than eight lines with few numbers
     and letters, and at most five lines with many numbers."""
     placed = F.transform(split_pages(content), lambda page, k: F.struct(k.alias("page_index"), page.alias("page")))
-    return F.filter(placed, lambda p: _is_candidate(p["page"]))
+    none = F.array().cast("array<struct<page_index: int, page: string>>")
+    return F.when(content.rlike(_MAY_HOLD), F.filter(placed, lambda p: _is_candidate(p["page"]))).otherwise(none)
 
 
 def toc_candidate_pages(documents: DataFrame, key: str = "id", content: str = "content") -> DataFrame:

@@ -45,26 +45,35 @@ def allocate(key: Column, wanted: int = 3, draws: int = 16, seed: str = "allocat
     """
     names = [k for k, _ in KINDS]
     state = F.struct(*[F.lit(0).alias(k) for k in names], F.array(*[F.lit(k) for k in names]).alias("open"), F.lit(0).alias("total"))
+    # expressions within a lambda aren't shared: what is used more than once is bound by a step of its own
+    points = F.transform(F.sequence(F.lit(1), F.lit(draws)), lambda draw: hash_integer(seed, key, draw))
 
-    def step(acc: Column, draw: Column) -> Column:
-        pick = F.try_element_at(acc["open"], (hash_integer(seed, key, draw) % F.greatest(F.size(acc["open"]), F.lit(1)) + 1).cast("int"))
-        live = (acc["total"] < wanted) & (F.size(acc["open"]) > 0)
-        full = F.lit(False)
-        for name, cap in KINDS:
-            full = full | ((pick == name) & (acc[name] >= cap))
-        take = live & ~full
-        return F.struct(
-            *[(acc[k] + F.when(take & (pick == k), 1).otherwise(0)).alias(k) for k in names],
-            F.when(live & full, F.array_remove(acc["open"], pick)).otherwise(acc["open"]).alias("open"),
-            (acc["total"] + F.when(take, 1).otherwise(0)).alias("total"),
-        )
+    def step(acc: Column, point: Column) -> Column:
+        at = (point % F.greatest(F.size(acc["open"]), F.lit(1)) + 1).cast("int")
+        drawn = F.array(F.struct(F.try_element_at(acc["open"], at).alias("pick"), ((acc["total"] < wanted) & (F.size(acc["open"]) > 0)).alias("live")))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(draws)), state, step)
+        def judged(d: Column) -> Column:
+            full = F.lit(False)
+            for name, cap in KINDS:
+                full = full | ((d["pick"] == name) & (acc[name] >= cap))
+            return F.struct(d["pick"].alias("pick"), (d["live"] & ~full).alias("take"), (d["live"] & full).alias("drop"))
+
+        def after(d: Column) -> Column:
+            return F.struct(
+                *[(acc[k] + F.when(d["take"] & (d["pick"] == k), 1).otherwise(0)).alias(k) for k in names],
+                F.when(d["drop"], F.array_remove(acc["open"], d["pick"])).otherwise(acc["open"]).alias("open"),
+                (acc["total"] + F.when(d["take"], 1).otherwise(0)).alias("total"),
+            )
+
+        return F.get(F.transform(F.transform(drawn, judged), after), F.lit(0))
+
+    return F.aggregate(points, state, step)
 
 
 def question_allocation(summaries: DataFrame, key: str = "summary_id", wanted: int = 3) -> DataFrame:
     """key and the number of questions of each kind."""
-    own = summaries.select(key, allocate(F.col(key), wanted).alias("_a"))
+    # the array keeps the fold in one place: its fields aren't folds of their own
+    own = summaries.select(key, F.explode(F.array(allocate(F.col(key), wanted))).alias("_a"))
     return own.select(key, *[F.col(f"_a.{k}").alias(k) for k, _ in KINDS])
 
 

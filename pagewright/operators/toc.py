@@ -10,6 +10,7 @@ from pagewright.functions.text import normalize_line
 
 # What lines of a table of contents look like.
 TITLE = r"(?iuU)\b(?:table\s+of\s+contents|contents|sommaire|table\s+des\s+mati[eè]res|toc)\b"
+TITLE_PARTS = ("content", "sommaire", "table", "toc", "ſ")  # in lower case each title has one
 DOTTED = r"^.{4,}(?:\.{2,}|…+)\s*\d{1,4}$"
 TRAILING = r"^.{4,}\s+\d{1,4}$"
 LETTER = r"[\p{L}\p{Nl}\p{No}]"
@@ -33,13 +34,19 @@ def toc_like(line: Column) -> Column:
     return eligible(line) & (line.rlike(DOTTED) | trailing_number(line))
 
 
-def _marks(line: Column) -> Column:
-    """What a line shows: a title, and as an eligible line leaders, a page number at its end, a
-    section number with one, or any of the first two."""
-    ended = line.rlike(r"\d$")  # all that is sought in entries ends with a number
-    return F.struct(
-        line.alias("line"), line.rlike(TITLE).alias("title"), eligible(line).alias("fit"), (ended & eligible(line) & line.rlike(DOTTED)).alias("dotted"),
-        (ended & eligible(line) & trailing_number(line)).alias("tail"), (ended & eligible(line) & line.rlike(NUMBERED) & trailing_number(line)).alias("numbered"))
+def _marks(lines: Column) -> Column:
+    """What each line shows: a title, and as an eligible line leaders, a page number at its end, a
+    section number with one, or any of the first two.
+
+    Expressions within a lambda aren't shared, so each step binds what the next ones use: every
+    line meets every pattern once, and lines without a digit at their end only two of them.
+    """
+    folded = F.transform(lines, lambda x: F.struct(x.alias("line"), F.lower(x).alias("low")))
+    may = lambda m: sum((F.instr(m["low"], part) for part in TITLE_PARTS[1:]), F.instr(m["low"], TITLE_PARTS[0])) > 0
+    first = F.transform(folded, lambda m: F.struct(m["line"].alias("line"), (may(m) & m["line"].rlike(TITLE)).alias("title"), eligible(m["line"]).alias("fit")))
+    second = F.transform(first, lambda m: m.withField("ended", m["fit"] & m["line"].rlike(r"\d$")))  # all that is sought in entries ends with a number
+    third = F.transform(second, lambda m: m.withField("tail", m["ended"] & trailing_number(m["line"])).withField("dotted", m["ended"] & m["line"].rlike(DOTTED)))
+    return F.transform(third, lambda m: m.withField("numbered", m["tail"] & m["line"].rlike(NUMBERED)).withField("like", m["dotted"] | m["tail"]))
 
 
 def clean_lines(lines: Column) -> Column:
@@ -63,8 +70,7 @@ def score_pages(pages: DataFrame, lines: str = "lines", page_index: str = "page_
     computed from a page's own array, without exploding it and without a shuffle.
     """
     own = pages.withColumn(lines, clean_lines(F.coalesce(F.col(lines), F.array().cast("array<string>"))))
-    marks = F.transform(F.transform(lines, _marks), lambda m: m.withField("like", m["dotted"] | m["tail"]))  # each line meets each pattern once
-    own = own.withColumn("_marks", marks)
+    own = own.withColumn("_marks", _marks(F.col(lines)))
     count = lambda test: F.size(F.filter("_marks", test))
     samples = F.slice(F.filter("_marks", lambda m: m["title"] | m["like"]), 1, 5)
     own = own.select(

@@ -51,3 +51,17 @@ def test_unknown_cost_absorbs(spark):
     frame = spark.createDataFrame([("m", 1, -2, 3, 1.0), ("m", 4, None, 6, None), ("n", 1, 1, 2, 0.5)], "model string, input_tokens int, output_tokens int, total_tokens int, cost double")
     got = {r["model"]: r for r in usage_rollup(frame, "model").collect()}
     assert got["m"]["cost"] is None and got["m"]["output_tokens"] == 0 and got["m"]["call_count"] == 2 and got["n"]["cost"] == 0.5
+
+
+def test_ascii_of_other_alphabets(spark):
+    for value, plain in (("Žluťoučký kůň", "Zlutoucky kun"), ("Łódź straße", "Lodz strasse"), ("Αθήνα", "Athina"), ("Москва Жуков щи", "Moskva Zhukov shchi"), ("œuvre naïve", "oeuvre naive"), ("plain", "plain"), (None, None)):
+        assert one(spark, value, T.to_ascii) == plain
+
+
+def test_small_helpers(spark):
+    frame = spark.createDataFrame([(1, ["a"], "k", "text")], "n int, v array<string>, k string, t string")
+    row = frame.select(
+        T.utc_stamp(F.lit("2024-02-03 04:05:06.7").cast("timestamp")).alias("stamp"), T.padded(F.col("v"), F.lit(3), F.lit("z")).alias("padded"), T.padded(F.col("v"), F.lit(0), F.lit("z")).alias("same"),
+        T.lookup(F.create_map(F.lit("k"), F.lit(5)), F.col("k"), F.lit(0)).alias("found"), T.lookup(F.create_map(F.lit("k"), F.lit(5)), F.lit("x"), F.lit(0)).alias("lost"), T.content_hash(F.col("t")).alias("hash"),
+    ).first()
+    assert (row["stamp"], row["padded"], row["same"], row["found"], row["lost"]) == ("2024-02-03T04:05:06Z", ["a", "z", "z"], ["a"], 5, 0) and len(row["hash"]) == 64
