@@ -23,6 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagewright.llm.textkit import PAGE_BREAK, fold, one_per_key
+from pagewright.session import reliable_checkpoint
 
 #: Share of all words from which on a word counts as frequent: at most 1 / FREQUENT words are broadcast.
 FREQUENT = 2e-5
@@ -226,7 +227,8 @@ def build_lexicon(documents: DataFrame, text_col: str = "content") -> Lexicon:
                     yield out()
         yield out()
 
-    counted = documents.select(F.col(text_col).alias("_text")).where("_text is not null").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    seen = documents.select(F.col(text_col).alias("_text")).where("_text is not null").mapInArrow(run, "word string, n bigint")
+    counted = reliable_checkpoint(seen.groupBy("word").agg(F.sum("n").alias("n")))  # read twice
     total = counted.agg(F.sum("n")).first()[0] or 0
     least = max(5, int(FREQUENT * total))
     rows = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(int(1 / FREQUENT)).collect()
