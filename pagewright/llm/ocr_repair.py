@@ -12,9 +12,11 @@ testify by how often all documents have the two words side by side.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,8 @@ _STRANGE = re.compile(r"[0-9!@$|]")
 # --- skeletons ------------------------------------------------------------------------------
 
 
-def skeletons(word: str) -> set[str]:
+@lru_cache(maxsize=200_000)
+def skeletons(word: str) -> frozenset[str]:
     """The skeletons of a folded word: glyphs replaced one for one, and then, each by itself,
     the groups of two that look like one."""
     base = word.translate(_SINGLES)
@@ -56,7 +59,7 @@ def skeletons(word: str) -> set[str]:
         for pair in pairs:
             own = own.replace(pair, single)
         result.add(f"{single}:{own.translate(_SINGLES)}")
-    return result
+    return frozenset(result)
 
 
 class Lexicon:
@@ -73,6 +76,7 @@ class Lexicon:
         self.spelled: dict[str, str] = {}
         self.forms: dict[str, list[str]] = {}
         self._others: dict[str, list[str]] = {}
+        self._facts: dict[str, tuple[str, bool, bool, bool, bool]] = {}
         for word in sorted(words, key=lambda w: (-words[w], w)):
             for key in skeletons(word):
                 self.forms.setdefault(key, []).append(word)
@@ -92,6 +96,19 @@ class Lexicon:
             self._others[word] = self.forms_of(word)
         return self._others[word]
 
+    def facts(self, token: str) -> tuple[str, bool, bool, bool, bool]:
+        """The folded token, whether it holds strange glyphs, is frequent, may be a misreading at
+        all, and looks like a frequent word; kept for as many tokens as have room."""
+        found = self._facts.get(token)
+        if found is None:
+            word, strange = fold(token), bool(_STRANGE.search(token))
+            known = word in self.words
+            open_ = not _CODE.fullmatch(token) and len(word) >= 3 - strange and len(word) > 1 and any(c.isalpha() for c in token)
+            found = word, strange, known, open_, open_ and bool(self.rivals(word) if known else self.form_of(word))
+            if len(self._facts) < 200_000:
+                self._facts[token] = found
+        return found
+
     def code(self, left: str | None, right: str | None) -> int | None:
         """The number of a pair of words; None where one of them isn't frequent."""
         a, b = self.places.get(left), self.places.get(right)
@@ -145,45 +162,48 @@ def misreadings(texts: list[str], lexicon: Lexicon, known: str = "") -> list[lis
     or else with the document's own words that stand in it more often (names).  Strange
     glyphs within a word are a misreading even if no repair is known; reference codes are none.
     """
-    counts = Counter(t for text in texts for t in tokens(text))
+    lists = [tokens(text) for text in texts]
+    counts = Counter(itertools.chain.from_iterable(lists))
     counts.update(tokens(known))
-    folded: dict[str, Counter] = {}
-    for token, n in counts.items():
-        if not _STRANGE.search(token) and fold(token) not in lexicon.words:
-            for key in skeletons(fold(token)):
-                folded.setdefault(key, Counter())[token] += n
-    compared: set[str] = set()
-    verdict: dict[str, str | None] = {}
+    alike: dict[str, list[str]] = {}
     for token in counts:
-        word = fold(token)
-        verdict[token] = None
-        if _CODE.fullmatch(token) or len(word) < 2 or not any(c.isalpha() for c in token):
-            continue
-        strange = bool(_STRANGE.search(token))
-        if len(word) < 3 and not strange:
-            continue
-        if lexicon.rivals(word) if word in lexicon.words else lexicon.form_of(word):
+        word, strange, frequent, *_ = lexicon.facts(token)
+        if not strange and not frequent:
+            for key in skeletons(word):
+                alike.setdefault(key, []).append(token)
+    compared: set[str] = set()
+    verdict: dict[str, str] = {}
+    for token, times in counts.items():
+        word, strange, frequent, open_, resembles = lexicon.facts(token)
+        if resembles:
             compared.add(token)
-        if word in lexicon.words:
+        if frequent or not open_:
             continue
         best = None
         for key in skeletons(word):
-            for other, n in folded.get(key, {}).items():
-                if other != token and fold(other) != word and (strange or n > counts[token]) and (best is None or n > counts[best]):
+            for other in alike.get(key, ()):
+                n = counts[other]
+                if other != token and (strange or n > times) and (best is None or n > counts[best]) and lexicon.facts(other)[0] != word:
                     best = other
         if best or (strange and re.search(r"[^\W\d_].*[0-9!@$|]|[0-9!@$|].*[^\W\d_]", token) and sum(c.islower() for c in token) > 1):
             verdict[token] = best or word.translate(_SINGLES)
+    suspects = compared | verdict.keys()
     result = []
-    for text in texts:
-        own, found = list(_WIDE.finditer(text)), []
-        for k, match in enumerate(own):
-            token = match[0]
+    for text, listed in zip(texts, lists):
+        if suspects.isdisjoint(listed):
+            result.append([])
+            continue
+        places, found = _WIDE.finditer(text), []
+        for k, (token, match) in enumerate(zip(listed, places)):
+            if token not in suspects:
+                continue
             form = None
             if token in compared:
-                before = fold(own[k - 1][0]) if k else None
-                after = fold(own[k + 1][0]) if k + 1 < len(own) else None
-                form = lexicon.supported(fold(token), before, after, bool(_STRANGE.search(token)))
-            if form or verdict[token]:
+                before = lexicon.facts(listed[k - 1])[0] if k else None
+                after = lexicon.facts(listed[k + 1])[0] if k + 1 < len(listed) else None
+                word, strange, *_ = lexicon.facts(token)
+                form = lexicon.supported(word, before, after, strange)
+            if form or token in verdict:
                 found.append((match.start(), token, form or verdict[token]))
         result.append(found)
     return result
@@ -468,8 +488,8 @@ def repaired_pages(documents: DataFrame, id_col: str = "id", text_col: str = "co
         words = shared.value
         for batch in batches:
             owner, out = [], []
-            for place, rows in enumerate(batch.column(1).to_pylist()):
-                found = _finished(rows, words)
+            for place, rows in enumerate(batch.column(1)):
+                found = _finished(rows.values, words)
                 owner += [place] * len(found)
                 out += found
             columns = list(zip(*out)) if out else [()] * 6
@@ -479,17 +499,20 @@ def repaired_pages(documents: DataFrame, id_col: str = "id", text_col: str = "co
     return reflowed(page_furniture(scanned_pages(own)), lexicon.compounds).mapInArrow(run, schema)
 
 
-def _finished(rows: list[dict], lexicon: Lexicon) -> list[tuple[int, str, int, int, int, int]]:
+def _finished(rows: pa.StructArray, lexicon: Lexicon) -> list[tuple[int, str, int, int, int, int]]:
     """page_index, text and counts of noise of the pages of one document, from its rows."""
-    rows.sort(key=lambda r: (r["page_index"], r["line_no"]))
+    numbers = [rows.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)]
+    order = np.lexsort(numbers[::-1])
+    page_of, line_of, paragraph_of, piece_of, cut_of = (rows.field(k).take(pa.array(order)).to_pylist() for k in range(5))
+    facts_of = rows.field(5).take(pa.array(order[numbers[1][order] < 0])).to_pylist()
     pages: dict[int, tuple[dict, dict[int, list[str]], list[bool]]] = {}
-    for r in rows:
-        if r["line_no"] < 0:
-            pages[r["page_index"]] = (r["facts"], {}, [])
+    for page, line, paragraph, piece, cut in zip(page_of, line_of, paragraph_of, piece_of, cut_of):
+        if line < 0:
+            pages[page] = (facts_of[len(pages)], {}, [])
         else:
-            _, paragraphs, cuts = pages[r["page_index"]]
-            paragraphs.setdefault(r["paragraph"], []).append(r["piece"])
-            cuts.append(r["cut"])
+            _, paragraphs, cuts = pages[page]
+            paragraphs.setdefault(paragraph, []).append(piece)
+            cuts.append(cut)
     bodies, headlines = [], []
     for facts, paragraphs, _ in pages.values():
         bodies.append("\n\n".join(re.sub(" +", " ", " ".join(p)).strip(" ") for p in paragraphs.values()))
