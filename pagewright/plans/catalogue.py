@@ -336,7 +336,7 @@ def mutual_knn(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def cluster_density(spark: SparkSession, folder: str) -> DataFrame:
-    return flat(vectors.density_clusters(corpus.vectors(spark, folder)))
+    return flat(vectors.density_clusters(corpus.vectors(spark, folder), recall=None))
 
 
 @registered

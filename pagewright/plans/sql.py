@@ -199,6 +199,13 @@ _NORMALIZED = (
 )
 
 
+# each dimension is a row, so that nothing is cast within the join
+_NEAR = """
+parts as materialized (select vec_id, unnest(embedding)::double as x, unnest(range(0, len(embedding))) as d from embeddings),
+products as materialized (select a.vec_id as p, b.vec_id as q, round(sum(a.x * b.x), 9) as s from parts a join parts b on a.d = b.d and a.vec_id <> b.vec_id group by all),
+kept as materialized (select p, q from products qualify row_number() over (partition by p order by s desc, q) <= 5)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "line_normalize": rf"""
@@ -377,20 +384,11 @@ def oracle_sql() -> dict[str, str]:
         "prompt_assembly": f"""
             with {_JUDGE}
             select qtj_id, 'Say whether the query holds its own answer.' || chr(10) || 'Reply in english with a JSON object.' || chr(10) || 'query:' || chr(10) || query as prompt from tj where query is not null""",
-        "mutual_knn": """
-            with near as (
-              select a.vec_id as p, b.vec_id as q, row_number() over (partition by a.vec_id order by round(list_inner_product(a.embedding::double[], b.embedding::double[]), 9) desc, b.vec_id) as k
-              from embeddings a, embeddings b where a.vec_id <> b.vec_id
-            ),
-            kept as (select p, q from near where k <= 5)
-            select x.p as a, x.q as b from kept x join kept y on x.p = y.q and x.q = y.p where x.p < x.q""",
-        "cluster_density": """
-            with recursive near as (
-              select a.vec_id as p, b.vec_id as q, row_number() over (partition by a.vec_id order by round(list_inner_product(a.embedding::double[], b.embedding::double[]), 9) desc, b.vec_id) as k
-              from embeddings a, embeddings b where a.vec_id <> b.vec_id
-            ),
-            kept as (select p, q from near where k <= 5),
-            edges as (select x.p as a, x.q as b from kept x join kept y on x.p = y.q and x.q = y.p),
+        "mutual_knn": f"""
+            with {_NEAR} select x.p as a, x.q as b from kept x join kept y on x.p = y.q and x.q = y.p where x.p < x.q""",
+        "cluster_density": f"""
+            with recursive {_NEAR},
+            edges as materialized (select x.p as a, x.q as b from kept x join kept y on x.p = y.q and x.q = y.p),
             reach as (select a as node, a as other from edges union select node, b from reach join edges on other = a)
             select e.vec_id, c.cluster from embeddings e left join (select node, min(other) as cluster from reach group by node) c on c.node = e.vec_id""",
         "cluster_pairs": f"""

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from pagewright.operators import embedding, vectors
 
@@ -30,6 +31,25 @@ def test_index_recall(spark):
         found = {(r["vec_id"], r["neighbour"]) for r in rows}
         assert len(found) == len(rows) and len(found & truth) >= least * len(truth)
     assert vectors.indexed_neighbours(frame.where("false")).count() == 0
+    assert {(r["vec_id"], r["neighbour"]) for r in vectors.nearest_neighbours(frame, block_rows=40).collect()} == truth
+
+
+@pytest.mark.parametrize("count", [500, 2_000, 8_000])
+def test_measured_recall_of_a_growing_index(spark, count):
+    rng = np.random.default_rng(count)
+    centers = rng.normal(size=(max(4, int(count**0.5)), 16))
+    matrix = (centers[rng.integers(len(centers), size=count)] + 0.5 * rng.normal(size=(count, 16))).astype(np.float32)
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(matrix)], "vec_id bigint, embedding array<float>")
+    found = {(r["vec_id"], r["neighbour"]) for r in vectors.indexed_neighbours(frame, frame.where("vec_id % 10 = 0")).collect()}
+    scores = matrix[::10].astype(np.float64) @ matrix.astype(np.float64).T
+    scores[np.arange(len(scores)), np.arange(0, count, 10)] = -np.inf
+    order = np.argsort(-scores, axis=1)[:, :5]
+    truth = {(10 * q, int(n)) for q, own in enumerate(order) for n in own}
+    assert len(found & truth) >= 0.95 * len(truth)
+    cells = vectors.cells_for(count)
+    probes = vectors.measured_probes(frame, vectors.cell_centroids(frame, cells), 5, 0.97)
+    assert probes <= cells / 3  # far from looking into all of them
 
 
 def test_components(spark):
@@ -38,6 +58,10 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in vectors.connected_components(frame).collect()}
     assert all(got[k] == 0 for k in range(31)) and got[102] == 100
     assert vectors.connected_components(frame.where("false")).count() == 0
+    star = spark.range(1, 400).selectExpr("id as a", "0L as b").unionByName(spark.range(500, 900).selectExpr("id as a", "id + 1 as b"))
+    for hub in (3, 100_000):
+        got = {r["node"]: r["component"] for r in vectors.connected_components(star, hub=hub).collect()}
+        assert got == {**dict.fromkeys(range(400), 0), **dict.fromkeys(range(500, 901), 500)}
 
 
 def test_tuples(spark):
