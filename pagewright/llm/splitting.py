@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.textkit import PAGE_BREAK, extended, one_per_key, slices
+from pagewright.llm.textkit import PAGE_BREAK, extended, one_per_key_in_place, slices
 
 #: Strength of the boundary before a piece.
 HARD, WORD, SENTENCE, LINE, PARAGRAPH, HEADING, PAGE = range(7)
@@ -136,7 +136,7 @@ def split_oversized(df: DataFrame, limits: DataFrame, kind: str, id_col: str, te
     clashing names do no harm.
     """
     limit = limits.where(F.col("item_kind") == kind).agg(F.min("max_chars").alias("m"), F.min("overlap_chars").alias("o")).first()
-    own = one_per_key(df, id_col, text_col).select(F.lit(kind).alias("item_kind"), F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+    own = one_per_key_in_place(df, id_col, text_col).select(F.lit(kind).alias("item_kind"), F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     if limit["m"] is None:
         own = own.where("false")
     most, overlap = limit["m"] or 1, limit["o"] or 0

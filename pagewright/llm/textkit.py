@@ -45,6 +45,22 @@ def one_per_key(df: DataFrame, key: str, *columns: str) -> DataFrame:
     return picked.groupBy(key).agg(best).select(key, *[F.col(f"_best.{c}").alias(c) for c in columns])
 
 
+def one_per_key_in_place(df: DataFrame, key: str, *columns: str, most: int = 200_000) -> DataFrame:
+    """one_per_key() that moves no row whose key stands once.
+
+    Keys are counted without the columns.  Up to most keys that stand several times are
+    broadcast: their rows alone are shuffled.  With more of them one_per_key() does the same.
+    """
+    own = df.select(key, *columns).where(F.col(key).isNotNull())
+    several = own.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key).limit(most + 1).collect()
+    if len(several) > most:
+        return one_per_key(df, key, *columns)
+    if not several:
+        return own
+    keys = F.broadcast(df.sparkSession.createDataFrame(several, df.select(key).schema))
+    return own.join(keys, key, "left_anti").unionByName(one_per_key(own.join(keys, key, "left_semi"), key, *columns))
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose text in column stays near max_bytes.
 
