@@ -14,12 +14,14 @@ from typing import Protocol
 
 @dataclass(frozen=True)
 class Request:
-    """One prompt: text, images as data URLs, and the model's arguments."""
+    """One prompt: text, images as data URLs, each with a caption if there are any, and the
+    model's arguments."""
 
     prompt: str
     images: tuple[str, ...] = ()
     max_tokens: int = 10_000
     schema: str | None = None
+    captions: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)

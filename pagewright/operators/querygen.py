@@ -77,6 +77,11 @@ def question_allocation(summaries: DataFrame, key: str = "summary_id", wanted: i
     return own.select(key, *[F.col(f"_a.{k}").alias(k) for k, _ in KINDS])
 
 
+def one_of_each(keys: DataFrame, key: str = "summary_id") -> DataFrame:
+    """key with one question of each pool, for pages that are shown as images."""
+    return keys.select(key, *[F.lit(1).alias(p) for p in POOLS])
+
+
 def module_sample(allocation: DataFrame, key: str = "summary_id", seed: str = "module") -> DataFrame:
     """key, pool, draw, type, format, answerability: modules drawn with replacement.
 

@@ -99,6 +99,32 @@ def first_candidates(wanted: int, *parts: DataFrame, order: str = "ord") -> Data
     return result.orderBy("_part", order).limit(wanted).drop("_part")
 
 
+#: What a summary selected from one of six buckets says, in the order of the buckets.
+BUCKET_REASONS = tuple(f"summary based on {what} {which} visual information" for which in ("with", "without") for what in ("sections from multiple documents", "sections from a single document", "a section from a single document"))
+
+
+def six_buckets(summaries: DataFrame, visual: str = "visual", combined: str = "combined") -> DataFrame:
+    """summaries with ``bucket_no``: with visual content 0 for several documents, 1 for several
+    sections of one, 2 for one section; without it three more."""
+    kind = F.when(~F.col(combined), 2).when(bucket(F.col(combined)) == "multi_document_combined", 0).otherwise(1)
+    return summaries.withColumn("bucket_no", (kind + F.when(F.col(visual), 0).otherwise(3)).cast("int"))
+
+
+def balanced_selection(judged: DataFrame, sections: DataFrame, wanted: int, least: int = 4, grades: tuple[str, ...] = CRITERIA, key: str = "summary_id", order: str = "ord", strict: bool = False) -> DataFrame:
+    """The wanted summaries, taken in turn from six buckets, with ``round`` and
+    ``selected_reason``.
+
+    judged has ``combined``.  Only summaries whose grades all reach least count, of combined
+    ones with the same files and pages the first; fewer than wanted are an error.
+    """
+    passing = judged.where(passes(least, *grades))
+    once = passing.where(~F.col("combined")).unionByName(dedupe_combined(passing.where("combined"), order))
+    candidates = six_buckets(touched_visual(once, sections, key))
+    chosen = quota_round_robin(candidates, wanted, order, strict)
+    reasons = F.array(*[F.lit(r) for r in BUCKET_REASONS])
+    return chosen.withColumn("selected_reason", F.get(reasons, F.col("bucket_no")))
+
+
 def quota_plan(sizes: list[int], wanted: int, strict: bool = False) -> list[tuple[int, int, int, int]]:
     """(round, bucket, low, high) of the ranks taken from six buckets.
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pagewright.functions.order import running_totals
+
 
 def page_lists(pages: DataFrame, page: str = "page_index") -> DataFrame:
     """filename and its sorted pages."""
@@ -31,17 +32,16 @@ def capped_windows(windows: DataFrame, per_document: int | None = None, in_all:
     """The first per_document windows of each document, and of these the first in_all in order
     of documents; None means no bound.
 
-    The total bound needs a running number over documents.  At most the first in_all
-    documents can have a part in it, so the window over their counts has in_all rows at most.
+    The total bound needs a running number over documents, which comes from the sums of ranges
+    of documents; at most the first in_all documents can have a part in it.
     """
     own = windows
     if per_document is not None:
         own = own.where(F.col("window") < per_document)
     if in_all is None:
         return own
-    sizes = own.groupBy("filename").agg(F.count(F.lit(1)).alias("_n"))
-    first = sizes.orderBy("filename").limit(in_all)
-    before = first.select("filename", (F.sum("_n").over(W.orderBy("filename").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
+    first = own.groupBy("filename").agg(F.count(F.lit(1)).alias("_n")).orderBy("filename").limit(in_all)
+    before = running_totals(first, "filename", "_n", "_before").select("filename", "_before")
     return own.join(F.broadcast(before) if in_all <= 100_000 else before, "filename").where(F.col("_before") + F.col("window") < in_all).drop("_before")
 
 

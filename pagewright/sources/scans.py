@@ -12,6 +12,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StringType, StructType
 
+from pagewright.functions.text import PAGE_BREAK
+
 _NAME = r"([^/]+?)(?:\.[^./]+)?$"
 
 
@@ -24,8 +26,8 @@ def read_markdown(spark: SparkSession, folder: str) -> DataFrame:
 def read_images(spark: SparkSession, folder: str, max_documents: int | None = None, with_content: bool = False) -> DataFrame:
     """filename, page, path of images ``<document>/<document>_<page>.<png|jpg|jpeg>``.
 
-    A name without a page is an error.  max_documents counts folders by name before anything
-    else is left out.
+    A name without a page is an error.  max_documents counts folders by name, those without
+    images among them, before anything else is left out.
     """
     own = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{png,jpg,jpeg,PNG,JPG,JPEG}").load(folder)
     path = F.col("path")
@@ -35,8 +37,11 @@ def read_images(spark: SparkSession, folder: str, max_documents: int | None = No
     own = own.select(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("filename"), checked.alias("page"), "path", *(["content"] if with_content else []))
     if max_documents is None:
         return own
-    first = own.select("filename").distinct().orderBy("filename").limit(max_documents)
-    return own.join(first, "filename", "left_semi")
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    listed = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+    first = sorted(s.getPath().getName() for s in listed if s.isDirectory())[:max_documents]
+    return own.where(F.col("filename").isin(first)) if first else own.where("false")
 
 
 def positional_pages(images: DataFrame) -> DataFrame:
@@ -68,10 +73,11 @@ def read_pdf_pages(spark: SparkSession, folder: str, extractor: Callable[[bytes]
     return own.mapInPandas(run, "filename string, page_index int, lines array<string>, parse_status string")
 
 
-def read_pdf_markdown(spark: SparkSession, folder: str, converter: Callable[[bytes, int, int], str], page_count: Callable[[bytes], int], chunk_over: int = 80, chunk: int = 30) -> DataFrame:
+def read_pdf_markdown(spark: SparkSession, folder: str, converter: Callable[[bytes, int, int], str], page_count: Callable[[bytes], int], chunk_over: int = 80, chunk: int = 30, done: DataFrame | None = None) -> DataFrame:
     """filename, first_page, content, error: Markdown by an injected converter; files of more
-    than chunk_over pages are converted chunk pages at a time."""
-    own = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder).select("path", "content")
+    than chunk_over pages are converted chunk pages at a time, and those in done (filename)
+    aren't read."""
+    own = without_done(spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder), done).select("path", "content")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -90,13 +96,29 @@ def read_pdf_markdown(spark: SparkSession, folder: str, converter: Callable[[byt
     return own.mapInPandas(run, "filename string, first_page int, content string, error string")
 
 
-def render_pdf_pages(spark: SparkSession, folder: str, renderer: Callable[[bytes, int], bytes], page_count: Callable[[bytes], int], excluded: DataFrame | None = None) -> DataFrame:
+def without_done(files: DataFrame, done: DataFrame | None) -> DataFrame:
+    """Files whose names aren't in done (filename), left out before their bytes are read."""
+    if done is None:
+        return files
+    own = files.withColumn("_name", F.regexp_extract(F.url_decode("path"), _NAME, 1))
+    return own.join(done.select(F.col("filename").alias("_name")), "_name", "left_anti").drop("_name")
+
+
+def joined_parts(parts: DataFrame) -> DataFrame:
+    """filename, content, error of documents converted in parts: the parts in order, with page
+    breaks between them, or the first error."""
+    ordered = F.array_sort(F.collect_list(F.struct("first_page", "content")))
+    own = parts.groupBy("filename").agg(ordered.alias("_p"), F.min("error").alias("error"))
+    return own.select("filename", F.when(F.col("error").isNull(), F.array_join(F.col("_p.content"), f"\n{PAGE_BREAK}\n")).alias("content"), "error")
+
+
+def render_pdf_pages(spark: SparkSession, folder: str, renderer: Callable[[bytes, int], bytes], page_count: Callable[[bytes], int], excluded: DataFrame | None = None, done: DataFrame | None = None) -> DataFrame:
     """filename, page, content: PNG bytes of the pages of PDFs by an injected renderer.
 
     excluded (filename, pages) names pages that aren't rendered; they are left out before the
-    renderer sees them.
+    renderer sees them, and so are the documents in done (filename).
     """
-    own = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder).select(F.regexp_extract("path", _NAME, 1).alias("filename"), "content")
+    own = without_done(spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder), done).select(F.regexp_extract("path", _NAME, 1).alias("filename"), "content")
     gone = excluded.select("filename", F.col("pages").cast("array<int>").alias("pages")) if excluded is not None else spark.createDataFrame([], "filename string, pages array<int>")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
