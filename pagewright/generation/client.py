@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import random
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -88,7 +87,8 @@ class OfflineClient:
     """A stand-in whose replies depend on nothing but the prompt, for tests and dry runs.
 
     With a schema (a JSON object of field names and kinds 'text', 'flag', 'grade' or 'list')
-    the reply is a JSON object; every fail_every-th prompt, by its hash, fails.
+    the reply is a JSON object, whose flags and grades are hashes of the prompt's hash and the
+    field's name; every fail_every-th prompt, by its hash, fails.
     """
 
     fail_every: int = 0
@@ -100,10 +100,10 @@ class OfflineClient:
         digest = hashlib.md5(request.prompt.encode()).hexdigest()
         if self.fail_every and int(digest[:8], 16) % self.fail_every == 0:
             return Reply(False, error="OfflineError: chosen to fail", input_tokens=len(request.prompt) // 4)
-        draw = random.Random(digest)
+        draw = lambda k: int(hashlib.md5(f"{digest}|{k}".encode()).hexdigest()[:8], 16)
         if request.schema is None:
             text = f"summary {digest[:12]}"
         else:
-            makers = {"text": lambda k: f"{k} {digest[:8]}", "flag": lambda k: draw.random() < 0.5, "grade": lambda k: draw.randint(1, 5), "list": lambda k: [f"{k} {digest[:8]} {n}" for n in range(3)]}
+            makers = {"text": lambda k: f"{k} {digest[:8]}", "flag": lambda k: draw(k) % 2 == 1, "grade": lambda k: draw(k) % 5 + 1, "list": lambda k: [f"{k} {digest[:8]} {n}" for n in range(3)]}
             text = json.dumps({k: makers[kind](k) for k, kind in json.loads(request.schema).items()})
         return Reply(True, text, None, len(request.prompt) // 4, len(text) // 4)

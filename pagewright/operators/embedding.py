@@ -22,8 +22,8 @@ def offline_embedder(dimensions: int = 64) -> Embedder:
         for row, text in zip(rows, texts):
             words = re.findall(r"\w+", text.lower())
             for unit in words + [f"{a} {b}" for a, b in zip(words, words[1:])]:
-                digest = int.from_bytes(hashlib.blake2b(unit.encode(), digest_size=8).digest(), "little")
-                row[digest % dimensions] += 1.0 if digest >> 63 else -1.0
+                digest = int(hashlib.md5(unit.encode()).hexdigest()[:8], 16)
+                row[digest // 2 % dimensions] += 1.0 if digest % 2 else -1.0
         return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
     return embed
@@ -54,8 +54,14 @@ def centred(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding")
     return vectors.select(key, F.zip_with(F.col(vector).cast("array<double>"), mean, lambda x, m: x - m).alias(vector))
 
 
+def directions(size: int, dimensions: int, seed: int = 0) -> np.ndarray:
+    """A matrix of signs over the root of dimensions: hashes of seed, row and column."""
+    signs = [[int(hashlib.md5(f"{seed}|{i}|{j}".encode()).hexdigest()[:8], 16) % 2 * 2 - 1 for j in range(dimensions)] for i in range(size)]
+    return np.array(signs, np.float64).reshape(size, dimensions) / np.sqrt(dimensions)
+
+
 def random_projection(vectors: DataFrame, dimensions: int, seed: int = 0, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """Vectors on dimensions random directions, the same in every task for one seed."""
+    """Vectors on dimensions random directions of signs, the same in every task for one seed."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         matrix: np.ndarray | None = None
@@ -64,7 +70,7 @@ def random_projection(vectors: DataFrame, dimensions: int, seed: int = 0, key: s
                 continue
             own = np.stack(frame[vector].to_numpy()).astype(np.float64)
             if matrix is None:
-                matrix = np.random.default_rng(seed).normal(size=(own.shape[1], dimensions)) / np.sqrt(dimensions)
+                matrix = directions(own.shape[1], dimensions, seed)
             yield pd.DataFrame({key: frame[key].to_numpy(), vector: list(own @ matrix)})
 
     own = vectors.where(F.col(vector).isNotNull()).select(key, vector)

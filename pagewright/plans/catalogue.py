@@ -11,10 +11,11 @@ from pagewright.functions import text as T
 from pagewright.functions.fuzzy import partial_ratio_column
 from pagewright.generation.client import OfflineClient
 from pagewright.generation.prompts import TASKS, numbered_requests, rendered
-from pagewright.generation.runner import asked, parsed, run_prompts, split_failures
+from pagewright.generation.runner import asked, split_failures, usage_of
 from pagewright.operators import embedding, headings, quality, querygen, reconcile, sections, selection, toc, usage, vectors, windows
 from pagewright.plans import corpus
 from pagewright.plans.corpus import flat, read
+from pagewright.plans.pipelines import Flow
 from pagewright.plans.sql import oracle_sql
 from pagewright.streaming import pages as streams
 
@@ -225,6 +226,18 @@ def quota_round_robin(spark: SparkSession, folder: str) -> DataFrame:
     return flat(selection.quota_round_robin(own, 400).select("qtj_id", "bucket_no", "round"))
 
 
+@registered
+def balanced_selection(spark: SparkSession, folder: str) -> DataFrame:
+    """Passing summaries taken in turn from six buckets, by visual content and combination."""
+    own = corpus.judged(spark, folder).where("filenames is not null").withColumn("combined", selection.is_combined())
+    return flat(selection.balanced_selection(own, corpus.sections(spark, folder), 20, 2, key="qtj_id").select("qtj_id", "bucket_no", "round", "selected_reason"))
+
+
+@registered
+def passing_count(spark: SparkSession, folder: str) -> DataFrame:
+    return selection.count_passing(corpus.judged(spark, folder), 3, *selection.CRITERIA)
+
+
 @registered
 def first_n(spark: SparkSession, folder: str) -> DataFrame:
     own = corpus.judged(spark, folder).withColumn("combined", selection.is_combined())
@@ -289,9 +302,8 @@ def generated_queries(spark: SparkSession, folder: str) -> DataFrame:
     """Typed queries of all summaries by the offline client, exploded."""
     own = corpus.to_judge(spark, folder).where("summary is not null").select("summary").distinct().withColumn("summary_id", F.md5("summary"))
     asked = own.join(numbered_requests(querygen.module_sample(querygen.question_allocation(own))), "summary_id").withColumn("persona", F.lit("an engineer"))
-    task = TASKS["generate_queries"]
-    replies = run_prompts(rendered(asked, task), OfflineClient(), "offline")
-    return flat(querygen.explode_queries(parsed(replies, task.ddl, ["queries"]).select("prompt_key", F.transform("value.queries", lambda q: F.struct(q.alias("query"))).alias("queries"))))
+    said = _asked(asked, "generate_queries").select("summary_id", F.transform("value.queries", lambda q: F.struct(q.alias("query"))).alias("queries"))
+    return flat(querygen.explode_queries(said))
 
 
 def _asked(rows: DataFrame, task: str) -> DataFrame:
@@ -299,6 +311,39 @@ def _asked(rows: DataFrame, task: str) -> DataFrame:
     return asked(rendered(rows, own), own.ddl, [n for n, _ in own.fields], OfflineClient(fail_every=29), "offline")
 
 
+def _page_images(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages of the derived corpus as images: filename, page, url of the text's bytes."""
+    own = corpus.derived_pages(spark, folder)
+    return own.select("filename", F.col("page_index").alias("page"), T.data_url(F.lit("page.png"), F.encode(F.array_join("lines", "\n"), "UTF-8")).alias("url"))
+
+
+@registered
+def visual_descriptions(spark: SparkSession, folder: str) -> DataFrame:
+    """A description of each document by the offline client, which is shown its first pages."""
+    images = _page_images(spark, folder)
+    first = windows.description_sample(windows.page_lists(images, "page")).select("filename", F.col("pages").alias("page_numbers"))
+    shown = Flow.with_images(first, images, "filename").withColumn("shown", F.size("images"))
+    return flat(_asked(shown, "describe_visual_document").select("filename", "shown", "ok", "value.description"))
+
+
+@registered
+def page_queries(spark: SparkSession, folder: str) -> DataFrame:
+    """Queries for windows of five pages by the offline client, one of each kind asked for."""
+    images = _page_images(spark, folder)
+    own = windows.tumbling_windows(windows.page_lists(images, "page")).withColumn("request_id", F.concat_ws("/", "filename", F.col("window").cast("string")))
+    wanted = numbered_requests(querygen.module_sample(querygen.one_of_each(own, "request_id"), "request_id"), "request_id")
+    said = _asked(Flow.with_images(own, images, "filename", "request_id").join(wanted, "request_id"), "query_one_section")
+    return flat(said.where("ok").select("request_id", F.size("page_numbers").alias("pages"), F.posexplode("value.queries").alias("query_no", "query")))
+
+
+@registered
+def contents_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What the offline client says of pages that may be tables of contents."""
+    pages = corpus.derived_pages(spark, folder).select("doc_id", F.array_join("lines", "\n").alias("content"))
+    own = headings.toc_candidate_pages(pages, "doc_id").withColumn("page", F.regexp_replace(F.regexp_replace(F.lower("page"), r"(?U)\s+", " "), "table of contents", ""))
+    return flat(_asked(own, "check_contents_page").select("doc_id", "page_index", "ok", "value.has_table_of_contents"))
+
+
 @registered
 def document_descriptions(spark: SparkSession, folder: str) -> DataFrame:
     """A description of each document by the offline client; failures keep their error."""
@@ -342,7 +387,8 @@ def cluster_density(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def text_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     own = corpus.to_judge(spark, folder).where("summary is not null")
-    return embedding.embed_texts(own, embedding.offline_embedder(), "qtj_id").select("qtj_id", F.size("embedding").cast("bigint").alias("dimensions"), F.transform("embedding", lambda x: F.round(x.cast("double"), 6)).alias("embedding"))
+    found = embedding.embed_texts(own, embedding.offline_embedder(), "qtj_id")
+    return found.select("qtj_id", F.posexplode("embedding").alias("k", "x")).where("x <> 0").select("qtj_id", F.col("k").cast("bigint").alias("k"), F.round(F.col("x").cast("double") * 1e4).cast("bigint").alias("parts"))
 
 
 @registered
@@ -353,7 +399,8 @@ def vectors_centred(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def vectors_projected(spark: SparkSession, folder: str) -> DataFrame:
-    return embedding.random_projection(corpus.vectors(spark, folder), 8)
+    found = embedding.random_projection(corpus.vectors(spark, folder), 8)
+    return found.select("vec_id", F.posexplode("embedding").alias("k", "x")).select("vec_id", F.col("k").cast("bigint").alias("k"), F.round(F.col("x") * 1e6).cast("bigint").alias("micro"))
 
 
 @registered
@@ -405,6 +452,21 @@ def usage_windows(spark: SparkSession, folder: str) -> DataFrame:
     return flat(own.select(F.unix_timestamp("window_start").alias("window_start"), "model", "call_count", "tokens"))
 
 
+@registered
+def event_stamps(spark: SparkSession, folder: str) -> DataFrame:
+    """Moments as text, a label of each type, kinds of a list of four, and a hash of the properties."""
+    labels = F.create_map(*[F.lit(x) for x in ("click", "pressed", "view", "seen")])
+    kinds = F.array_join(T.padded(F.array("event_type"), F.lit(4), F.lit("-")), ",")
+    return read(spark, folder, "events").select("event_id", T.utc_stamp(F.col("ts").cast("timestamp")).alias("stamp"), T.lookup(labels, F.col("event_type"), F.lit("other")).alias("label"), kinds.alias("kinds"), T.content_hash(F.coalesce("props", F.lit(""))).alias("hash"))
+
+
+@registered
+def usage_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The row of the usage log for one batch of calls."""
+    replies = read(spark, folder, "events").select((F.col("event_id") % 500).alias("input_tokens"), (F.col("event_id") % 300 - 5).alias("output_tokens"), (F.col("event_id") % 800).alias("total_tokens"))
+    return flat(usage_of(replies, "model", "batch", 4).drop("timestamp"))
+
+
 @registered
 def doc_uuid5(spark: SparkSession, folder: str) -> DataFrame:
     return read(spark, folder, "documents").select("source").distinct().select("source", T.uuid5(NAMESPACE, F.col("source")).alias("uuid"))

@@ -137,24 +137,27 @@ gate as (
   from (select *, {_QUALITY} from tj)
 )"""
 
-_ALLOCATION = f"""{_JUDGE},
-steps as (
+def _allocation(key: str, source: str) -> str:
+    return f"""steps as (
   with recursive draw as (
-    select qtj_id, 0 as step, 0 as adversarial, 0 as textual, 0 as tabular, 0 as visual, 0 as total, ['adversarial', 'textual', 'tabular', 'visual'] as open, null::varchar as pick
-    from tj
+    select {key}, 0 as step, 0 as adversarial, 0 as textual, 0 as tabular, 0 as visual, 0 as total, ['adversarial', 'textual', 'tabular', 'visual'] as open, null::varchar as pick
+    from {source}
     union all
-    select qtj_id, step + 1, adversarial + (good and choice = 'adversarial')::int, textual + (good and choice = 'textual')::int,
+    select {key}, step + 1, adversarial + (good and choice = 'adversarial')::int, textual + (good and choice = 'textual')::int,
            tabular + (good and choice = 'tabular')::int, visual + (good and choice = 'visual')::int, total + good::int,
            case when live and full_now then list_filter(open, lambda x: x <> choice) else open end, choice
     from (
       select *, live and not full_now as good from (
         select *, total < 3 and len(open) > 0 as live,
                coalesce(case choice when 'adversarial' then adversarial >= 1 when 'textual' then textual >= 3 when 'tabular' then tabular >= 1 when 'visual' then visual >= 1 end, false) as full_now
-        from (select *, open[({_hash("'allocation'", 'qtj_id', 'step + 1')} % greatest(len(open), 1)) + 1] as choice from draw where step < 16)))
+        from (select *, open[({_hash(chr(39) + 'allocation' + chr(39), key, 'step + 1')} % greatest(len(open), 1)) + 1] as choice from draw where step < 16)))
   )
   select * from draw
 ),
-allocated as (select qtj_id, adversarial, textual, tabular, visual from steps where step = 16)"""
+allocated as (select {key}, adversarial, textual, tabular, visual from steps where step = 16)"""
+
+
+_ALLOCATION = f"{_JUDGE},\n{_allocation('qtj_id', 'tj')}"
 
 _MODULES = """
 modules(pool, type, answerability, low, high) as (values
@@ -165,6 +168,69 @@ modules(pool, type, answerability, low, high) as (values
   ('textual', 'extractive', 'full', 0, 4), ('textual', 'open-ended', 'full', 4, 10), ('textual', 'open-ended', 'partial', 10, 16), ('textual', 'boolean', 'full', 16, 18),
   ('textual', 'boolean', 'partial', 18, 20), ('textual', 'compare-contrast', 'full', 20, 22), ('textual', 'compare-contrast', 'partial', 22, 24), ('textual', 'enumerative', 'partial', 24, 26))"""
 
+
+def _drawn(key: str, source: str) -> str:
+    """The modules drawn for the counts of each pool in source."""
+    return f"""slots as (
+  select {key}, pool, n from (select {key}, unnest(['tabular', 'visual', 'textual']) as pool, unnest([tabular, visual, textual]) as n from {source}) where n > 0
+),
+draws as (select {key}, pool, unnest(range(1, n + 1)) as draw from slots),
+chosen as (
+  select d.*, m.type, m.answerability,
+    case m.type when 'enumerative' then ['question', 'instruction'] when 'multi-hop' then ['question', 'instruction'] when 'boolean' then ['question'] else ['question', 'instruction', 'keyword'] end as free
+  from draws d join modules m on m.pool = d.pool and {_hash("'module'", 'd.' + key, 'd.pool', 'd.draw')} % case d.pool when 'tabular' then 14 else 26 end between m.low and m.high - 1
+),
+drawn as (select *, free[({_hash("'format'", key, 'pool', 'draw')} % len(free)) + 1] as format from chosen),
+lines as (
+  select {key}, row_number() over (partition by {key} order by pool, draw) as n,
+         upper(substr(type, 1, 1)) || replace(substr(type, 2), '-', ' ') || ' query in the form of a ' || format || ', ' || answerability || 'ly answered by the ' || pool || ' content' as line
+  from drawn
+),
+requests as (select {key}, string_agg(n || '. ' || line, chr(10) order by n) as requests from lines group by {key})"""
+
+
+def _prompt(instruction: str, **shown: str) -> str:
+    """The text of a prompt; shown has an expression for each part."""
+    parts = [f"'{instruction}' || chr(10) || 'Reply in english with a JSON object.'"]
+    return " || ".join(parts + [f"chr(10) || '{name.replace('_', ' ')}:' || chr(10) || coalesce({value}, '')" for name, value in shown.items()])
+
+
+#: Whether the offline client answers a prompt with the hash d, and what it draws for a field.
+_ANSWERED = "(('0x' || substr(d, 1, 8))::bigint % 29 <> 0)"
+
+
+def _draw(field: str) -> str:
+    return f"('0x' || substr(md5(d || '|{field}'), 1, 8))::bigint"
+
+
+def _said(field: str) -> str:
+    return f"'{field} ' || substr(d, 1, 8)"
+
+
+_CANDIDATES = rf"""{_PAGES},
+texts as (select doc_id, array_to_string(body, chr(10)) as content from pages),
+cut as (select doc_id, unnest(string_split(content, '{_BREAK}')) as page, unnest(range(0, len(string_split(content, '{_BREAK}')))) as page_index from texts),
+entries as (
+  select doc_id, page_index, page, list_filter(list_transform(string_split(page, chr(10)), lambda x: [trim(x), trim(regexp_replace(trim(x), '[^a-z0-9]\s+', ' ', 'g'))]),
+    lambda e: regexp_matches(e[2], '\d') and regexp_matches(e[2], '[a-z]') and length(e[1]) < 150) as e
+  from cut
+),
+candidates as (
+  select doc_id, page_index::bigint as page_index, page from entries
+  where (page ilike '%table of contents%' or page ilike '%| page |%' or page ilike '%index%' or page ilike '%page no.%' or page ilike '%table des mati_res%')
+    and len(list_filter(e, lambda x: len(regexp_extract_all(x[2], '\d+')) >= 4)) <= 5 and len(list_filter(e, lambda x: len(regexp_extract_all(x[2], '\d+')) < 4)) > 8
+)"""
+
+_TURNS = """
+sizes as (select list(n order by b) as s from (select b, (select count(*) from {source} where bucket_no = b) as n from range(6) r(b))),
+rounds as (
+  select 0 as round, [0, 0, 0, 0, 0, 0]::bigint[] as low, list_transform(s, lambda n, i: least(n, greatest(1, {wanted} // 6 + case when i <= 3 then 20 else -20 end))) as high, s from sizes
+  union all
+  select round + 1, high, list_transform(s, lambda n, i: least(n, high[i] + greatest(1, ({wanted} - list_sum(high))::bigint // 6 + case when i <= 3 then 20 else -20 end))), s
+  from rounds where list_sum(high) < {wanted}
+),
+placed as (select qtj_id, bucket_no, row_number() over (partition by bucket_no order by qtj_id) - 1 as k from {source})"""
+
 _MEMBERS = f"""
 own as (
   select i, label as c, (vec_id % 20)::varchar as d, vec_id as m, row_number() over (partition by i, label, vec_id % 20 order by {_hash("'m'", 'i', 'vec_id')}, vec_id) as rm,
@@ -248,18 +314,12 @@ def oracle_sql() -> dict[str, str]:
         "pages_kept": f"""
             with {_SCORES}
             select filename, page_index from manifest where not is_toc""",
-        "toc_candidate_pages": rf"""
-            with {_PAGES},
-            texts as (select doc_id, array_to_string(body, chr(10)) as content from pages),
-            cut as (select doc_id, unnest(string_split(content, '{_BREAK}')) as page, unnest(range(0, len(string_split(content, '{_BREAK}')))) as page_index from texts),
-            entries as (
-              select doc_id, page_index, page, list_filter(list_transform(string_split(page, chr(10)), lambda x: [trim(x), trim(regexp_replace(trim(x), '[^a-z0-9]\s+', ' ', 'g'))]),
-                lambda e: regexp_matches(e[2], '\d') and regexp_matches(e[2], '[a-z]') and length(e[1]) < 150) as e
-              from cut
-            )
-            select doc_id, page_index::bigint as page_index from entries
-            where (page ilike '%table of contents%' or page ilike '%| page |%' or page ilike '%index%' or page ilike '%page no.%' or page ilike '%table des mati_res%')
-              and len(list_filter(e, lambda x: len(regexp_extract_all(x[2], '\d+')) >= 4)) <= 5 and len(list_filter(e, lambda x: len(regexp_extract_all(x[2], '\d+')) < 4)) > 8""",
+        "toc_candidate_pages": f"""
+            with {_CANDIDATES} select doc_id, page_index from candidates""",
+        "contents_check": rf"""
+            with {_CANDIDATES},
+            asked as (select doc_id, page_index, md5({_prompt('Say whether this page is a table of contents.', page=f"replace(regexp_replace(lower(page), '{_SPACE}', ' ', 'g'), 'table of contents', '')")}) as d from candidates)
+            select doc_id, page_index, {_ANSWERED} as ok, case when {_ANSWERED} then {_draw('has_table_of_contents')} % 2 = 1 end as has_table_of_contents from asked""",
         "heading_outline": rf"""
             with {_MD},
             lines as (select id, unnest(string_split(content, chr(10))) as line, unnest(range(0, len(string_split(content, chr(10))))) as pos from docs),
@@ -339,15 +399,27 @@ def oracle_sql() -> dict[str, str]:
             limit 200""",
         "quota_round_robin": f"""
             with recursive {_JUDGE},
-            sizes as (select list(n order by b) as s from (select b, (select count(*) from tj where qtj_id % 6 = b) as n from range(6) r(b))),
-            rounds as (
-              select 0 as round, [0, 0, 0, 0, 0, 0]::bigint[] as low, list_transform(s, lambda n, i: least(n, greatest(1, 400 // 6 + case when i <= 3 then 20 else -20 end))) as high, s from sizes
-              union all
-              select round + 1, high, list_transform(s, lambda n, i: least(n, high[i] + greatest(1, (400 - list_sum(high))::bigint // 6 + case when i <= 3 then 20 else -20 end))), s
-              from rounds where list_sum(high) < 400
+            own as (select qtj_id, qtj_id % 6 as bucket_no from tj), {_TURNS.format(source='own', wanted=400)}
+            select qtj_id, bucket_no, round::bigint as round from placed join rounds on k >= low[bucket_no + 1] and k < high[bucket_no + 1]""",
+        "balanced_selection": f"""
+            with recursive {_JUDGED}, {_SECTIONS},
+            want as (select qtj_id, f.filename as filename, unnest(p) as page from (select qtj_id, unnest(filenames) as filename, flatten(page_numbers) as p from tj) f),
+            have as (select filename, unnest(page_numbers) as page from secs where contains(section, '<!--<annotation kind=')),
+            seen as (select distinct qtj_id from want join have using (filename, page)),
+            keyed as (
+              select *, case when combined then array_to_string(list_transform(list_zip(filenames, page_numbers), lambda z: z[1] || '[' || coalesce(array_to_string(z[2], ','), '') || ']'), ' ') else 'single ' || qtj_id end as k
+              from ranked where worst >= 2 and filenames is not null
             ),
-            ranked as (select qtj_id, qtj_id % 6 as b, row_number() over (partition by qtj_id % 6 order by qtj_id) - 1 as k from tj)
-            select qtj_id, b as bucket_no, round::bigint as round from ranked join rounds on k >= low[b + 1] and k < high[b + 1]""",
+            once as (select * from keyed qualify row_number() over (partition by k order by qtj_id) = 1),
+            own as (
+              select qtj_id, case when not combined then 2 when several then 0 else 1 end + case when qtj_id in (select qtj_id from seen) then 0 else 3 end as bucket_no from once
+            ), {_TURNS.format(source='own', wanted=20)}
+            select qtj_id, bucket_no::bigint as bucket_no, round::bigint as round,
+                   'summary based on ' || ['sections from multiple documents', 'sections from a single document', 'a section from a single document'][bucket_no % 3 + 1]
+                   || case when bucket_no < 3 then ' with' else ' without' end || ' visual information' as selected_reason
+            from placed join rounds on k >= low[bucket_no + 1] and k < high[bucket_no + 1]""",
+        "passing_count": f"""
+            with {_JUDGED} select count(*) filter (worst >= 3) as passing from ranked""",
         "first_n": f"""
             with {_JUDGED} select qtj_id, combined from judged order by case when combined then 0 else 1 end, qtj_id limit 150""",
         "query_gate": f"""
@@ -367,16 +439,8 @@ def oracle_sql() -> dict[str, str]:
             with {_ALLOCATION} select qtj_id, adversarial::bigint as adversarial, textual::bigint as textual, tabular::bigint as tabular, visual::bigint as visual from allocated""",
         "module_sample": f"""
             with {_ALLOCATION}, {_MODULES},
-            slots as (
-              select qtj_id, pool, n from (select qtj_id, unnest(['tabular', 'visual', 'textual']) as pool, unnest([tabular, visual, textual]) as n from allocated) where n > 0
-            ),
-            draws as (select qtj_id, pool, unnest(range(1, n + 1)) as draw from slots),
-            chosen as (
-              select d.*, m.type, m.answerability,
-                case m.type when 'enumerative' then ['question', 'instruction'] when 'multi-hop' then ['question', 'instruction'] when 'boolean' then ['question'] else ['question', 'instruction', 'keyword'] end as free
-              from draws d join modules m on m.pool = d.pool and {_hash("'module'", 'qtj_id', 'd.pool', 'draw')} % case d.pool when 'tabular' then 14 else 26 end between m.low and m.high - 1
-            )
-            select qtj_id, pool, draw, type, free[({_hash("'format'", 'qtj_id', 'pool', 'draw')} % len(free)) + 1] as format, answerability from chosen""",
+            {_drawn('qtj_id', 'allocated')}
+            select qtj_id, pool, draw, type, format, answerability from drawn""",
         "query_explode_qrels": f"""
             with {_JUDGE},
             pairs as (select qtj_id, unnest(list_zip(filenames, page_numbers)) as z from tj)
@@ -384,6 +448,63 @@ def oracle_sql() -> dict[str, str]:
         "prompt_assembly": f"""
             with {_JUDGE}
             select qtj_id, 'Say whether the query holds its own answer.' || chr(10) || 'Reply in english with a JSON object.' || chr(10) || 'query:' || chr(10) || query as prompt from tj where query is not null""",
+        "document_descriptions": f"""
+            with {_MD}, asked as (select id, md5({_prompt('Describe in a few sentences what this document is about.', content='content')}) as d from docs)
+            select id, {_ANSWERED} as ok, case when not {_ANSWERED} then 'OfflineError: chosen to fail' end as error, case when {_ANSWERED} then {_said('description')} end as description from asked""",
+        "section_summaries": f"""
+            with {_SECTIONS},
+            asked as (select *, md5({_prompt('Summarise the section in Markdown, in fewer than 500 words.', document_description="'No description is available.'", section='section')}) as d from secs where section is not null)
+            select id, filename, array_to_string(page_numbers, ',') as page_numbers, {_said('summary')} as summary from asked where {_ANSWERED}""",
+        "summary_judgments": f"""
+            with {_JUDGE},
+            asked as (select qtj_id, md5({_prompt('Grade the summary from 1 to 5 for each criterion, for the reader described.', persona="'an engineer'", summary='summary')}) as d from tj where summary is not null),
+            graded as (select qtj_id, {', '.join(f"case when {_ANSWERED} then {_draw(c)} % 5 + 1 else 1 end as {c}" for c in _CRITERIA)} from asked)
+            select *, least({', '.join(_CRITERIA)}) >= 4 as passing from graded""",
+        "rephrased_queries": f"""
+            with {_JUDGE},
+            asked as (
+              select qtj_id, query, md5({_prompt('Say the query in other words; keep its type, format and meaning.', query='query', summary='summary', query_type='supposed_query_type', query_format='supposed_query_format')}) as d
+              from tj where query is not null
+            ),
+            own as (select *, {_ANSWERED} and {_hash("'42'", 'qtj_id')} % 2 = 1 as pick from asked)
+            select qtj_id, case when pick then {_said('rephrased_query')} else query end as query, case when pick then query end as original_query, case when pick then 'rephrased' else 'original' end as generation_process from own""",
+        "generated_queries": f"""
+            with {_JUDGE},
+            own as (select distinct summary, md5(summary) as summary_id from tj where summary is not null),
+            {_allocation('summary_id', 'own')}, {_MODULES}, {_drawn('summary_id', 'allocated')},
+            asked as (
+              select summary_id, md5({_prompt('Write one query for each request, as the reader described would.', persona="'an engineer'", summary='summary', requests='requests')}) as d
+              from own join requests using (summary_id)
+            )
+            select summary_id, unnest([0, 1, 2])::bigint as query_no, {_said('queries')} || ' ' || unnest([0, 1, 2]) as query from asked where {_ANSWERED}""",
+        "visual_descriptions": f"""
+            with {_PAGES},
+            asked as (select filename, least(3, count(*)) as shown, md5({_prompt('Describe the document that these page images begin.', filename='filename')}) as d from pages group by filename)
+            select filename, shown, {_ANSWERED} as ok, case when {_ANSWERED} then {_said('description')} end as description from asked""",
+        "page_queries": f"""
+            with {_PAGES},
+            own as (select filename || '/' || page_index // 5 as request_id, count(*) as pages, 1 as tabular, 1 as visual, 1 as textual from pages group by filename, page_index // 5),
+            {_MODULES}, {_drawn('request_id', 'own')},
+            asked as (select request_id, own.pages, md5({_prompt('Write queries that these pages answer, one for each request.', requests='requests')}) as d from own join requests using (request_id))
+            select request_id, pages, unnest([0, 1, 2])::bigint as query_no, {_said('queries')} || ' ' || unnest([0, 1, 2]) as query from asked where {_ANSWERED}""",
+        "text_embeddings": r"""
+            with tj as (select qtj_id, arg_min({'s': summary}, ingested_at).s as summary from queries_to_judge group by qtj_id),
+            lists as (select qtj_id, regexp_extract_all(lower(summary), '[\p{L}\p{N}_]+') as w from tj where summary is not null),
+            units as (select qtj_id, unnest(list_concat(w, list_transform(w[2:], lambda x, i: w[i] || ' ' || x))) as unit from lists),
+            hashed as (select qtj_id, ('0x' || substr(md5(unit), 1, 8))::bigint as h from units),
+            sums as (select qtj_id, h // 2 % 64 as k, sum(case when h % 2 = 1 then 1 else -1 end) as x from hashed group by all),
+            normed as (select qtj_id, k, x / sqrt(sum(x * x) over (partition by qtj_id)) as x from sums)
+            select qtj_id, k::bigint as k, round(x::float::double * 1e4)::bigint as parts from normed where x <> 0""",
+        "vectors_projected": """
+            with parts as (select vec_id, unnest(embedding)::double as x, unnest(range(0, len(embedding))) as i from embeddings),
+            signs as (select i, k, ('0x' || substr(md5('0|' || i || '|' || k), 1, 8))::bigint % 2 * 2 - 1 as s from range(64) a(i), range(8) b(k))
+            select vec_id, k::bigint as k, round(sum(x * s) / sqrt(8) * 1e6)::bigint as micro from parts join signs using (i) group by vec_id, k""",
+        "event_stamps": """
+            select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as stamp, case event_type when 'click' then 'pressed' when 'view' then 'seen' else 'other' end as label,
+                   event_type || ',-,-,-' as kinds, sha256(coalesce(props, '')) as hash from events""",
+        "usage_log": """
+            select 'model' as model_name, 'batch' as batch_description, count(*) as call_count, sum(event_id % 500)::bigint as input_tokens, sum(greatest(event_id % 300 - 5, 0))::bigint as output_tokens,
+                   sum(event_id % 800)::bigint as total_tokens, 4::bigint as max_concurrency from events""",
         "mutual_knn": f"""
             with {_NEAR} select x.p as a, x.q as b from kept x join kept y on x.p = y.q and x.q = y.p where x.p < x.q""",
         "cluster_density": f"""
