@@ -169,6 +169,40 @@ def oracle_sql() -> dict[str, str]:
             select p as query_id_a, q as query_id_b
             from common join sizes x on x.query_id = p join sizes y on y.query_id = q
             where common >= 0.8 * (x.size + y.size - common)""",
+        "p6_links": f"""
+            with {_WORDS},
+            bags as (select query_id, string_agg(word, ' ' order by word) as bag from words group by query_id),
+            heads as (select min(query_id) as query_id from bags group by bag),
+            own as materialized (select * from counts semi join heads using (query_id)),
+            pairs as (
+              select a.query_id as a, b.query_id as b, sum(least(a.n, b.n))::bigint as common
+              from own a join own b on a.word = b.word and a.query_id < b.query_id group by all
+            )
+            select a, b, common, (x.size + y.size - common)::bigint as total
+            from pairs join sizes x on x.query_id = a join sizes y on y.query_id = b
+            where common >= 0.8 * (x.size + y.size - common)""",
+        "p8_found": rf"""
+            with texts as (
+              select 'd' as side, doc_id as id, replace(text, '<!-- page break -->', ' ') as body from documents where text is not null
+              union all select 'i', item_id, item_text from eval_items where item_text is not null
+            ),
+            lists as (select side, id, regexp_extract_all(replace(strip_accents(lower(body)), 'ß', 'ss'), '[\p{{L}}\p{{N}}]+') as w from texts),
+            own as materialized (select side, id, len(w) as size, unnest(w) as word, unnest(range(0, len(w))) as at from lists),
+            items as (select * from own where side = 'i'),
+            -- words in common on one diagonal of a document and an item
+            hits as materialized (
+              select d.id as doc_id, i.id as item_id, d.at - i.at as diagonal, i.at as at, i.size as m, d.size as n,
+                     row_number() over (partition by d.id, i.id, d.at - i.at order by i.at) as k, count(*) over (partition by d.id, i.id, d.at - i.at) as hits
+              from own d join items i on d.side = 'd' and d.word = i.word
+            ),
+            dense as materialized (select *, (m + 1) // 2 as need from hits where hits >= (m + 1) // 2 - ((m + 1) // 2) // 10),
+            runs as (
+              select a.doc_id, a.item_id, b.at - a.at + 1 as size, b.at - a.at - (b.k - a.k) as errors, a.need,
+                     least(a.at, a.at + a.diagonal) + least(a.m - 1 - b.at, a.n - 1 - b.at - a.diagonal) as room
+              from dense a join dense b on a.doc_id = b.doc_id and a.item_id = b.item_id and a.diagonal = b.diagonal and a.at <= b.at
+            )
+            select distinct doc_id, item_id from runs
+            where greatest(0, need - size) <= room and (errors + greatest(0, need - size)) * 10 <= greatest(size, need)""",
         "p6_classes": f"""
             with {_WORDS},
             bags as (select query_id, string_agg(word, ' ' order by word) as bag from words group by query_id)
