@@ -19,6 +19,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -27,7 +28,8 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage of df by a reliable checkpoint in the shared folder of the cluster.
 
     The folder is the session's own ``spark.checkpoint.dir``; a folder is chosen here only
-    where that is unset, as in local tests.
+    where that is unset, as in local tests.  Spark removes checkpoints that nothing refers to
+    where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
     spark = df.sparkSession
     context = spark.sparkContext
