@@ -262,17 +262,15 @@ class Votes:
         counts = np.bincount(bags.unit * many + self.label[bags.text], minlength=bags.units * many).reshape(-1, max(1, many))
         self.votes = np.log((counts + 0.2) / (np.bincount(self.label, minlength=many) + 1)) if many else counts
         self.voting = _distinct(bags.unit, self.source[bags.text], self.sources, bags.units) >= least_sources
+        self.places = dict(zip(bags.codes[self.voting].tolist(), np.flatnonzero(self.voting).tolist()))
 
     def language(self, text: str | None) -> str | None:
         """The language that most of a text's words and pairs vote for; None without votes."""
-        ids = [self.bags.names.get(w, -1) for w in own_words(text or "")]
-        pairs = [len(self.bags.names) + a * len(self.bags.names) + b for a, b in zip(ids, ids[1:]) if a >= 0 and b >= 0]
-        codes = np.unique(np.array([x for x in ids if x >= 0] + pairs, np.int64))
-        at = np.searchsorted(self.bags.codes, codes)
-        at[at == len(self.bags.codes)] = 0
-        at = at[self.bags.codes[at] == codes] if len(self.bags.codes) else at[:0]
-        at = at[self.voting[at]]
-        return self.languages[int(self.votes[at].sum(0).argmax())] if len(at) else None
+        names, places = self.bags.names, self.places
+        ids = [names.get(w, -1) for w in own_words(text or "")]
+        codes = {x for x in ids if x >= 0} | {len(names) + a * len(names) + b for a, b in zip(ids, ids[1:]) if a >= 0 and b >= 0}
+        at = [places[c] for c in codes if c in places]
+        return self.languages[int(self.votes[at].sum(0).argmax())] if at else None
 
     def agreeing(self) -> np.ndarray:
         """Whether the label of each sample agrees with its text.
@@ -411,7 +409,7 @@ def table_samples(
 
 
 def with_agreeing(samples: list[tuple[str, str, str]], uncertain: list[tuple[str, str, str]], replies: list[tuple[str | None, str, str]] = ()) -> list[tuple[str, str, str]]:
-    """samples, and the clauses of uncertain ones that agree with their labels.
+    """The clauses of samples, and those of uncertain ones that agree with their labels.
 
     replies are texts, (question, source, text), in the language of their question: the language
     that the question's words vote for.  Their clauses are added where their own votes agree.
@@ -419,7 +417,7 @@ def with_agreeing(samples: list[tuple[str, str, str]], uncertain: list[tuple[str
     added = [(language, source, text[a:b]) for language, source, text in uncertain for a, b in clauses(text)]
     parts = [(language, source, text[a:b]) for language, source, text in samples for a, b in clauses(text)]
     votes = Votes(parts + added)
-    result = samples + [x for x, fine in zip(added, votes.agreeing()[len(parts) :]) if fine]
+    result = parts + [x for x, fine in zip(added, votes.agreeing()[len(parts) :]) if fine]
     for question, source, text in replies:
         language = votes.language(question)
         if language:
