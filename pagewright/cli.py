@@ -105,7 +105,7 @@ def summaries(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def visual(spark: SparkSession, args: argparse.Namespace) -> None:
     """descriptions and summaries of page images, combined, judged and selected"""
-    flow, shown = make_flow(spark, args.out, args.settings), _images(spark, args.source)
+    flow, shown = make_flow(spark, args.out, args.settings, ("wanted",)), _images(spark, args.source)
     described = flow.visual_descriptions(shown)
     single = flow.visual_summaries(shown, _excluded(spark, args.manifest), described)
     flow.selected(single, flow.combined_summaries(single) if flow.settings.combine else None)
@@ -118,7 +118,7 @@ def pages(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def queries(spark: SparkSession, args: argparse.Namespace) -> None:
     """typed queries of selected summaries of Markdown documents, through all gates"""
-    flow = make_flow(spark, args.out, args.settings)
+    flow = make_flow(spark, args.out, args.settings, ("wanted",))
     single = flow.markdown_summaries(scans.read_markdown(spark, args.source))
     combined = flow.combined_summaries(single) if flow.settings.combine else None
     flow.queries(flow.selected_in_turn(single, spark.read.parquet(f"{args.out}/sections"), combined))

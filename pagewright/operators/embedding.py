@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Embedder = Callable[[Sequence[str]], np.ndarray]
@@ -45,6 +45,30 @@ def embed_texts(df: DataFrame, embedder: Embedder, key: str = "ord", text: str =
     return own.mapInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, embedding array<float>")
 
 
+def embed_multi_vectors(df: DataFrame, embedder: Callable[[Sequence[str]], Sequence[np.ndarray]], key: str = "ord", text: str = "query", batch: int = 64) -> DataFrame:
+    """key, embedding of each row by a model that gives a text a vector for each of its parts:
+    ARRAY<ARRAY<FLOAT>>, empty for null texts."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), batch):
+                own = frame.iloc[at : at + batch]
+                given = own["_text"].notna().to_numpy()
+                found = iter(embedder(own["_text"][given].tolist()) if given.any() else ())
+                rows = [[list(map(float, v)) for v in next(found)] if g else [] for g in given]
+                yield pd.DataFrame({key: own[key].to_numpy(), "embedding": rows})
+
+    own = df.select(key, F.col(text).alias("_text"))
+    return own.mapInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, embedding array<array<float>>")
+
+
+def late_interaction(left: Column, right: Column) -> Column:
+    """Of two lists of vectors the sum over the first of the largest inner product with any of
+    the second; null for an empty second one."""
+    product = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda acc, x: acc + x)
+    return F.aggregate(left, F.lit(0.0), lambda acc, a: acc + F.array_max(F.transform(right, lambda b: product(a, b))))
+
+
 def centred(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Vectors less their mean; the mean has one number per dimension and comes from partial
     sums in the tasks."""

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pagewright.operators import embedding, vectors
 
@@ -86,3 +87,12 @@ def test_embedding_and_reductions(spark):
     one = {r["vec_id"]: r["embedding"] for r in embedding.random_projection(own, 3, 1).collect()}
     two = {r["vec_id"]: r["embedding"] for r in embedding.random_projection(own.repartition(3), 3, 1).collect()}
     assert one == two and len(one[0]) == 3
+
+
+def test_multi_vectors(spark):
+    frame = spark.createDataFrame([(1, "a bb"), (2, None), (3, "ccc")], "ord int, query string")
+    embedder = lambda texts: [np.array([[len(w), 1.0] for w in t.split()]) for t in texts]
+    found = embedding.embed_multi_vectors(frame, embedder, batch=2)
+    assert {r["ord"]: r["embedding"] for r in found.collect()} == {1: [[1.0, 1.0], [2.0, 1.0]], 2: [], 3: [[3.0, 1.0]]}
+    pairs = found.alias("x").join(found.alias("y"), F.col("x.ord") < F.col("y.ord")).select(F.col("x.ord").alias("a"), F.col("y.ord").alias("b"), embedding.late_interaction(F.col("x.embedding"), F.col("y.embedding")).alias("s"))
+    assert {(r["a"], r["b"]): r["s"] for r in pairs.collect()} == {(1, 3): 11.0, (1, 2): None, (2, 3): 0.0}
