@@ -119,6 +119,39 @@ def section_offsets(spark: SparkSession, folder: str) -> DataFrame:
     return flat(sections.document_offsets(_listed_documents(spark, folder)))
 
 
+def _ruled_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """For each file name a document with a listing of parts: every third page begins one, whose
+    heading is letters that resemble no others', and stands shift pages after what is listed."""
+    names = read(spark, folder, "documents").select(F.col("source").alias("id")).distinct()
+    own = names.select("id", (T.hash_integer("shift", F.col("id")) % 4).cast("int").alias("shift"), (25 + T.hash_integer("pages", F.col("id")) % 9).cast("int").alias("pages"))
+    letters = lambda k: F.translate(F.substring(F.md5(F.concat_ws("|", "id", k.cast("string"))), 1, 12), "0123456789", "ghijklmnop")
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.col("pages") - 1) / 3).cast("int")), lambda k: F.concat(letters(k), F.lit(" "), (k * 3 + 1).cast("string")))
+    body = F.transform(F.sequence(F.lit(0), F.col("pages") - 1), lambda n: F.concat(F.when(n % 3 == 0, F.concat(F.lit("# "), letters((n / 3).cast("int")), F.lit("\n"))).otherwise(""), F.lit("text")))
+    filler = F.array_repeat(F.lit("before"), F.col("shift"))
+    pages = F.concat(F.array(F.concat(F.lit("Table of contents\n"), F.array_join(parts, "\n"))), filler, body)
+    return own.select("id", F.array_join(pages, f"\n{T.PAGE_BREAK}\n").alias("content"))
+
+
+@registered
+def offsets_by_rule(spark: SparkSession, folder: str) -> DataFrame:
+    return flat(sections.document_offsets(_ruled_documents(spark, folder)))
+
+
+@registered
+def sections_by_rule(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages of the sections of documents whose parts are known."""
+    return flat(sections.section_documents(_ruled_documents(spark, folder)).select("id", "ord", "page_numbers"))
+
+
+@registered
+def titles_by_rule(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles that are equal, but for marks and digits, or altogether different."""
+    own = read(spark, folder, "documents").where("doc_id is not null").select("source", "doc_id", (F.col("doc_id") % 7).cast("int").alias("page"), (T.hash_integer("title", F.col("doc_id")) % 5).cast("string").alias("kind"))
+    letters = F.translate(F.substring(F.md5(F.concat_ws("|", "source", "kind")), 1, 12), "0123456789", "ghijklmnop")
+    titles = own.select(F.col("source").alias("id"), F.col("doc_id").alias("ord"), F.concat(F.lit("## "), letters, F.lit(" "), F.col("doc_id").cast("string")).alias("title"), "page")
+    return flat(sections.dedupe_titles(titles).select("id", "ord", "page"))
+
+
 @registered
 def title_dedupe_fuzzy(spark: SparkSession, folder: str) -> DataFrame:
     outline = headings.heading_outline(corpus.md_documents(spark, folder))

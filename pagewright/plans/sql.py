@@ -344,6 +344,18 @@ def oracle_sql() -> dict[str, str]:
             offs as (select filename, id, list_max(page_numbers) - list_min(page_numbers) as "offset" from secs where len(page_numbers) > 0),
             counted as (select filename, "offset", count(*) as n, min(id) as first from offs group by all)
             select filename, "offset"::bigint as "offset" from counted qualify row_number() over (partition by filename order by n desc, first) = 1""",
+        "offsets_by_rule": f"""
+            with own as (select distinct source as id from documents) select id, {_hash("'shift'", 'id')} % 4 + 1 as "offset" from own""",
+        "sections_by_rule": f"""
+            with own as (select distinct source as id from documents),
+            sized as (select id, {_hash("'shift'", 'id')} % 4 as shift, 25 + {_hash("'pages'", 'id')} % 9 as n from own),
+            -- parts begin at pages shift + 1, shift + 4, ...; a section ends before the first of them that makes it five pages
+            first as (select *, case shift when 1 then 5 when 2 then 6 else 7 end as stop, n + shift + 1 as total, shift + 1 + 3 * ((n - 1) // 3) as last from sized),
+            ends as (select id, total, unnest(list_concat([0], range(stop, last + 1, 6))) as s, unnest(list_concat(range(stop, last + 1, 6), [total])) as e from first)
+            select id, row_number() over (partition by id order by s) - 1 as ord, array_to_string(range(s, e), ',') as page_numbers from ends where e > s""",
+        "titles_by_rule": f"""
+            with own as (select source as id, doc_id as ord, doc_id % 7 as page, {_hash("'title'", 'doc_id')} % 5 as kind from documents where doc_id is not null)
+            select id, min(ord) as ord, page from own group by id, page, kind""",
         "sliding_windows": f"""
             with {_LISTS}
             select filename, (s // 3)::bigint as "window", array_to_string(pages[s + 1 : s + 4], ',') as page_numbers
