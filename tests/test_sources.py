@@ -111,3 +111,21 @@ def test_streams(spark, tmp_path):
     query = streams.usage_windows(live).writeStream.outputMode("complete").foreachBatch(lambda b, n: rows.extend(b.collect())).option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     query.awaitTermination(120)
     assert [(r["call_count"], r["tokens"]) for r in rows][-1] == (2, 12)
+
+
+def test_records_and_datasets(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "a"), (2, None)], "n int, s string")
+    frame.write.parquet(str(tmp_path / "set" / "train"))
+    assert scans.read_dataset(spark, str(tmp_path / "set"), "train").count() == 2 and scans.read_dataset(spark, str(tmp_path / "set" / "train")).count() == 2
+    sinks.write_record(frame.orderBy("n"), str(tmp_path / "one"))
+    assert [r["s"] for r in spark.read.json(str(tmp_path / "one")).collect()] == ["a"]
+
+
+def test_first_of_a_stream(spark, tmp_path):
+    rows = [(k % 3, f"2024-01-01 00:0{k}:00") for k in range(6)]
+    spark.createDataFrame(rows, "k int, ts string").write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema("k int, ts string").parquet(str(tmp_path / "in"))
+    seen = []
+    query = streams.start(streams.first_seen(source, "k", "ts"), lambda batch, n: seen.extend(r["k"] for r in batch.collect()), str(tmp_path / "check"))
+    query.awaitTermination(60)
+    assert sorted(seen) == [0, 1, 2]
