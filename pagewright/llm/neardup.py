@@ -233,10 +233,12 @@ def near_duplicate_links(df: DataFrame, id_col: str, text_col: str, threshold: f
     found = reliable_checkpoint(word_classes(df, id_col, text_col))
     classes = found.groupBy("class_key").agg(F.min(id_col).alias("class_id"), F.any_value("tokens").alias("tokens"))
     keys = _band_keys(classes, _counters(classes), threshold)
-    # both sides read one exchange; the side in the condition makes the smaller text's shorter prefix count
+    # both sides read one exchange: conditions of one side alone would be pushed below it and make two
+    # of it, so the sides of both texts are in the one that lets the smaller text's shorter prefix count
     left = keys.select("key", F.col("class_id").alias("a"), F.col("size").alias("m"), F.col("side").alias("s")).hint("merge")
-    right = keys.select("key", F.col("class_id").alias("b"), F.col("size").alias("n"))
-    near = (F.col("s") == EITHER) & (F.col("m") >= F.lit(threshold) * F.col("n") - 1e-9) & ((F.col("m") < F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("a") != F.col("b"))))
+    right = keys.select("key", F.col("class_id").alias("b"), F.col("size").alias("n"), F.col("side").alias("t"))
+    smaller = F.col("s") + F.col("t") >= F.col("t") + EITHER
+    near = smaller & (F.col("m") >= F.lit(threshold) * F.col("n") - 1e-9) & ((F.col("m") < F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("a") != F.col("b"))))
     pairs = left.join(right, "key").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tokens = classes.select("class_id", "tokens")
     pairs = pairs.join(tokens.select(F.col("class_id").alias("a"), F.col("tokens").alias("x")), "a")
