@@ -355,6 +355,7 @@ def scanned_pages(documents: DataFrame) -> DataFrame:
     begins = (F.col("page_index") == 0) & first["narrow"] & ~first["line"].rlike(rf"[.,;:{re.escape(HYPHENS)}]$") & ~first["raw"].rlike(_HEADING)
     headings = F.filter("filled", lambda x: x["raw"].rlike(_HEADING) | (F.coalesce(begins, F.lit(False)) & (x["top"] == 1)))
     keys = F.transform(headings, lambda x: _skeleton_key(F.regexp_replace(x["line"], r"^#+ ", "")))
+    keys = F.when(F.col("widest").isNotNull(), keys)  # of documents with scanned pages only
     pages = pages.withColumn("titles", F.array_distinct(F.flatten(F.collect_list(keys).over(doc)))).withColumn("title_line", F.when(begins, first["line_no"]))
     outer = F.transform("filled", lambda x: x.withField("outer", (x["top"] <= F.col("head")) | (x["bottom"] <= F.col("tail"))))
     edges = F.filter(outer, lambda x: x["outer"] | (x["top"] <= 2) | (x["bottom"] <= 2))
@@ -391,7 +392,8 @@ def page_furniture(pages: DataFrame) -> DataFrame:
     edge = pages.select("document_id", "name", "page_index", "lines", "titles", "title_line", F.posexplode_outer("edges").alias("place", "e"))
     edge = edge.select("document_id", F.when(F.col("place").isNull() | (F.col("place") == 0), F.struct("name", "lines")).alias("held"), "page_index", "titles", "title_line", "e.*")
     alone = F.regexp_extract("line", _ALONE, 1)
-    before, after = F.regexp_extract("line", _BEFORE, 1), F.regexp_extract("line", _AFTER, 2)
+    parted = F.col("line").rlike(r"[|–—·]|\s{2}")  # what stands between a number and a header
+    before, after = (F.when(parted, F.regexp_extract("line", *x)).otherwise("") for x in ((_BEFORE, 1), (_AFTER, 2)))
     edge = edge.withColumn("alone", alone).withColumn("before", before).withColumn("after", after)
     edge = edge.withColumn("figure", F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in ("alone", "before", "after")]))
     rest = F.when(F.col("alone") != "", "").when(F.col("before") != "", F.regexp_extract("line", _BEFORE, 2)).when(F.col("after") != "", F.regexp_extract("line", _AFTER, 1)).otherwise(F.col("line"))
