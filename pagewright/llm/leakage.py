@@ -110,7 +110,10 @@ class ItemIndex:
 
     def find(self, texts: list[str | None]) -> list[tuple[int, int]]:
         """(index of text, item id) of each leak in the texts."""
-        lists = [words(t.replace(PAGE_BREAK, " ")) if t else [] for t in texts]
+        return self.find_words(text_words(texts))
+
+    def find_words(self, lists: list[list[str]]) -> list[tuple[int, int]]:
+        """The same for the words of texts."""
         sizes = np.array([len(x) for x in lists], np.int64)
         total = int(sizes.sum()) + len(lists)
         ids = np.zeros(total, np.int64)  # a zero, which matches nothing, ends every text
@@ -187,6 +190,11 @@ class ItemIndex:
         return any(end >= size and int((piece[end - size : end] != pattern).sum()) <= errors for end in ends)
 
 
+def text_words(texts: list[str | None]) -> list[list[str]]:
+    """The words of each text, those across a page break side by side."""
+    return [words(t.replace(PAGE_BREAK, " ")) if t else [] for t in texts]
+
+
 class _Known(dict):
     """Word to number; words of no item are 0 and aren't kept."""
 
@@ -196,7 +204,7 @@ class _Known(dict):
 
 def leaked_items(
     documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "item_text",
-    share: float = 0.5, per_error: int = 10, replaced: bool = True, block_rows: int = 20_000,
+    share: float = 0.5, per_error: int = 10, replaced: bool = True, block_rows: int = 20_000, blocks_at_once: int = 4,
 ) -> DataFrame:
     """(<id_col>, <item_col>) of each item that a document gives away.
 
@@ -206,9 +214,9 @@ def leaked_items(
     id count once; texts of any length are read whole; ties don't arise, as every leak is
     given; an empty table on either side gives an empty result; other columns aren't read.
     The items are a stated query set: each block of at most about block_rows of them is
-    indexed once and sent with the tasks, and all documents are read against each block, so
-    the broadcast data keep a bound when the items grow.  There is no shuffle of documents
-    beyond the removal of repeated result rows.
+    indexed once and sent with the tasks.  Documents are read, and cut into words, once for
+    every blocks_at_once blocks, so what a task holds keeps a bound when the items grow.  There
+    is no shuffle of documents beyond the removal of repeated result rows.
     """
     items = one_per_key(items, item_col, item_text_col).where(F.col(item_text_col).isNotNull())
     blocks = max(1, -(-items.count() // block_rows))
@@ -216,16 +224,17 @@ def leaked_items(
     schema = schema.add(items.schema[item_col])
     kind = pa.int32() if items.schema[item_col].dataType.simpleString() == "int" else None
     result = None
-    for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64(item_col), F.lit(blocks)) == block) if blocks > 1 else items
-        index = ItemIndex([(r[0], r[1]) for r in part.collect()], share, per_error, replaced)
-        shared = documents.sparkSession.sparkContext.broadcast(index)
+    for begin in range(0, blocks, blocks_at_once):
+        indexes = []
+        for block in range(begin, min(begin + blocks_at_once, blocks)):
+            part = items.where(F.pmod(F.xxhash64(item_col), F.lit(blocks)) == block) if blocks > 1 else items
+            indexes.append(documents.sparkSession.sparkContext.broadcast(ItemIndex([(r[0], r[1]) for r in part.collect()], share, per_error, replaced)))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = shared.value
+        def run(batches: Iterator[pa.RecordBatch], indexes=indexes) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for rows in slices(batch, "_text"):
-                    found = own.find(rows.column(1).to_pylist())
+                    lists = text_words(rows.column(1).to_pylist())
+                    found = [leak for shared in indexes for leak in shared.value.find_words(lists)]
                     if found:
                         picked = rows.column(0).take(pa.array([t for t, _ in found]))
                         yield pa.RecordBatch.from_arrays([picked, pa.array([i for _, i in found], kind)], names=schema.names)
