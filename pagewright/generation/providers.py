@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import dataclasses
 import json
 import os
 import re
@@ -120,10 +119,11 @@ class ConverseCall:
         return {k: v for k, v in self.__dict__.items() if k != "_converse"}
 
     def __call__(self, request: Request) -> Reply:
-        converse = self.__dict__.setdefault("_converse", None) or self.__dict__.update(_converse=self.connect()) or self._converse
+        if "_converse" not in self.__dict__:
+            self._converse = self.connect()
         body = converse_body([{"role": "user", "content": request_parts(request)}], {"max_tokens": request.max_tokens, **self.arguments}, request.schema)
         try:
-            answer = converse(modelId=self.model, **body)
+            answer = self._converse(modelId=self.model, **body)
         except Exception as error:
             code = getattr(error, "response", {}).get("Error", {}).get("Code", type(error).__name__)
             if code in THROTTLING:
@@ -207,8 +207,3 @@ def make_client(config: ProviderConfig, role: str = "text", url: str | None = No
     else:
         raise ValueError(f"unknown provider: {config.provider}")
     return RetryingClient(call, config.attempts, config.concurrency(threads), first_wait=config.first_wait, most_wait=config.most_wait)
-
-
-def describe(config: ProviderConfig) -> dict[str, Any]:
-    """The settings as plain values, for a log."""
-    return dataclasses.asdict(config)
