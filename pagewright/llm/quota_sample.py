@@ -125,6 +125,9 @@ def calibrate(available: np.ndarray, permille: np.ndarray, floors: np.ndarray, s
             break
         weight = np.where(room > 1e-9, np.maximum(shares, 1e-9), 0)
         goal += np.minimum(np.maximum(room, 0), rest * weight / weight.sum())
+    over, spare = goal.sum() - size, goal - np.minimum(floors, available)
+    if over > 1e-9 and spare.sum() > 0:  # floors settled after shares come out of what stands above floors
+        goal -= spare * min(1.0, over / spare.sum())
     probability = np.clip(np.divide(goal, available, out=np.zeros(count), where=available > 0), 0, 1)
     return Plan(size, probability, required, np.maximum(0, required - available))
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from pagewright.llm.quota_sample import calibrate, pivotal, quota_sample, tilt
@@ -56,6 +56,7 @@ def test_what_falls_short_goes_to_the_same_type_or_format():
     assert calibrate([1_000] * 6, [200, 150, 150, 150, 150, 200], [0] * 6, 400, kinds, shapes).probability == pytest.approx(shares / 1_000)
 
 
+@example([(5, 1, 1, 0, 1), (5, 49, 0, 0, 0), (38, 0, 38, 0, 0), (39, 0, 39, 0, 0)], 82)
 @given(st.lists(st.tuples(st.integers(0, 300), st.integers(0, 200), st.integers(0, 40), st.integers(0, 2), st.integers(0, 2)), min_size=1, max_size=9), st.integers(0, 400))
 @settings(max_examples=300, deadline=None)
 def test_plans_keep_size_bounds_and_floors(cells, size):
