@@ -183,8 +183,12 @@ def main(argv: Sequence[str] | None = None) -> int:
             command.add_argument(f"--{option}")
         command.add_argument("--formats", default="md")
     args = parser.parse_args(argv)
+    form = logging.Formatter("%(asctime)s %(levelname)s %(message)s")
     handlers: list[logging.Handler] = [logging.StreamHandler(), *([logging.FileHandler(args.log)] if args.log else [])]
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s", handlers=handlers, force=True)
+    for handler in handlers:
+        handler.setFormatter(form)
+    LOG.handlers, LOG.propagate = handlers, False
+    LOG.setLevel(logging.INFO)
     LOG.info("%s: %s to %s", args.command, args.source, args.out)
     result = COMMANDS[args.command](SparkSession.getActiveSession() or local_session(), args)
     LOG.info("%s done", args.command)
